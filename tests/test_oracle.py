@@ -1,0 +1,52 @@
+"""Every registered query against its SQL twin in DuckDB, value for value."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as registered
+
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
+TABLES = "nation supplier part customer orders lineitem".split()
+QUERIES = registered.queries()
+ORACLE = registered.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    return con
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda row: [(v is not None, repr(v)) for v in row])
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_matches_oracle(spark, duck, name):
+    result = QUERIES[name](spark, SF_DIR)
+    columns = sorted(result.columns)
+    got = [tuple(row) for row in result.select(*columns).collect()]
+    quoted = ", ".join(f'"{c}"' for c in columns)
+    relation = duck.execute(f"SELECT {quoted} FROM ({ORACLE[name]})")
+    types = {d[0]: str(d[1]) for d in relation.description}
+    want = relation.fetchall()
+    assert len(got) > 0
+    assert in_order(got) == in_order(want)
+    spark_types = {
+        "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+        "date": "DATE", "boolean": "BOOLEAN",
+    }
+    assert {c: spark_types[t] for c, t in result.dtypes} == types
+
+
+def test_every_oracle_has_a_query():
+    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLE) == {
+        "predicted_prices",
+        "price_model_metrics",
+        "prediction_sample",
+    }
