@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from innledger.functions.hashing import id_digest
 from innledger.operators.expectations import rule_metrics
@@ -21,6 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters of the filtered reports.
 RANGE = ("1997-01-01", "1998-06-30")
+_IN_RANGE = f"BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'"
 HOTEL = 3
 PAGE = 1
 # Small forests keep the check quick; the package's default is 100 trees.
@@ -86,12 +86,12 @@ def _bronze_ingest(spark, sf):
         write_landing(raw.RAW_TABLES[table](spark, sf), f"{folder}/landing", table)
         store.write(ingest(spark, f"{folder}/landing", table), f"bronze.{table}")
         df = store.read(f"bronze.{table}")
-        filled = sum((F.count(c) for c in df.columns if c != INGESTION_COLUMN), F.lit(0))
-        counted = df.agg(
-            F.lit(table).alias("table_name"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.count(INGESTION_COLUMN).alias("stamped_rows"),
-            filled.cast("bigint").alias("filled_cells"),
+        filled = " + ".join(f"count({c})" for c in df.columns if c != INGESTION_COLUMN)
+        counted = df.selectExpr(
+            f"'{table}' AS table_name",
+            "count(*) AS row_count",
+            f"count({INGESTION_COLUMN}) AS stamped_rows",
+            f"{filled} AS filled_cells",
         )
         counts = counted if counts is None else counts.unionByName(counted)
     return counts
@@ -100,16 +100,12 @@ def _bronze_ingest(spark, sf):
 def _box_plot(spark, sf):
     plot = serving.ticket_box_plot(_customer_value(spark, sf))
     # Engines interpolate quantiles in different operation order; compare eight digits.
-    return plot.select(
+    return plot.selectExpr(
         "bookings_count",
-        *[F.round(c, 8).alias(f"{c}_ticket") for c in ("min", "q1", "median", "q3", "max")],
+        *[f"round({c}, 8) AS {c}_ticket" for c in ("min", "q1", "median", "q3", "max")],
     )
 
 
-def _in_range(column):
-    return F.col(column).between(F.lit(RANGE[0]).cast("date"), F.lit(RANGE[1]).cast("date"))
-
-
 def _price_sample(spark, sf):
     """The sampling operator on its own, on values any engine can compute."""
     sample = sample_rows(
@@ -118,7 +114,7 @@ def _price_sample(spark, sf):
         serving.SAMPLE_ROWS,
         pricing.SEED,
     )
-    return sample.withColumn("digest", id_digest(F.col("booking_id"), pricing.SEED))
+    return sample.withColumn("digest", id_digest("booking_id", pricing.SEED))
 
 
 _QUERIES: dict[str, Query] = {
@@ -147,13 +143,13 @@ _QUERIES: dict[str, Query] = {
     "top_overbooked_rooms": lambda spark, sf: serving.top_overbooked_rooms(_alerts(spark, sf)),
     "overbooking_page": lambda spark, sf: serving.overbooking_page(_alerts(spark, sf), PAGE),
     "filter_values": lambda spark, sf: serving.filter_values(
-        _alerts(spark, sf), "room_id", _in_range("overlap_start")
+        _alerts(spark, sf), "room_id", f"overlap_start {_IN_RANGE}"
     ),
     "filter_values_hotel": lambda spark, sf: serving.filter_values(
-        _collection(spark, sf), "hotel_id", F.col("collection_rate") < serving.COLLECTION_TARGET
+        _collection(spark, sf), "hotel_id", f"collection_rate < {serving.COLLECTION_TARGET}"
     ),
     "filter_values_date": lambda spark, sf: serving.filter_values(
-        _daily(spark, sf), "date", _in_range("date")
+        _daily(spark, sf), "date", f"date {_IN_RANGE}"
     ),
     "price_features": _features,
     "price_sample": _price_sample,
@@ -314,8 +310,6 @@ _CTES = {
           AND max_occupancy IS NOT NULL""",
 }
 
-_IN_RANGE = f"BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'"
-
 
 def _sql(select: str) -> str:
     # "bookings" and "rooms" only exist as CTEs; none shadows a driver table.

@@ -4,12 +4,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def id_digest(key: Column, seed: int) -> Column:
+def _digest(key: str, seed: int) -> str:
+    return f"md5(concat_ws('|', CAST({key} AS STRING), '{seed}'))"
+
+
+def id_digest(key: str, seed: int) -> Column:
     """Hex digest of id and seed: the same in any engine, run and partitioning."""
-    return F.md5(F.concat_ws("|", key.cast("string"), F.lit(str(seed))))
+    return F.expr(_digest(key, seed))
 
 
-def id_bucket(key: Column, seed: int, buckets: int) -> Column:
+def id_bucket(key: str, seed: int, buckets: int) -> Column:
     """A bucket number in ``[0, buckets)`` from the digest's first 32 bits."""
-    head = F.conv(F.substring(id_digest(key, seed), 1, 8), 16, 10)
-    return F.pmod(head.cast("bigint"), F.lit(buckets))
+    head = f"conv(substring({_digest(key, seed)}, 1, 8), 16, 10)"
+    return F.expr(f"pmod(CAST({head} AS BIGINT), {buckets})")

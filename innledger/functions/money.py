@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 UNITS_PER_ONE = 10_000
 
 
-def exact_sum(amount: Column) -> Column:
+def _exact_sum(amount: str) -> str:
+    units = f"try_cast(rint(({amount}) * {UNITS_PER_ONE}) AS BIGINT)"
+    return (
+        f"coalesce(CASE WHEN count({units}) = count({amount}) THEN try_sum({units}) END"
+        f" / {UNITS_PER_ONE}, sum({amount}))"
+    )
+
+
+def exact_sum(amount: str) -> Column:
     """Sum of a DOUBLE amount, added as BIGINT units inside the hash aggregate.
 
     Float addition gives different last digits for different partitionings; whole
@@ -17,11 +25,9 @@ def exact_sum(amount: Column) -> Column:
     Spark's own double sum, so no value is lost. NULL amounts are ignored; a group of
     only NULLs sums to NULL.
     """
-    units = F.rint(amount * UNITS_PER_ONE).try_cast("bigint")
-    exact = F.when(F.count(units) == F.count(amount), F.try_sum(units))
-    return F.coalesce(exact / UNITS_PER_ONE, F.sum(amount))
+    return F.expr(_exact_sum(amount))
 
 
-def exact_avg(amount: Column) -> Column:
+def exact_avg(amount: str) -> Column:
     """Average over the non-NULL amounts, from ``exact_sum``."""
-    return F.try_divide(exact_sum(amount), F.count(amount))
+    return F.expr(f"try_divide({_exact_sum(amount)}, count({amount}))")

@@ -10,23 +10,23 @@ ROOM_TYPE_NUMBERS = {"single": 1, "double": 2, "suite": 3, "family": 4}
 OTHER_ROOM_TYPE = 2
 
 
-def stay_nights(checkin: Column, checkout: Column) -> Column:
-    return F.date_diff(checkout, checkin)
+def stay_nights(checkin: str, checkout: str) -> Column:
+    return F.expr(f"datediff({checkout}, {checkin})")
 
 
-def season(day: Column) -> Column:
+def season(day: str) -> Column:
     """1 for January to March, up to 4 for October to December."""
-    return F.quarter(day)
+    return F.expr(f"quarter({day})")
 
 
-def is_weekend(day: Column) -> Column:
+def is_weekend(day: str) -> Column:
     """1 on Saturday and Sunday. ``weekday`` counts from Monday = 0."""
-    return (F.weekday(day) >= 5).cast("int")
+    return F.expr(f"CAST(weekday({day}) >= 5 AS INT)")
 
 
-def room_type_number(code: Column, numbers: Mapping[str, int] | None = None) -> Column:
+def room_type_number(code: str, numbers: Mapping[str, int] | None = None) -> Column:
     numbers = ROOM_TYPE_NUMBERS if numbers is None else numbers
-    result = F.lit(OTHER_ROOM_TYPE)
-    for name, number in numbers.items():
-        result = F.when(code == name, number).otherwise(result)
-    return result
+    cases = " ".join(f"WHEN {name!r} THEN {number}" for name, number in numbers.items())
+    if not cases:
+        return F.lit(OTHER_ROOM_TYPE)
+    return F.expr(f"CASE {code} {cases} ELSE {OTHER_ROOM_TYPE} END")

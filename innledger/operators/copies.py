@@ -12,14 +12,17 @@ _CHUNK = 4096
 
 def collapse_copies(df: DataFrame, columns: Sequence[str], count_column: str) -> DataFrame:
     """Distinct rows of ``columns`` with their number; counted before the shuffle."""
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(count_column))
+    return df.groupBy(*columns).agg(F.expr("count(*)").alias(count_column))
 
 
 def expand_copies(df: DataFrame, count_column: str) -> DataFrame:
     """Repeat each row ``count_column`` times and drop that column."""
-    kept = [c for c in df.columns if c != count_column]
-    n = F.col(count_column)
-    chunks = F.sequence(F.lit(0), F.floor((n - 1) / _CHUNK))
-    in_chunks = df.withColumn("_chunk", F.explode(chunks))
-    left = F.least(F.lit(_CHUNK), n - F.col("_chunk") * _CHUNK)
-    return in_chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1), left))).select(*kept)
+    kept = [f"`{c}`" for c in df.columns if c != count_column]
+    n = f"`{count_column}`"
+    return (
+        df.selectExpr("*", f"explode(sequence(0, ({n} - 1) div {_CHUNK})) AS _chunk")
+        .selectExpr(
+            *kept, f"explode(sequence(1, least({_CHUNK}, {n} - _chunk * {_CHUNK}))) AS _copy"
+        )
+        .selectExpr(*kept)
+    )

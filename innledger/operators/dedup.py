@@ -21,4 +21,6 @@ def first_per_key(
     lead = [c for c in (order_by or ()) if c not in keys]
     ranked = lead + [c for c in others if c not in lead]
     best = df.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("best"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"best.{c}") for c in df.columns])
+    return best.selectExpr(
+        *[f"`{c}`" if c in keys else f"best.`{c}` AS `{c}`" for c in df.columns]
+    )

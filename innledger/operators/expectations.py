@@ -1,16 +1,15 @@
 """Named row rules: drop the rows that break one, and count what they did."""
 
 from collections.abc import Mapping
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 Rules = Mapping[str, str]
 
 
-def _passes(rule: str, null_passes: bool) -> Column:
-    return F.coalesce(F.expr(rule), F.lit(null_passes))
+def _passes(rule: str, null_passes: bool) -> str:
+    return f"coalesce({rule}, {str(null_passes).lower()})"
 
 
 def expect_or_drop(
@@ -25,30 +24,24 @@ def expect_or_drop(
     ``observation`` the failures of each rule are counted while the data flows to its
     sink, at no extra pass.
     """
+    checks = {name: _passes(rule, null_passes) for name, rule in rules.items()}
     if observation is not None:
-        counts = [
-            F.count_if(~_passes(rule, null_passes)).alias(name) for name, rule in rules.items()
-        ]
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"), *counts)
-    checks = [_passes(rule, null_passes) for rule in rules.values()]
-    return df.filter(reduce(lambda a, b: a & b, checks))
+        failed = [F.expr(f"count_if(NOT {check})").alias(name) for name, check in checks.items()]
+        df = df.observe(observation, F.expr("count(*)").alias("rows"), *failed)
+    return df.filter(" AND ".join(checks.values()) or "true")
 
 
 def rule_metrics(
     df: DataFrame, table_name: str, rules: Rules, null_passes: bool = True
 ) -> DataFrame:
     """One row per rule with its passed and failed counts, all from a single pass."""
-    counted = df.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(table_name).alias("table_name"),
-                    F.lit(name).alias("rule"),
-                    F.count_if(_passes(rule, null_passes)).alias("passed"),
-                    F.count_if(~_passes(rule, null_passes)).alias("failed"),
-                )
-                for name, rule in rules.items()
-            ]
-        ).alias("rules")
-    )
-    return counted.select(F.inline("rules"))
+    counts = [
+        F.struct(
+            F.lit(table_name).alias("table_name"),
+            F.lit(name).alias("rule"),
+            F.expr(f"count_if({_passes(rule, null_passes)})").alias("passed"),
+            F.expr(f"count_if(NOT {_passes(rule, null_passes)})").alias("failed"),
+        )
+        for name, rule in rules.items()
+    ]
+    return df.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))

@@ -14,13 +14,11 @@ block per level, so it meets a stay around it in exactly one block, once.
 
 Hence the join key is (room, block). A room that holds much of the table is spread over
 its calendar, and candidates are true pairs up to a factor of two: work grows with input
-and output, not with the square of a room. A stay of ``n`` days gives O(log n) times 16
-rows, so open-ended check-out dates are harmless.
+and output, not with the square of a room. A stay of ``n`` days gives at most 30 blocks
+per level and O(log n) levels, so open-ended check-out dates are harmless.
 """
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innledger.operators.copies import collapse_copies, expand_copies
@@ -28,63 +26,55 @@ from innledger.operators.copies import collapse_copies, expand_copies
 _BITS = 4  # a block holds 2**4 = 16 blocks of the level below
 _LEVELS = 6  # the top level is 16**5 days, so four blocks span all of Spark's dates
 _SAME_DAY = 7  # marks the key for stays that begin on the same day
-_KEY_STEP = 8  # keys are position * 8 + level
-
+_STEP = 8  # a key is position * 8 + level
 
-def _key(position: Column, level: int) -> Column:
-    return position * _KEY_STEP + level
+# Expressions over a stay's day numbers: s = check-in, e = check-out.
+_NO_KEYS = "CAST(array() AS ARRAY<BIGINT>)"
+_SAME_DAY_KEY = f"CASE WHEN e > s THEN array(s * {_STEP} + {_SAME_DAY}) ELSE {_NO_KEYS} END"
 
 
-def _keys_between(start: Column, end: Column, level: int) -> Column:
+def _keys_between(start: str, end: str, level: int) -> str:
     """Keys of the blocks ``start <= position < end``; an empty array if there are none."""
-    keys = F.sequence(_key(start, level), _key(end - 1, level), F.lit(_KEY_STEP).cast("bigint"))
-    return F.when(start < end, keys).otherwise(F.array().cast("array<bigint>"))
-
-
-def _inside_keys(checkin: Column, checkout: Column) -> Column:
-    """Blocks that make up the days after check-in and before check-out."""
-    first, end = checkin + 1, checkout
-    bounds = [
-        (
-            F.shiftright(first + ((1 << _BITS * level) - 1), _BITS * level),
-            F.shiftright(end, _BITS * level),
-        )
-        for level in range(_LEVELS)
-    ]
-    parts = []
-    for level, (start, stop) in enumerate(bounds):
-        if level == _LEVELS - 1:
-            parts.append(_keys_between(start, stop, level))
-            continue
-        above_start, above_stop = bounds[level + 1]
-        covered = above_start < above_stop
-        parts.append(
-            _keys_between(
-                start, F.when(covered, above_start * (1 << _BITS)).otherwise(stop), level
-            )
-        )
-        parts.append(
-            F.when(covered, _keys_between(above_stop * (1 << _BITS), stop, level)).otherwise(
-                F.array().cast("array<bigint>")
-            )
-        )
-    return F.concat(*parts)
-
-
-def _stays(
-    df: DataFrame, room: str, booking: str, checkin: str, checkout: str
-) -> DataFrame:
-    """Distinct stays with their number of copies, dates as day numbers."""
-    return collapse_copies(
-        df.select(
-            F.col(room).alias("room"),
-            F.col(booking).alias("id"),
-            F.unix_date(F.col(checkin).cast("date")).cast("bigint").alias("s"),
-            F.unix_date(F.col(checkout).cast("date")).cast("bigint").alias("e"),
-        ).dropna(),
-        ["room", "id", "s", "e"],
-        "copies",
+    keys = f"sequence(({start}) * {_STEP} + {level}, (({end}) - 1) * {_STEP} + {level}, {_STEP}L)"
+    return f"CASE WHEN ({start}) < ({end}) THEN {keys} ELSE {_NO_KEYS} END"
+
+
+def _inside_keys() -> str:
+    """Keys of the blocks that make up the days after check-in and before check-out."""
+
+    def first(level):  # the first block that lies wholly inside
+        return f"shiftright(s + {1 << _BITS * level}L, {_BITS * level})"
+
+    def stop(level):  # the block after the last such one
+        return f"shiftright(e, {_BITS * level})"
+
+    top = _LEVELS - 1
+    parts = [_keys_between(first(top), stop(top), top)]
+    for level in range(top):
+        # Blocks of the level above cover the middle; this level fills in both ends.
+        middle = f"{first(level + 1)} < {stop(level + 1)}"
+        middle_start = f"{first(level + 1)} * {1 << _BITS}"
+        middle_stop = f"{stop(level + 1)} * {1 << _BITS}"
+        before = _keys_between(first(level), middle_start, level)
+        after = _keys_between(middle_stop, stop(level), level)
+        whole = _keys_between(first(level), stop(level), level)
+        parts.append(f"CASE WHEN {middle} THEN concat({before}, {after}) ELSE {whole} END")
+    return f"concat({', '.join(parts)})"
+
+
+def _check_in_keys(longest: str) -> str:
+    """Keys of the blocks around the check-in day, on the levels a stay can reach.
+
+    ``longest`` is the number of days of the longest stay in the table. A block of
+    ``n`` days fits inside a stay only if it lasts more than ``n``.
+    """
+    keys = ", ".join(
+        f"shiftright(s, {_BITS * level}) * {_STEP} + {level}" for level in range(_LEVELS)
+    )
+    levels = " + ".join(
+        f"CAST({longest} > {1 << _BITS * level} AS INT)" for level in range(_LEVELS)
     )
+    return f"slice(array({keys}), 1, {levels})"
 
 
 def overlapping_pairs(
@@ -100,37 +90,42 @@ def overlapping_pairs(
     nothing. Dates must not be inverted (``functions.cleaning.ordered_dates``). Repeated
     rows give repeated pairs, as a plain self-join would.
     """
-    stays = _stays(df, room, booking, checkin, checkout)
-    same_day = F.when(F.col("e") > F.col("s"), F.array(_key(F.col("s"), _SAME_DAY))).otherwise(
-        F.array().cast("array<bigint>")
-    )
-    around = stays.withColumn(
-        "key", F.explode(F.concat(_inside_keys(F.col("s"), F.col("e")), same_day))
+    days = df.selectExpr(
+        f"`{room}` AS room",
+        f"`{booking}` AS id",
+        f"CAST(unix_date(CAST(`{checkin}` AS DATE)) AS BIGINT) AS s",
+        f"CAST(unix_date(CAST(`{checkout}` AS DATE)) AS BIGINT) AS e",
+    ).dropna()
+    stays = collapse_copies(days, ["room", "id", "s", "e"], "copies")
+    # One number for the whole table. Without it every check-in would be sent to levels
+    # that no stay reaches.
+    longest = days.agg(F.expr("coalesce(max(e - s), 0)")).scalar()
+
+    around = stays.withColumn("key", F.expr(f"explode(concat({_inside_keys()}, {_SAME_DAY_KEY}))"))
+    begins = stays.withColumn("longest", longest).selectExpr(
+        "room",
+        "id",
+        "s",
+        "e",
+        "copies",
+        f"explode(concat({_check_in_keys('longest')}, {_SAME_DAY_KEY})) AS key",
     )
-    # The levels in use: at most seven rows whatever the data, so safe to broadcast. They
-    # keep a check-in from being sent to levels no stay reaches.
-    levels = around.select(F.pmod("key", F.lit(_KEY_STEP)).alias("level")).distinct()
-    day_keys = [_key(F.shiftright(F.col("s"), _BITS * k), k) for k in range(_LEVELS)]
-    begins = (
-        stays.withColumn("key", F.explode(F.concat(F.array(*day_keys), same_day)))
-        .withColumn("level", F.pmod("key", F.lit(_KEY_STEP)))
-        .join(F.broadcast(levels), "level", "left_semi")
+    same_day = f"pmod(a.key, {_STEP}) = {_SAME_DAY}"
+    pairs = around.alias("a").join(
+        begins.alias("b"),
+        F.expr(
+            "a.room = b.room AND a.key = b.key AND a.id != b.id"
+            f" AND (NOT ({same_day}) OR a.id < b.id)"
+        ),
     )
-
-    a, b = around.alias("a"), begins.alias("b")
-    on_same_day = F.col("b.level") == _SAME_DAY
-    pairs = a.join(
-        b,
-        (F.col("a.room") == F.col("b.room"))
-        & (F.col("a.key") == F.col("b.key"))
-        & (F.col("a.id") != F.col("b.id"))
-        & (~on_same_day | (F.col("a.id") < F.col("b.id"))),
-    ).select(
-        F.col("a.room").alias(room),
-        F.least("a.id", "b.id").alias(f"{booking}_1"),
-        F.greatest("a.id", "b.id").alias(f"{booking}_2"),
-        F.date_from_unix_date(F.col("b.s").cast("int")).alias("overlap_start"),
-        F.date_from_unix_date(F.least("a.e", "b.e").cast("int")).alias("overlap_end"),
-        (F.col("a.copies") * F.col("b.copies")).alias("copies"),
+    return expand_copies(
+        pairs.selectExpr(
+            f"a.room AS `{room}`",
+            f"least(a.id, b.id) AS `{booking}_1`",
+            f"greatest(a.id, b.id) AS `{booking}_2`",
+            "date_from_unix_date(CAST(b.s AS INT)) AS overlap_start",
+            "date_from_unix_date(CAST(least(a.e, b.e) AS INT)) AS overlap_end",
+            "a.copies * b.copies AS copies",
+        ),
+        "copies",
     )
-    return expand_copies(pairs, "copies")

@@ -9,90 +9,69 @@ bucket.
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Buckets per factor e of the value: 56,000 of them reach up to a million.
 _BUCKETS_PER_E = 4096
-
-
-def _bucket(value: Column) -> Column:
-    """Number of a value's bucket: never falls as the value grows, NaN stays NaN."""
-    return F.rint(F.signum(value) * F.log1p(F.abs(value)) * _BUCKETS_PER_E)
+# Number of a value's bucket: never falls as the value grows, and stays NaN for NaN.
+_BUCKET = f"rint(signum(v) * log1p(abs(v)) * {_BUCKETS_PER_E})"
 
 
 def grouped_quantiles(
-    df: DataFrame,
-    group: str,
-    value: str,
-    quantiles: Mapping[str, float],
+    df: DataFrame, group: str, value: str, quantiles: Mapping[str, float]
 ) -> DataFrame:
     """Minimum, the named quantiles and maximum of ``value`` per non-NULL ``group``.
 
     Quantiles interpolate linearly between neighbouring ranks. NULL values are ignored,
     but a group of only NULLs keeps its row.
     """
-    rows = df.select(
-        F.col(group).alias("g"),
-        F.col(value).alias("v"),
-        _bucket(F.col(value)).alias("bucket"),
-    )
-    buckets = rows.groupBy("g", "bucket").agg(
-        F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+    rows = df.selectExpr(f"`{group}` AS g", f"`{value}` AS v").filter("g IS NOT NULL")
+    buckets = rows.groupBy("g", F.expr(_BUCKET).alias("bucket")).agg(
+        F.expr("count(v) AS n"), F.expr("min(v) AS low"), F.expr("max(v) AS high")
     )
 
-    in_order = Window.partitionBy("g").orderBy("bucket")
-    placed = buckets.filter("n > 0").select(
-        "g",
-        "bucket",
-        (F.sum("n").over(in_order) - F.col("n")).alias("before"),
-        "n",
-        F.sum("n").over(Window.partitionBy("g")).alias("total"),
+    # Every quantile wants the values at two neighbouring ranks, counted from 0.
+    ranks = ", ".join(
+        f"struct('{name}' AS name, {end} AS is_upper,"
+        f" CAST({side}((total - 1) * {q}D) AS BIGINT) AS rank,"
+        f" (total - 1) * {q}D - floor((total - 1) * {q}D) AS part)"
+        for name, q in quantiles.items()
+        for side, end in (("floor", "false"), ("ceil", "true"))
+    )
+    wanted = (
+        buckets.filter("n > 0")
+        .selectExpr(
+            "g",
+            "bucket",
+            "n",
+            "sum(n) OVER (PARTITION BY g ORDER BY bucket) - n AS before",
+            "sum(n) OVER (PARTITION BY g) AS total",
+        )
+        .selectExpr("g", "bucket", "before", "n", f"inline(array({ranks}))")
+        .filter("before <= rank AND rank < before + n")
     )
-    wanted = placed.select(
-        "g",
-        "bucket",
-        "before",
-        "n",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("name"),
-                        ((F.col("total") - 1) * q).alias("position"),
-                        side((F.col("total") - 1) * q).cast("bigint").alias("rank"),
-                        F.lit(is_upper).alias("is_upper"),
-                    )
-                    for name, q in quantiles.items()
-                    for side, is_upper in ((F.floor, False), (F.ceil, True))
-                ]
-            )
-        ),
-    ).filter("before <= rank AND rank < before + n")
 
     hit = wanted.select("g", "bucket").distinct()
     values = (
-        rows.join(hit, ["g", "bucket"], "left_semi")
+        rows.withColumn("bucket", F.expr(_BUCKET))
+        .join(hit, ["g", "bucket"], "left_semi")
         .groupBy("g", "bucket", "v")
-        .agg(F.count(F.lit(1)).alias("m"))
-        .withColumn(
-            "upto", F.sum("m").over(Window.partitionBy("g", "bucket").orderBy("v"))
+        .agg(F.expr("count(*) AS m"))
+        .selectExpr(
+            "*", "sum(m) OVER (PARTITION BY g, bucket ORDER BY v) AS upto"
         )
     )
     found = wanted.join(values, ["g", "bucket"]).filter(
         "before + upto - m <= rank AND rank < before + upto"
     )
 
-    def of(name, is_upper):
-        return F.max(F.when((F.col("name") == name) & (F.col("is_upper") == is_upper), F.col("v")))
+    def interpolated(name):
+        low = f"max(CASE WHEN name = '{name}' AND NOT is_upper THEN v END)"
+        high = f"max(CASE WHEN name = '{name}' AND is_upper THEN v END)"
+        part = f"max(CASE WHEN name = '{name}' THEN part END)"
+        return F.expr(f"{low} + ({high} - {low}) * {part}").alias(name)
 
-    columns = []
-    for name in quantiles:
-        low, high = of(name, False), of(name, True)
-        part = F.max(F.when(F.col("name") == name, F.col("position") - F.floor("position")))
-        columns.append((low + (high - low) * part).alias(name))
-    picked = found.groupBy("g").agg(*columns)
-    ends = buckets.groupBy("g").agg(F.min("low").alias("min"), F.max("high").alias("max"))
-    return ends.join(picked, "g", "left").select(
-        F.col("g").alias(group), "min", *quantiles, "max"
-    )
+    picked = found.groupBy("g").agg(*[interpolated(name) for name in quantiles])
+    ends = buckets.groupBy("g").agg(F.expr("min(low) AS min"), F.expr("max(high) AS max"))
+    return ends.join(picked, "g", "left").selectExpr(f"g AS `{group}`", "min", *quantiles, "max")

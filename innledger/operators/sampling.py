@@ -18,4 +18,4 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 
     Each task keeps its own first ``n`` by digest, so nothing is sorted as a whole.
     """
-    return df.orderBy(id_digest(F.col(key), seed), key).limit(n)
+    return df.orderBy(id_digest(f"`{key}`", seed), key).limit(n)

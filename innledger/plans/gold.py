@@ -14,24 +14,26 @@ def daily_revenue(bookings: DataFrame) -> DataFrame:
     no order, so readers sort (``serving.by_date``).
     """
     confirmed = bookings.filter(
-        (F.col("status") == "confirmed")
-        & F.col("total_amount").isNotNull()
-        & F.col("currency").isNotNull()
+        "status = 'confirmed' AND total_amount IS NOT NULL AND currency IS NOT NULL"
     )
-    return confirmed.groupBy(F.col("checkin_date").alias("date")).agg(
-        F.round(exact_sum(F.col("total_amount")), 2).alias("gross_revenue"),
-        F.count(F.lit(1)).alias("bookings_count"),
+    return (
+        confirmed.groupBy("checkin_date")
+        .agg(
+            F.round(exact_sum("total_amount"), 2).alias("gross_revenue"),
+            F.expr("count(*)").alias("bookings_count"),
+        )
+        .withColumnRenamed("checkin_date", "date")
     )
 
 
 def cancellation_rate(bookings: DataFrame) -> DataFrame:
     """Share of cancelled bookings per source, in percent."""
     counted = bookings.groupBy("source").agg(
-        F.count(F.lit(1)).alias("total_bookings"),
-        F.count_if(F.col("status") == "cancelled").alias("cancelled"),
+        F.expr("count(*)").alias("total_bookings"),
+        F.expr("count_if(status = 'cancelled')").alias("cancelled"),
     )
     return counted.withColumn(
-        "cancellation_rate_pct", F.try_divide("cancelled", "total_bookings") * 100
+        "cancellation_rate_pct", F.expr("try_divide(cancelled, total_bookings) * 100")
     )
 
 
@@ -43,27 +45,23 @@ def collection_rate(payments: DataFrame, bookings: DataFrame) -> DataFrame:
     before they meet, so a booking with very many payments joins as one row.
     """
     paid = (
-        payments.filter(
-            ~F.col("orphan") & ~F.col("over_amount") & F.col("currency").isNotNull()
-        )
+        payments.filter("NOT orphan AND NOT over_amount AND currency IS NOT NULL")
         .groupBy("booking_id")
-        .agg(F.count(F.lit(1)).alias("payments"), exact_sum(F.col("amount")).alias("paid"))
+        .agg(F.expr("count(*)").alias("payments"), exact_sum("amount").alias("paid"))
     )
     booked = bookings.groupBy("booking_id", "hotel_id").agg(
-        F.count(F.lit(1)).alias("copies"), exact_sum(F.col("total_amount")).alias("value")
+        F.expr("count(*)").alias("copies"), exact_sum("total_amount").alias("value")
     )
     totals = (
         paid.join(booked, "booking_id", "left")
         .groupBy("hotel_id")
         .agg(
-            exact_sum(F.col("value") * F.col("payments")).alias("total_bookings_value"),
-            exact_sum(F.col("paid") * F.coalesce("copies", F.lit(1))).alias(
-                "total_payments_value"
-            ),
+            exact_sum("value * payments").alias("total_bookings_value"),
+            exact_sum("paid * coalesce(copies, 1)").alias("total_payments_value"),
         )
     )
     return totals.withColumn(
-        "collection_rate", F.try_divide("total_payments_value", "total_bookings_value")
+        "collection_rate", F.expr("try_divide(total_payments_value, total_bookings_value)")
     )
 
 
@@ -72,13 +70,13 @@ def overbooking_alerts(bookings: DataFrame) -> DataFrame:
 
     A booking with NULL status is left out.
     """
-    return overlapping_pairs(bookings.filter(F.col("status") != "cancelled"))
+    return overlapping_pairs(bookings.filter("status != 'cancelled'"))
 
 
 def customer_value(bookings: DataFrame) -> DataFrame:
     """Bookings, revenue and average ticket per customer, whatever the status."""
     return bookings.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("bookings_count"),
-        exact_sum(F.col("total_amount")).alias("revenue_sum"),
-        exact_avg(F.col("total_amount")).alias("avg_ticket"),
+        F.expr("count(*)").alias("bookings_count"),
+        exact_sum("total_amount").alias("revenue_sum"),
+        exact_avg("total_amount").alias("avg_ticket"),
     )

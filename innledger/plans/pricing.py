@@ -28,26 +28,25 @@ def price_features(
     not change with partitioning.
     """
     about_rooms = rooms.select("room_id", "room_type_code", "max_occupancy")
-    day = F.col("checkin_date")
     return (
-        bookings.filter(F.col("total_amount") > 0)
-        .select("booking_id", "room_id", "checkin_date", "checkout_date", "total_amount")
-        .withColumn("stay_duration", stay_nights(day, F.col("checkout_date")))
-        .filter(F.col("stay_duration") > 0)
+        bookings.filter("total_amount > 0")
+        .withColumn("stay_duration", stay_nights("checkin_date", "checkout_date"))
+        .filter("stay_duration > 0")
+        .select("booking_id", "room_id", "checkin_date", "total_amount", "stay_duration")
         .join(about_rooms, "room_id", "left")
-        .filter(F.col("max_occupancy").isNotNull())
+        .filter("max_occupancy IS NOT NULL")
         .select(
             "booking_id",
             F.col("total_amount").alias("actual_price"),
             "stay_duration",
             "max_occupancy",
             "room_type_code",
-            room_type_number(F.col("room_type_code"), room_types).alias("room_type_num"),
-            F.month(day).alias("month"),
-            season(day).alias("season"),
-            is_weekend(day).alias("is_weekend"),
+            room_type_number("room_type_code", room_types).alias("room_type_num"),
+            F.month("checkin_date").alias("month"),
+            season("checkin_date").alias("season"),
+            is_weekend("checkin_date").alias("is_weekend"),
             # A NULL id hashes like an empty one, so the flag is never NULL.
-            (id_bucket(F.col("booking_id"), SEED, 10) < TRAIN_TENTHS).alias("is_train"),
+            (id_bucket("booking_id", SEED, 10) < TRAIN_TENTHS).alias("is_train"),
         )
     )
 
@@ -91,19 +90,19 @@ def price_model_metrics(predictions: DataFrame) -> DataFrame:
 
     ``baseline_rmse`` is the error of always predicting their mean.
     """
-    error = F.col("actual_price") - F.col("predicted_price")
     return (
         predictions.filter("NOT is_train")
-        .agg(
-            F.count(F.lit(1)).alias("test_rows"),
-            F.avg(error * error).alias("mse"),
-            F.var_pop("actual_price").alias("variance"),
+        .selectExpr("actual_price", "actual_price - predicted_price AS error")
+        .selectExpr(
+            "count(*) AS test_rows",
+            "avg(error * error) AS mse",
+            "var_pop(actual_price) AS variance",
         )
-        .select(
+        .selectExpr(
             "test_rows",
-            F.sqrt("mse").alias("rmse"),
-            (1 - F.try_divide("mse", "variance")).alias("r2"),
-            F.sqrt("variance").alias("baseline_rmse"),
+            "sqrt(mse) AS rmse",
+            "1 - try_divide(mse, variance) AS r2",
+            "sqrt(variance) AS baseline_rmse",
         )
     )
 

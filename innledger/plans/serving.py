@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innledger.operators.quantiles import grouped_quantiles
@@ -22,8 +22,8 @@ def by_date(daily: DataFrame) -> DataFrame:
 
 def daily_bookings_trend(daily: DataFrame) -> DataFrame:
     """Bookings per calendar day."""
-    return daily.groupBy(F.date_trunc("DAY", "date").cast("date").alias("day")).agg(
-        F.sum("bookings_count").alias("bookings")
+    return daily.groupBy(F.expr("CAST(date_trunc('DAY', date) AS DATE)").alias("day")).agg(
+        F.expr("sum(bookings_count)").alias("bookings")
     )
 
 
@@ -47,21 +47,20 @@ def collection_for_hotel(collection: DataFrame, hotel_id) -> DataFrame:
 
 def collection_report(collection: DataFrame) -> DataFrame:
     """Hotels by falling collection rate, marked when below target, with display texts."""
-    rate = F.col("collection_rate")
 
-    def text(pattern: str, value: Column) -> Column:
-        return F.when(value.isNotNull(), F.format_string(pattern, value))
+    def text(pattern, value):
+        return f"CASE WHEN {value} IS NOT NULL THEN format_string('{pattern}', {value}) END"
 
-    return collection.select(
+    return collection.selectExpr(
         "hotel_id",
         "total_bookings_value",
         "total_payments_value",
         "collection_rate",
-        F.coalesce(rate < COLLECTION_TARGET, F.lit(False)).alias("below_target"),
-        text("%.2f", F.col("total_bookings_value")).alias("bookings_value_text"),
-        text("%.2f", F.col("total_payments_value")).alias("payments_value_text"),
-        text("%.2f%%", rate * 100).alias("collection_rate_text"),
-    ).orderBy(rate.desc_nulls_last(), "hotel_id")
+        f"coalesce(collection_rate < {COLLECTION_TARGET}, false) AS below_target",
+        f"{text('%.2f', 'total_bookings_value')} AS bookings_value_text",
+        f"{text('%.2f', 'total_payments_value')} AS payments_value_text",
+        f"{text('%.2f%%', 'collection_rate * 100')} AS collection_rate_text",
+    ).orderBy(F.col("collection_rate").desc_nulls_last(), "hotel_id")
 
 
 def ticket_box_plot(customers: DataFrame) -> DataFrame:
@@ -75,7 +74,7 @@ def top_customers(customers: DataFrame, n: int = TOP_ROWS) -> DataFrame:
 
 def top_overbooked_rooms(alerts: DataFrame, n: int = TOP_ROWS) -> DataFrame:
     """Rooms with the most overlapping pairs; NULL rooms are not counted."""
-    counted = alerts.filter(F.col("room_id").isNotNull()).groupBy("room_id").count()
+    counted = alerts.filter("room_id IS NOT NULL").groupBy("room_id").count()
     return top_rows(counted, "count", ["room_id"], n)
 
 
@@ -89,16 +88,14 @@ def overbooking_page(
     return ordered.offset(page * page_rows).limit(page_rows)
 
 
-def filter_values(df: DataFrame, column: str, other_filters: Column) -> DataFrame:
+def filter_values(df: DataFrame, column: str, other_filters: str) -> DataFrame:
     """Values a filter offers, with how many rows the other filters leave for each."""
-    return df.groupBy(column).agg(F.count_if(other_filters).alias("associated"))
+    return df.groupBy(column).agg(F.expr(f"count_if({other_filters})").alias("associated"))
 
 
 def prediction_bounds(predictions: DataFrame) -> DataFrame:
     """Ends of the diagonal on which predicted equals actual."""
-    return predictions.agg(
-        F.min("actual_price").alias("lowest"), F.max("actual_price").alias("highest")
-    )
+    return predictions.selectExpr("min(actual_price) AS lowest", "max(actual_price) AS highest")
 
 
 def prediction_scatter(predictions: DataFrame) -> DataFrame:

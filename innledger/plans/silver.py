@@ -9,6 +9,7 @@ from innledger.functions.cleaning import (
     FAKE_COUNTRY,
     VALID_CURRENCIES,
     blank_to_null,
+    listed,
     negative_to_null,
     ordered_dates,
     unlisted_to_null,
@@ -29,7 +30,7 @@ def hotels(
 
 def customers(raw: DataFrame, tie_break: Sequence[str] | None = None) -> DataFrame:
     """One row per customer, blank e-mails as NULL."""
-    cleaned = raw.withColumn("email", blank_to_null(F.col("email")))
+    cleaned = raw.withColumn("email", blank_to_null("email"))
     return first_per_key(cleaned, ["customer_id"], tie_break)
 
 
@@ -43,12 +44,12 @@ def bookings(raw: DataFrame) -> DataFrame:
 
     Bookings are not deduplicated.
     """
-    checkin, checkout = ordered_dates(F.col("checkin_date"), F.col("checkout_date"))
-    return raw.filter(F.col("currency").isin(*VALID_CURRENCIES)).withColumns(
+    checkin, checkout = ordered_dates("checkin_date", "checkout_date")
+    return raw.filter(listed("currency", VALID_CURRENCIES)).withColumns(
         {
             "checkin_date": checkin,
             "checkout_date": checkout,
-            "total_amount": negative_to_null(F.col("total_amount")),
+            "total_amount": negative_to_null("total_amount"),
         }
     )
 
@@ -62,13 +63,13 @@ def payments(raw: DataFrame, raw_bookings: DataFrame) -> DataFrame:
     """
     booked = collapse_copies(raw_bookings, ["booking_id", "total_amount"], "_copies")
     joined = raw.join(booked, "booking_id", "left").withColumn(
-        "_copies", F.coalesce("_copies", F.lit(1))
+        "_copies", F.expr("coalesce(_copies, 1)")
     )
     flagged = expand_copies(joined, "_copies").withColumns(
         {
-            "orphan": F.col("total_amount").isNull(),
-            "over_amount": F.col("amount") > F.col("total_amount"),
-            "currency": unlisted_to_null(F.col("currency"), VALID_CURRENCIES),
+            "orphan": F.expr("total_amount IS NULL"),
+            "over_amount": F.expr("amount > total_amount"),
+            "currency": unlisted_to_null("currency", VALID_CURRENCIES),
         }
     )
     return flagged.select(*raw.columns, "orphan", "over_amount")

@@ -8,115 +8,101 @@ and missing amounts, unknown currencies, payments without a booking.
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+# Types of the columns in use; declaring them spares a look into the files.
+_SCHEMAS = {
+    "nation": "n_nationkey INT, n_name STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "part": "p_partkey BIGINT, p_type STRING, p_size INT",
+    "customer": "c_custkey BIGINT, c_name STRING",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+        " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,"
+        " l_extendedprice DOUBLE"
+    ),
+}
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _copies_when(repeated: Column) -> Column:
+def _copies_when(repeated: str) -> str:
     """Copy number 0 for every row, and 1 as well for the repeated ones."""
-    return F.explode(
-        F.when(repeated, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    ).alias("copy_no")
+    return f"explode(CASE WHEN {repeated} THEN array(0, 1) ELSE array(0) END) AS copy_no"
 
 
 def raw_hotels(spark: SparkSession, folder: str) -> DataFrame:
-    nations = _table(spark, folder, "nation").select("n_nationkey", "n_name")
-    key = F.col("s_nationkey")
     return (
         _table(spark, folder, "supplier")
-        .join(nations, F.col("n_nationkey") == key, "left")
-        .select(
-            F.col("s_suppkey").alias("hotel_id"),
-            F.col("s_name").alias("hotel_name"),
-            (3 + F.col("s_suppkey") % 3).cast("int").alias("stars"),
-            F.when(key == 0, "XX").when(key == 1, None).otherwise(F.col("n_name")).alias("country"),
+        .withColumnRenamed("s_nationkey", "n_nationkey")
+        .join(_table(spark, folder, "nation"), "n_nationkey", "left")
+        .selectExpr(
+            "s_suppkey AS hotel_id",
+            "s_name AS hotel_name",
+            "CAST(3 + s_suppkey % 3 AS INT) AS stars",
+            "CASE n_nationkey WHEN 0 THEN 'XX' WHEN 1 THEN NULL ELSE n_name END AS country",
         )
     )
 
 
 def raw_rooms(spark: SparkSession, folder: str) -> DataFrame:
-    kind = F.col("p_type")
-    return _table(spark, folder, "part").select(
-        F.col("p_partkey").alias("room_id"),
-        (F.col("p_partkey") % 10).alias("hotel_id"),
-        F.when(kind == "ECONOMY", "single")
-        .when(kind == "STANDARD", "double")
-        .when(kind == "PROMO", "suite")
-        .when(kind == "LARGE", "family")
-        .otherwise(kind)
-        .alias("room_type_code"),
-        kind.alias("room_type_desc"),
-        F.when(F.col("p_size") % 10 == 0, None)
-        .otherwise(1 + F.col("p_size") % 4)
-        .alias("max_occupancy"),
-        _copies_when(F.col("p_partkey") % 50 == 0),
+    return _table(spark, folder, "part").selectExpr(
+        "p_partkey AS room_id",
+        "p_partkey % 10 AS hotel_id",
+        "CASE p_type WHEN 'ECONOMY' THEN 'single' WHEN 'STANDARD' THEN 'double'"
+        " WHEN 'PROMO' THEN 'suite' WHEN 'LARGE' THEN 'family' ELSE p_type END"
+        " AS room_type_code",
+        "p_type AS room_type_desc",
+        "CASE WHEN p_size % 10 = 0 THEN NULL ELSE 1 + p_size % 4 END AS max_occupancy",
+        _copies_when("p_partkey % 50 = 0"),
     )
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return _table(spark, folder, "customer").select(
-        key.alias("customer_id"),
-        F.col("c_name").alias("name"),
-        F.when(key % 7 == 0, "")
-        .otherwise(F.concat(F.lit("c"), key.cast("string"), F.lit("@example.com")))
-        .alias("email"),
-        _copies_when(key % 40 == 0),
+    return _table(spark, folder, "customer").selectExpr(
+        "c_custkey AS customer_id",
+        "c_name AS name",
+        "CASE WHEN c_custkey % 7 = 0 THEN ''"
+        " ELSE concat('c', CAST(c_custkey AS STRING), '@example.com') END AS email",
+        _copies_when("c_custkey % 40 = 0"),
     )
 
 
 def raw_bookings(spark: SparkSession, folder: str) -> DataFrame:
-    key, price = F.col("o_orderkey"), F.col("o_totalprice")
-    room = F.floor(F.col("o_custkey") / 10)
-    day = F.col("o_orderdate").cast("date")
-    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    return _table(spark, folder, "orders").select(
-        key.alias("booking_id"),
-        F.col("o_custkey").alias("customer_id"),
-        room.alias("room_id"),
-        (room % 10).alias("hotel_id"),
-        day.alias("checkin_date"),
-        F.when(key % 97 == 0, None)
-        .otherwise(F.date_add(day, (key % 11 - 2).cast("int")))
-        .alias("checkout_date"),
-        F.when(key % 23 == 0, -price)
-        .when(key % 29 == 0, None)
-        .otherwise(price)
-        .alias("total_amount"),
-        F.when(key % 13 == 0, "XXX")
-        .when(key % 13 == 1, None)
-        .when(key % 13 < 6, "USD")
-        .when(key % 13 < 9, "GBP")
-        .otherwise("EUR")
-        .alias("currency"),
-        F.when(status == "F", "confirmed")
-        .when(status == "O", "cancelled")
-        .otherwise("pending")
-        .alias("status"),
-        F.when(key % 89 == 0, None)
-        .when(priority == "1-URGENT", "mobile")
-        .when(priority == "2-HIGH", "expedia")
-        .when(priority == "3-MEDIUM", "booking.com")
-        .when(priority == "4-NOT SPECIFIED", "walk_in")
-        .otherwise("web")
-        .alias("source"),
+    return _table(spark, folder, "orders").selectExpr(
+        "o_orderkey AS booking_id",
+        "o_custkey AS customer_id",
+        "floor(o_custkey / 10) AS room_id",
+        "floor(o_custkey / 10) % 10 AS hotel_id",
+        "CAST(o_orderdate AS DATE) AS checkin_date",
+        "CASE WHEN o_orderkey % 97 = 0 THEN NULL"
+        " ELSE date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 11 - 2 AS INT)) END"
+        " AS checkout_date",
+        "CASE WHEN o_orderkey % 23 = 0 THEN -o_totalprice WHEN o_orderkey % 29 = 0 THEN NULL"
+        " ELSE o_totalprice END AS total_amount",
+        "CASE WHEN o_orderkey % 13 = 0 THEN 'XXX' WHEN o_orderkey % 13 = 1 THEN NULL"
+        " WHEN o_orderkey % 13 < 6 THEN 'USD' WHEN o_orderkey % 13 < 9 THEN 'GBP'"
+        " ELSE 'EUR' END AS currency",
+        "CASE o_orderstatus WHEN 'F' THEN 'confirmed' WHEN 'O' THEN 'cancelled'"
+        " ELSE 'pending' END AS status",
+        "CASE WHEN o_orderkey % 89 = 0 THEN NULL WHEN o_orderpriority = '1-URGENT' THEN 'mobile'"
+        " WHEN o_orderpriority = '2-HIGH' THEN 'expedia'"
+        " WHEN o_orderpriority = '3-MEDIUM' THEN 'booking.com'"
+        " WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'walk_in' ELSE 'web' END AS source",
     )
 
 
 def raw_payments(spark: SparkSession, folder: str) -> DataFrame:
-    order, supplier = F.col("l_orderkey"), F.col("l_suppkey")
-    return _table(spark, folder, "lineitem").select(
-        (order * 10 + F.col("l_linenumber")).alias("payment_id"),
-        F.when(F.col("l_partkey") % 31 == 0, -order - 1).otherwise(order).alias("booking_id"),
-        F.col("l_extendedprice").alias("amount"),
-        F.when(supplier % 10 == 9, "XXX")
-        .when(supplier % 10 == 8, None)
-        .otherwise("EUR")
-        .alias("currency"),
+    return _table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS payment_id",
+        "CASE WHEN l_partkey % 31 = 0 THEN -l_orderkey - 1 ELSE l_orderkey END AS booking_id",
+        "l_extendedprice AS amount",
+        "CASE l_suppkey % 10 WHEN 9 THEN 'XXX' WHEN 8 THEN NULL ELSE 'EUR' END AS currency",
     )
 
 
