@@ -12,10 +12,10 @@ of level ``k`` is ``16**k`` days long and starts at a multiple of its length; an
 days is a short list of such blocks, none overlapping another. A check-in day lies in one
 block per level, so it meets a stay around it in exactly one block, once.
 
-Hence the join key is (room, block). A room that holds much of the table is spread over
-its calendar, and candidates are true pairs up to a factor of two: work grows with input
-and output, not with the square of a room. A stay of ``n`` days gives at most 30 blocks
-per level and O(log n) levels, so open-ended check-out dates are harmless.
+Hence the join key is (room, level, block). A room that holds much of the table is spread
+over its calendar, and candidates are true pairs up to a factor of two: work grows with
+input and output, not with the square of a room. A stay of ``n`` days gives at most 30
+blocks per level and O(log n) levels, so open-ended check-out dates are harmless.
 """
 
 from pyspark.sql import DataFrame
@@ -24,57 +24,66 @@ from pyspark.sql import functions as F
 from innledger.operators.copies import collapse_copies, expand_copies
 
 _BITS = 4  # a block holds 2**4 = 16 blocks of the level below
-_LEVELS = 6  # the top level is 16**5 days, so four blocks span all of Spark's dates
-_SAME_DAY = 7  # marks the key for stays that begin on the same day
-_STEP = 8  # a key is position * 8 + level
+_MAX_LEVELS = 6  # 16**5 days: four such blocks span all of Spark's dates
+_SAME_DAY = -1  # the level for stays that begin on the same day
 
-# Expressions over a stay's day numbers: s = check-in, e = check-out.
-_NO_KEYS = "CAST(array() AS ARRAY<BIGINT>)"
-_SAME_DAY_KEY = f"CASE WHEN e > s THEN array(s * {_STEP} + {_SAME_DAY}) ELSE {_NO_KEYS} END"
+# Expressions over a stay's day numbers, s = check-in and e = check-out, at a level.
+_LONGER_THAN = [
+    f"CAST(coalesce(max(e - s), 0) > {1 << _BITS * level} AS INT)" for level in range(_MAX_LEVELS)
+]
+# A block fits inside a stay only if the stay is longer than it.
+_TOP_LEVEL = f"{' + '.join(_LONGER_THAN)} - 1"
 
 
-def _keys_between(start: str, end: str, level: int) -> str:
-    """Keys of the blocks ``start <= position < end``; an empty array if there are none."""
-    keys = f"sequence(({start}) * {_STEP} + {level}, (({end}) - 1) * {_STEP} + {level}, {_STEP}L)"
-    return f"CASE WHEN ({start}) < ({end}) THEN {keys} ELSE {_NO_KEYS} END"
+def _first(level: str) -> str:
+    """The first block that lies wholly after the check-in day."""
+    return f"shiftright(s + shiftleft(1L, {_BITS} * ({level})), {_BITS} * ({level}))"
 
 
-def _inside_keys() -> str:
-    """Keys of the blocks that make up the days after check-in and before check-out."""
+def _stop(level: str) -> str:
+    """The block after the last one that lies wholly before the check-out day."""
+    return f"shiftright(e, {_BITS} * ({level}))"
 
-    def first(level):  # the first block that lies wholly inside
-        return f"shiftright(s + {1 << _BITS * level}L, {_BITS * level})"
 
-    def stop(level):  # the block after the last such one
-        return f"shiftright(e, {_BITS * level})"
+def _range(start: str, stop: str) -> str:
+    empty = "CAST(array() AS ARRAY<BIGINT>)"
+    return f"CASE WHEN {start} < {stop} THEN sequence({start}, {stop} - 1) ELSE {empty} END"
 
-    top = _LEVELS - 1
-    parts = [_keys_between(first(top), stop(top), top)]
-    for level in range(top):
-        # Blocks of the level above cover the middle; this level fills in both ends.
-        middle = f"{first(level + 1)} < {stop(level + 1)}"
-        middle_start = f"{first(level + 1)} * {1 << _BITS}"
-        middle_stop = f"{stop(level + 1)} * {1 << _BITS}"
-        before = _keys_between(first(level), middle_start, level)
-        after = _keys_between(middle_stop, stop(level), level)
-        whole = _keys_between(first(level), stop(level), level)
-        parts.append(f"CASE WHEN {middle} THEN concat({before}, {after}) ELSE {whole} END")
-    return f"concat({', '.join(parts)})"
 
+def _around(stays: DataFrame) -> DataFrame:
+    """One row per block that is inside the stay, and one for its first day.
 
-def _check_in_keys(longest: str) -> str:
-    """Keys of the blocks around the check-in day, on the levels a stay can reach.
-
-    ``longest`` is the number of days of the longest stay in the table. A block of
-    ``n`` days fits inside a stay only if it lasts more than ``n``.
+    Where blocks of the level above cover the middle, a level fills in the two ends.
     """
-    keys = ", ".join(
-        f"shiftright(s, {_BITS * level}) * {_STEP} + {level}" for level in range(_LEVELS)
-    )
-    levels = " + ".join(
-        f"CAST({longest} > {1 << _BITS * level} AS INT)" for level in range(_LEVELS)
+    inside = f"concat({_range('first', 'before_stop')}, {_range('after_first', 'stop')})"
+    return (
+        stays.selectExpr(
+            "*",
+            f"{_first('level')} AS first",
+            f"{_stop('level')} AS stop",
+            f"{_first('level + 1')} * {1 << _BITS} AS middle_first",
+            f"{_stop('level + 1')} * {1 << _BITS} AS middle_stop",
+        )
+        .selectExpr(
+            "*",
+            "if(middle_first < middle_stop, middle_first, stop) AS before_stop",
+            "if(middle_first < middle_stop, middle_stop, stop) AS after_first",
+        )
+        .selectExpr(
+            *stays.columns,
+            f"explode(CASE WHEN level != {_SAME_DAY} THEN {inside}"
+            " WHEN e > s THEN array(s) END) AS block",
+        )
     )
-    return f"slice(array({keys}), 1, {levels})"
+
+
+def _begins(stays: DataFrame) -> DataFrame:
+    """One row per block the check-in day lies in, and one for the day itself."""
+    return stays.selectExpr(
+        "*",
+        f"CASE WHEN level != {_SAME_DAY} THEN shiftright(s, {_BITS} * level)"
+        " WHEN e > s THEN s END AS block",
+    ).filter("block IS NOT NULL")
 
 
 def overlapping_pairs(
@@ -96,36 +105,33 @@ def overlapping_pairs(
         f"CAST(unix_date(CAST(`{checkin}` AS DATE)) AS BIGINT) AS s",
         f"CAST(unix_date(CAST(`{checkout}` AS DATE)) AS BIGINT) AS e",
     ).dropna()
-    stays = collapse_copies(days, ["room", "id", "s", "e"], "copies")
-    # One number for the whole table. Without it every check-in would be sent to levels
-    # that no stay reaches.
-    longest = days.agg(F.expr("coalesce(max(e - s), 0)")).scalar()
-
-    around = stays.withColumn("key", F.expr(f"explode(concat({_inside_keys()}, {_SAME_DAY_KEY}))"))
-    begins = stays.withColumn("longest", longest).selectExpr(
-        "room",
-        "id",
-        "s",
-        "e",
-        "copies",
-        f"explode(concat({_check_in_keys('longest')}, {_SAME_DAY_KEY})) AS key",
-    )
-    same_day = f"pmod(a.key, {_STEP}) = {_SAME_DAY}"
-    pairs = around.alias("a").join(
-        begins.alias("b"),
-        F.expr(
-            "a.room = b.room AND a.key = b.key AND a.id != b.id"
-            f" AND (NOT ({same_day}) OR a.id < b.id)"
-        ),
+    # One number for the whole table, so that check-ins are not sent to levels that no
+    # stay reaches.
+    top_level = days.agg(F.expr(_TOP_LEVEL)).scalar()
+    stays = (
+        collapse_copies(days, ["room", "id", "s", "e"], "copies")
+        .withColumn("top_level", top_level)
+        .selectExpr(
+            "room", "id", "s", "e", "copies", f"explode(sequence({_SAME_DAY}, top_level)) AS level"
+        )
     )
-    return expand_copies(
-        pairs.selectExpr(
+    pairs = (
+        _around(stays)
+        .alias("a")
+        .join(
+            _begins(stays).alias("b"),
+            F.expr(
+                "a.room = b.room AND a.level = b.level AND a.block = b.block AND a.id != b.id"
+                f" AND (a.level != {_SAME_DAY} OR a.id < b.id)"
+            ),
+        )
+        .selectExpr(
             f"a.room AS `{room}`",
             f"least(a.id, b.id) AS `{booking}_1`",
             f"greatest(a.id, b.id) AS `{booking}_2`",
             "date_from_unix_date(CAST(b.s AS INT)) AS overlap_start",
             "date_from_unix_date(CAST(least(a.e, b.e) AS INT)) AS overlap_end",
             "a.copies * b.copies AS copies",
-        ),
-        "copies",
+        )
     )
+    return expand_copies(pairs, "copies")
