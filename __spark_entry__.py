@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,10 +12,11 @@ from innledger.functions.hashing import id_digest
 from innledger.operators.expectations import rule_metrics
 from innledger.operators.sampling import sample_rows
 from innledger.plans import gold, pricing, serving, silver
+from innledger.plans.refresh import refresh_bronze
 from innledger.schemas import INGESTION_COLUMN, LANDING_TABLES
 from innledger.session import shared_folder, tuned
 from innledger.sources import star_schema as raw
-from innledger.sources.landing import ingest, write_landing
+from innledger.sources.landing import write_landing
 from innledger.sources.layers import LayerStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,8 +73,8 @@ def _features(spark, sf):
 def _predictions(spark, sf):
     """Features are stored first, since training reads them several times."""
     store = LayerStore(spark, shared_folder(spark))
-    store.write(_features(spark, sf), "silver.price_features")
-    features = store.read("silver.price_features")
+    store.write(_features(spark, sf), "gold.price_features")
+    features = store.read("gold.price_features")
     return pricing.predicted_prices(
         pricing.train_price_model(features, TREES, DEPTH), features
     )
@@ -79,22 +82,27 @@ def _predictions(spark, sf):
 
 def _bronze_ingest(spark, sf):
     """Land the five raw tables as CSV, ingest them, and count what arrived."""
-    folder = shared_folder(spark)
-    store = LayerStore(spark, folder)
-    counts = None
-    for table in LANDING_TABLES:
-        write_landing(raw.RAW_TABLES[table](spark, sf), f"{folder}/landing", table)
-        store.write(ingest(spark, f"{folder}/landing", table), f"bronze.{table}")
+    store = LayerStore(spark, shared_folder(spark))
+    landing = f"{store.root}/landing"
+
+    def land(table):
+        write_landing(raw.RAW_TABLES[table](spark, sf), landing, table)
+
+    with ThreadPoolExecutor(len(LANDING_TABLES)) as pool:
+        list(pool.map(land, LANDING_TABLES))
+    refresh_bronze(store, landing)
+
+    def counted(table):
         df = store.read(f"bronze.{table}")
         filled = " + ".join(f"count({c})" for c in df.columns if c != INGESTION_COLUMN)
-        counted = df.selectExpr(
+        return df.selectExpr(
             f"'{table}' AS table_name",
             "count(*) AS row_count",
             f"count({INGESTION_COLUMN}) AS stamped_rows",
             f"{filled} AS filled_cells",
         )
-        counts = counted if counts is None else counts.unionByName(counted)
-    return counts
+
+    return reduce(DataFrame.unionByName, map(counted, LANDING_TABLES))
 
 
 def _box_plot(spark, sf):

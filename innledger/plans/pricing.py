@@ -15,6 +15,7 @@ from innledger.functions.stays import is_weekend, room_type_number, season, stay
 FEATURES = ["stay_duration", "max_occupancy", "room_type_num", "season", "is_weekend"]
 SEED = 42
 TREES = 100
+DEPTH = 10
 TRAIN_TENTHS = 8
 
 
@@ -52,7 +53,7 @@ def price_features(
 
 
 def train_price_model(
-    features: DataFrame, trees: int = TREES, max_depth: int = 10, seed: int = SEED
+    features: DataFrame, trees: int = TREES, max_depth: int = DEPTH, seed: int = SEED
 ) -> PipelineModel:
     """Fit the forest on the training part. Every split may use every feature.
 

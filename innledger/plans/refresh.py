@@ -1,10 +1,13 @@
 """The full refresh: landing files to bronze, silver, gold and the price model.
 
-Each table is written before the next reads it, so a lost executor repeats one table's
-work at most, and the bookings that six tables need are cleaned once.
+Each table is written before the next layer reads it, so a lost executor repeats one
+table's work at most, and the bookings that six tables need are cleaned once. Tables of
+one layer do not need each other; their Spark jobs are submitted side by side, so small
+tables do not leave a cluster idle.
 """
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation
@@ -16,7 +19,7 @@ from innledger.sources.layers import LayerStore
 
 
 class LayerTable(NamedTuple):
-    """How to build a table from others; these come first in ``TABLES``."""
+    """The tables of earlier layers that a table is built from, and how."""
 
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
@@ -28,9 +31,6 @@ TABLES: dict[str, LayerTable] = {
     "silver.rooms": LayerTable(("bronze.rooms",), silver.rooms),
     "silver.bookings": LayerTable(("bronze.bookings",), silver.bookings),
     "silver.payments": LayerTable(("bronze.payments", "bronze.bookings"), silver.payments),
-    "silver.price_features": LayerTable(
-        ("silver.bookings", "silver.rooms"), pricing.price_features
-    ),
     "gold.daily_revenue": LayerTable(("silver.bookings",), gold.daily_revenue),
     "gold.cancellation_rate": LayerTable(("silver.bookings",), gold.cancellation_rate),
     "gold.collection_rate": LayerTable(
@@ -38,44 +38,63 @@ TABLES: dict[str, LayerTable] = {
     ),
     "gold.overbooking_alerts": LayerTable(("silver.bookings",), gold.overbooking_alerts),
     "gold.customer_value": LayerTable(("silver.bookings",), gold.customer_value),
+    "gold.price_features": LayerTable(
+        ("silver.bookings", "silver.rooms"), pricing.price_features
+    ),
 }
 
 
+def _side_by_side(work: Callable, items: Iterable) -> list:
+    items = list(items)
+    if not items:
+        return []
+    with ThreadPoolExecutor(len(items)) as pool:
+        return list(pool.map(work, items))
+
+
 def refresh_bronze(
     store: LayerStore, landing: str, tables: Iterable[str] = LANDING_TABLES, infer: bool = False
 ) -> None:
-    for table in tables:
+    """Ingest ``landing/<table>.csv`` into ``bronze.<table>``."""
+
+    def refresh(table):
         store.write(ingest(store.spark, landing, table, infer), f"bronze.{table}")
 
+    _side_by_side(refresh, tables)
 
-def refresh_tables(store: LayerStore, names: Iterable[str] = TABLES) -> dict[str, dict]:
-    """Rebuild the named tables in the order of ``TABLES``.
 
-    Returns the row-rule counts of the tables that have rules, collected while writing.
+def refresh_layer(
+    store: LayerStore, layer: str, names: Iterable[str] = TABLES
+) -> dict[str, dict]:
+    """Rebuild the layer's tables, or those of them that are named.
+
+    Returns the row-rule counts of the hotels, collected while they are written.
     """
-    wanted = set(names)
-    metrics = {}
-    for name, (inputs, build) in TABLES.items():
-        if name not in wanted:
-            continue
+
+    def refresh(name):
+        inputs, build = TABLES[name]
         sources = [store.read(i) for i in inputs]
-        if build is silver.hotels:
-            observed = Observation()
-            store.write(build(*sources, observation=observed), name)
-            metrics[name] = observed.get
-        else:
+        if build is not silver.hotels:
             store.write(build(*sources), name)
+            return {}
+        observation = Observation()
+        store.write(build(*sources, observation=observation), name)
+        return {name: observation.get}
+
+    metrics = {}
+    for found in _side_by_side(refresh, [n for n in names if n.startswith(f"{layer}.")]):
+        metrics.update(found)
     return metrics
 
 
 def refresh_prices(
-    store: LayerStore, model_path: str, trees: int = pricing.TREES, max_depth: int = 10
+    store: LayerStore, model_path: str, trees: int = pricing.TREES, max_depth: int = pricing.DEPTH
 ) -> DataFrame:
-    """Train on the stored features, save the model and ``gold.predicted_prices``.
+    """Train on ``gold.price_features``, save the model and ``gold.predicted_prices``.
 
     Returns the model's metrics on the held-out rows.
     """
-    features = store.read("silver.price_features")
+    features = store.read("gold.price_features")
     model = pricing.train_price_model(features, trees, max_depth)
     pricing.save_model(model, model_path)
     store.write(pricing.predicted_prices(model, features), "gold.predicted_prices")
@@ -85,10 +104,10 @@ def refresh_prices(
 def refresh_all(
     store: LayerStore, landing: str, model_path: str, trees: int = pricing.TREES
 ) -> dict[str, dict]:
+    """Everything, from landing files to predictions. Returns rule counts and model metrics."""
     store.create_layers()
     refresh_bronze(store, landing)
-    metrics = refresh_tables(store)
-    metrics["gold.predicted_prices"] = (
-        refresh_prices(store, model_path, trees).first().asDict()
-    )
-    return metrics
+    metrics = refresh_layer(store, "silver")
+    refresh_layer(store, "gold")
+    scores = refresh_prices(store, model_path, trees)
+    return {**metrics, "gold.predicted_prices": scores.first().asDict()}

@@ -1,6 +1,7 @@
 """Session settings and the shared scratch folder."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -22,17 +23,21 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
-    """A single-machine session for tests and benchmarks."""
-    spark = (
+def local_session(cores: str = "8", memory: str = "8g", **settings: str) -> SparkSession:
+    """A single-machine session for tests and benchmarks; settings come without ``spark.``"""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("innledger")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
+        # Keeps Spark from taking a Python stack trace for every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
+    for key, value in settings.items():
+        builder = builder.config(f"spark.{key}", value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tuned(spark)
 
@@ -45,8 +50,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        suffix = spark.sql("SELECT uuid()").first()[0]
-        return f"{configured.rstrip('/')}/innledger-{suffix}"
+        return f"{configured.rstrip('/')}/innledger-{uuid.uuid4()}"
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix="innledger-")

@@ -1,0 +1,168 @@
+import random
+
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from innledger.functions.hashing import id_bucket
+from innledger.functions.money import exact_avg, exact_sum
+from innledger.operators.copies import collapse_copies, expand_copies
+from innledger.operators.dedup import first_per_key
+from innledger.operators.expectations import expect_or_drop, rule_metrics
+from innledger.operators.quantiles import grouped_quantiles
+from innledger.operators.sampling import sample_rows, top_rows
+
+RULES = {"known": "country != 'XX'", "rated": "stars >= 3"}
+HOTELS = [("h1", "XX", 4), ("h2", None, 4), ("h3", "IT", 2), ("h4", "FR", 5)]
+HOTEL_SCHEMA = "hotel_id STRING, country STRING, stars INT"
+
+
+def test_expect_or_drop_null_policy(spark, rows):
+    df = spark.createDataFrame(HOTELS, HOTEL_SCHEMA)
+    assert rows(expect_or_drop(df, RULES), "hotel_id") == [("h2",), ("h4",)]
+    assert rows(expect_or_drop(df, RULES, null_passes=False), "hotel_id") == [("h4",)]
+    assert expect_or_drop(df, {}).count() == 4
+
+
+def test_rule_metrics_and_observation_agree(spark, rows):
+    df = spark.createDataFrame(HOTELS, HOTEL_SCHEMA)
+    metrics = rows(rule_metrics(df, "hotels", RULES))
+    assert metrics == [("hotels", "known", 3, 1), ("hotels", "rated", 3, 1)]
+    observation = Observation()
+    assert expect_or_drop(df, RULES, observation=observation).count() == 2
+    assert observation.get == {"rows": 4, "known": 1, "rated": 1}
+
+
+def test_rule_metrics_of_an_empty_table(spark, rows):
+    df = spark.createDataFrame([], HOTEL_SCHEMA)
+    assert rows(rule_metrics(df, "hotels", RULES)) == [
+        ("hotels", "known", 0, 0),
+        ("hotels", "rated", 0, 0),
+    ]
+
+
+def test_first_per_key(spark, rows):
+    data = [(1, "b", 2), (1, "a", 3), (1, None, 1), (None, "x", 5), (None, "x", 5), (2, "z", 0)]
+    df = spark.createDataFrame(data, "k INT, v STRING, n INT")
+    assert rows(first_per_key(df, ["k"], ["n"])) == [(1, None, 1), (2, "z", 0), (None, "x", 5)]
+    by_value = first_per_key(df.filter("v IS NOT NULL"), ["k"], ["v"])
+    assert by_value.columns == ["k", "v", "n"]
+    assert rows(by_value) == [(1, "a", 3), (2, "z", 0), (None, "x", 5)]
+    assert rows(first_per_key(df.select("k"), ["k"])) == [(1,), (2,), (None,)]
+
+
+def test_first_per_key_reduces_before_the_shuffle(spark):
+    plan = first_per_key(spark.range(10).selectExpr("id % 2 AS k", "id"), ["k"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in text
+    assert "Window" not in text
+
+
+def test_copies_there_and_back(spark, rows):
+    data = [(1, "a")] * 3 + [(None, None)] * 2 + [(2, "b")]
+    df = spark.createDataFrame(data, "k INT, v STRING")
+    collapsed = collapse_copies(df, ["k", "v"], "n")
+    assert rows(collapsed) == [(1, "a", 3), (2, "b", 1), (None, None, 2)]
+    assert rows(expand_copies(collapsed, "n")) == rows(df)
+
+
+def test_expand_copies_beyond_one_chunk(spark):
+    df = spark.createDataFrame([(1, 4096), (2, 4097), (3, 12345)], "k INT, n BIGINT")
+    counts = expand_copies(df, "n").groupBy("k").count()
+    assert {r.k: r["count"] for r in counts.collect()} == {1: 4096, 2: 4097, 3: 12345}
+
+
+def test_exact_sum(spark):
+    data = [("cents", 0.1)] * 10 + [("cents", None), ("mills", 0.0005), ("mills", 1.0)]
+    data += [("nulls", None), ("nan", float("nan")), ("nan", 1.0)]
+    data += [("huge", 1e300), ("huge", 1.0), ("wide", 9e14), ("wide", 9e14)]
+    data += [("inf", float("inf")), ("minus", -2.5), ("minus", 2.5)]
+    df = spark.createDataFrame(data, "k STRING, x DOUBLE")
+    got = {
+        r.k: (r.s, r.a)
+        for r in df.groupBy("k").agg(exact_sum("x").alias("s"), exact_avg("x").alias("a")).collect()
+    }
+    assert got["cents"] == (1.0, 0.1)  # plain float addition gives 0.9999999999999999
+    assert got["mills"] == (1.0005, 0.50025)
+    assert got["nulls"] == (None, None)
+    assert str(got["nan"][0]) == "nan"
+    assert got["huge"][0] == 1e300
+    assert got["wide"] == (1.8e15, 9e14)
+    assert got["inf"][0] == float("inf")
+    assert got["minus"] == (0.0, 0.0)
+
+
+def test_exact_sum_does_not_depend_on_partitioning(spark):
+    df = spark.range(20000).selectExpr("(id * 7919 % 100003) / 100 AS x")
+    sums = {df.repartition(n, "x").agg(exact_sum("x")).first()[0] for n in (1, 3, 7)}
+    assert len(sums) == 1
+
+
+def test_grouped_quantiles_equal_percentile(spark):
+    rng = random.Random(7)
+    data = []
+    for g in range(6):
+        for _ in range(rng.choice([1, 2, 3, 50, 400])):
+            shape = rng.random()
+            value = (
+                None if shape < 0.05
+                else 100.0 if shape < 0.4  # many ties
+                else round(rng.uniform(-1e6, 1e6), 2) if shape < 0.7
+                else round(rng.uniform(99, 101), 4)
+            )
+            data.append((g, value))
+    data += [(98, None), (99, 0.0), (99, -0.0), (None, 5.0)]
+    df = spark.createDataFrame(data, "g INT, v DOUBLE")
+    names = {"q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99}
+    got = {r.g: r for r in grouped_quantiles(df, "g", "v", names).collect()}
+    want = (
+        df.filter("g IS NOT NULL")
+        .groupBy("g")
+        .agg(
+            F.min("v").alias("min"),
+            *[F.percentile("v", q).alias(n) for n, q in names.items()],
+            F.max("v").alias("max"),
+        )
+        .collect()
+    )
+    assert set(got) == {r.g for r in want}
+    for r in want:
+        for column in ("min", *names, "max"):
+            a, b = got[r.g][column], r[column]
+            assert (a is None) == (b is None)
+            assert a is None or abs(a - b) <= 1e-9 * max(1.0, abs(b)), (r.g, column)
+
+
+def test_grouped_quantiles_never_use_percentile(spark):
+    df = spark.range(10).selectExpr("id % 2 AS g", "CAST(id AS DOUBLE) AS v")
+    plan = grouped_quantiles(df, "g", "v", {"q": 0.5})._jdf.queryExecution().toString()
+    assert "percentile" not in plan
+    assert "collect_" not in plan
+
+
+def test_top_rows_and_sample(spark, rows):
+    df = spark.createDataFrame([(1, 5.0), (2, None), (3, 9.0), (4, 9.0)], "id INT, m DOUBLE")
+    assert [r.id for r in top_rows(df, "m", ["id"], 3).collect()] == [3, 4, 1]
+    assert [r.id for r in top_rows(df, "m", ["id"], 9).collect()] == [3, 4, 1, 2]
+
+    many = spark.range(1000)
+    first = rows(sample_rows(many, "id", 50, 1))
+    assert len(first) == len(set(first)) == 50
+    assert rows(sample_rows(many.repartition(7), "id", 50, 1)) == first
+    assert rows(sample_rows(many, "id", 50, 2)) != first
+    assert sample_rows(many, "id", 5000, 1).count() == 1000
+
+
+def test_top_rows_do_not_sort_the_table(spark):
+    plan = top_rows(spark.range(100), "id", ["id"], 3)._jdf.queryExecution().executedPlan()
+    assert "TakeOrderedAndProject" in plan.toString()
+
+
+def test_id_bucket_is_even_and_stable(spark):
+    df = spark.range(10000).withColumn("b", id_bucket("id", 42, 10))
+    counts = [r["count"] for r in df.groupBy("b").count().collect()]
+    assert len(counts) == 10
+    assert min(counts) > 850
+    assert max(counts) < 1150
+    text = spark.range(10000).selectExpr("CAST(id AS STRING) AS id")
+    text = text.withColumn("c", id_bucket("id", 42, 10)).selectExpr("CAST(id AS BIGINT) AS id", "c")
+    assert df.join(text, "id").filter("b != c").count() == 0
