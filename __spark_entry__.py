@@ -310,8 +310,8 @@ _CTES = {
                CAST(month(checkin_date) AS INT) AS month,
                CAST((month(checkin_date) - 1) // 3 + 1 AS INT) AS season,
                CAST(isodow(checkin_date) >= 6 AS INT) AS is_weekend,
-               CAST('0x' || substr(md5(booking_id || '|42'), 1, 8) AS BIGINT) % 10 < 8
-                 AS is_train
+               -- 0.8 as a hexadecimal fraction is 0.cccc...
+               md5(booking_id || '|42') < 'cccccccc' AS is_train
         FROM bookings b LEFT JOIN (SELECT room_id AS r, room_type_code, max_occupancy
                                    FROM rooms) ON r = b.room_id
         WHERE total_amount > 0 AND checkout_date - checkin_date > 0

@@ -13,7 +13,6 @@ def id_digest(key: str, seed: int) -> Column:
     return F.expr(_digest(key, seed))
 
 
-def id_bucket(key: str, seed: int, buckets: int) -> Column:
-    """A bucket number in ``[0, buckets)`` from the digest's first 32 bits."""
-    head = f"conv(substring({_digest(key, seed)}, 1, 8), 16, 10)"
-    return F.expr(f"pmod(CAST({head} AS BIGINT), {buckets})")
+def in_share(key: str, seed: int, share: float) -> Column:
+    """Whether the id belongs to this share (below 1) of all ids: a low enough digest."""
+    return F.expr(f"{_digest(key, seed)} < '{int(share * 16**8):08x}'")

@@ -115,11 +115,13 @@ def overlapping_pairs(
             "room", "id", "s", "e", "copies", f"explode(sequence({_SAME_DAY}, top_level)) AS level"
         )
     )
+    # Spark's size estimate leaves out that one stay becomes many blocks, so it must not
+    # choose to broadcast by it.
     pairs = (
         _around(stays)
         .alias("a")
         .join(
-            _begins(stays).alias("b"),
+            _begins(stays).hint("merge").alias("b"),
             F.expr(
                 "a.room = b.room AND a.level = b.level AND a.block = b.block AND a.id != b.id"
                 f" AND (a.level != {_SAME_DAY} OR a.id < b.id)"

@@ -8,7 +8,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from innledger.functions.hashing import id_bucket
+from innledger.functions.hashing import in_share
 from innledger.functions.stays import is_weekend, room_type_number, season, stay_nights
 
 # Fixed values of the model.
@@ -16,7 +16,7 @@ FEATURES = ["stay_duration", "max_occupancy", "room_type_num", "season", "is_wee
 SEED = 42
 TREES = 100
 DEPTH = 10
-TRAIN_TENTHS = 8
+TRAIN_SHARE = 0.8
 
 
 def price_features(
@@ -47,7 +47,7 @@ def price_features(
             season("checkin_date").alias("season"),
             is_weekend("checkin_date").alias("is_weekend"),
             # A NULL id hashes like an empty one, so the flag is never NULL.
-            (id_bucket("booking_id", SEED, 10) < TRAIN_TENTHS).alias("is_train"),
+            in_share("booking_id", SEED, TRAIN_SHARE).alias("is_train"),
         )
     )
 

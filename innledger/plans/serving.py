@@ -12,6 +12,7 @@ from innledger.operators.sampling import sample_rows, top_rows
 COLLECTION_TARGET = 0.95
 TOP_ROWS = 10
 PAGE_ROWS = 25
+PAGE_ORDER = ("room_id", "booking_id_1", "booking_id_2")
 SAMPLE_ROWS = 200
 TICKET_QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -79,12 +80,28 @@ def top_overbooked_rooms(alerts: DataFrame, n: int = TOP_ROWS) -> DataFrame:
 
 
 def overbooking_page(
-    alerts: DataFrame, page: int = 0, page_rows: int = PAGE_ROWS, room_id=None
+    alerts: DataFrame,
+    page: int = 0,
+    page_rows: int = PAGE_ROWS,
+    room_id=None,
+    after: tuple | None = None,
 ) -> DataFrame:
-    """One page of the alerts, in order of room and bookings; pages count from 0."""
+    """One page of the alerts, in order of room and bookings; pages count from 0.
+
+    Skipping pages still sorts the skipped rows into one task. To read far into the list,
+    pass the room and the two bookings of the last row seen as ``after`` instead.
+    """
     if room_id is not None:
         alerts = alerts.filter(F.col("room_id") == F.lit(room_id))
-    ordered = alerts.orderBy("room_id", "booking_id_1", "booking_id_2", "overlap_start")
+    if after is not None:
+        last_row = F.struct(
+            *[
+                F.lit(v).cast(alerts.schema[c].dataType).alias(c)
+                for c, v in zip(PAGE_ORDER, after, strict=True)
+            ]
+        )
+        alerts = alerts.filter(F.struct(*PAGE_ORDER) > last_row)
+    ordered = alerts.orderBy(*PAGE_ORDER, "overlap_start")
     return ordered.offset(page * page_rows).limit(page_rows)
 
 

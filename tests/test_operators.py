@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from innledger.functions.hashing import id_bucket
+from innledger.functions.hashing import in_share
 from innledger.functions.money import exact_avg, exact_sum
 from innledger.operators.copies import collapse_copies, expand_copies
 from innledger.operators.dedup import first_per_key
@@ -157,12 +157,12 @@ def test_top_rows_do_not_sort_the_table(spark):
     assert "TakeOrderedAndProject" in plan.toString()
 
 
-def test_id_bucket_is_even_and_stable(spark):
-    df = spark.range(10000).withColumn("b", id_bucket("id", 42, 10))
-    counts = [r["count"] for r in df.groupBy("b").count().collect()]
-    assert len(counts) == 10
-    assert min(counts) > 850
-    assert max(counts) < 1150
-    text = spark.range(10000).selectExpr("CAST(id AS STRING) AS id")
-    text = text.withColumn("c", id_bucket("id", 42, 10)).selectExpr("CAST(id AS BIGINT) AS id", "c")
-    assert df.join(text, "id").filter("b != c").count() == 0
+def test_share_of_ids(spark):
+    df = spark.range(10000)
+    for share in (0.1, 0.5, 0.8):
+        assert abs(df.filter(in_share("id", 42, share)).count() / 10000 - share) < 0.02
+    small, large = (df.filter(in_share("id", 42, share)) for share in (0.1, 0.5))
+    assert small.join(large, "id", "left_anti").count() == 0
+    text = df.selectExpr("CAST(id AS STRING) AS id").filter(in_share("id", 42, 0.1))
+    assert text.count() == small.count()
+    assert spark.sql("SELECT CAST(NULL AS INT) AS id").filter(in_share("id", 1, 0.5)).count() in (0, 1)

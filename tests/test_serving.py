@@ -99,6 +99,14 @@ def test_pages_cover_everything_once(alerts):
     assert sum(pages, []) == [tuple(r) for r in ordered]
     assert serving.overbooking_page(alerts, room_id="r05").count() == 5
 
+    known = alerts.filter("room_id IS NOT NULL")
+    first = serving.overbooking_page(known).collect()
+    last = first[-1]
+    onward = serving.overbooking_page(
+        known, after=(last.room_id, last.booking_id_1, last.booking_id_2)
+    )
+    assert onward.collect() == serving.overbooking_page(known, 1).collect()
+
 
 def test_filter_values(alerts, rows):
     values = dict(rows(serving.filter_values(alerts, "room_id", "overlap_start < '2024-05-02'")))
