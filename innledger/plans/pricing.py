@@ -57,8 +57,14 @@ def train_price_model(
 ) -> PipelineModel:
     """Fit the forest on the training part. Every split may use every feature.
 
-    Spark reads the features several times while it trains: hand in a stored table.
+    Spark reads the features several times while it trains: hand in a stored table. It
+    trains with a task per partition, so rows in fewer partitions than there are cores are
+    spread out first; larger tables stay where they are.
     """
+    training = features.filter("is_train")
+    cores = features.sparkSession.sparkContext.defaultParallelism
+    if training.rdd.getNumPartitions() < cores:
+        training = training.repartition(cores)
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     forest = RandomForestRegressor(
         featuresCol="features",
@@ -69,7 +75,7 @@ def train_price_model(
         featureSubsetStrategy="all",
         seed=seed,
     )
-    return Pipeline(stages=[assembler, forest]).fit(features.filter("is_train"))
+    return Pipeline(stages=[assembler, forest]).fit(training)
 
 
 def predicted_prices(model: PipelineModel, features: DataFrame) -> DataFrame:
