@@ -8,26 +8,31 @@ from pyspark.sql import functions as F
 UNITS_PER_ONE = 10_000
 
 
-def _exact_sum(amount: str) -> str:
-    units = f"try_cast(rint(({amount}) * {UNITS_PER_ONE}) AS BIGINT)"
+def _exact_sum(amount: str, times: str) -> str:
+    units = f"rint(({amount}) * {UNITS_PER_ONE})"
+    # NULL for an amount that is not a whole number of units, or too large a number.
+    whole = (
+        f"CASE WHEN {units} / {UNITS_PER_ONE} = ({amount})"
+        f" THEN try_multiply(try_cast({units} AS BIGINT), {times}) END"
+    )
     return (
-        f"coalesce(CASE WHEN count({units}) = count({amount}) THEN try_sum({units}) END"
-        f" / {UNITS_PER_ONE}, sum({amount}))"
+        f"coalesce(CASE WHEN count({whole}) = count({amount}) THEN try_sum({whole}) END"
+        f" / {UNITS_PER_ONE}, sum(({amount}) * {times}))"
     )
 
 
-def exact_sum(amount: str) -> Column:
-    """Sum of a DOUBLE amount, added as BIGINT units inside the hash aggregate.
+def exact_sum(amount: str, times: str = "1L") -> Column:
+    """Sum of a DOUBLE amount, each taken ``times`` times, added as BIGINT units.
 
     Float addition gives different last digits for different partitionings; whole
     numbers do not, and cost a tenth of a DECIMAL sum. A group with an amount that does
-    not fit (NaN, infinite, beyond 9e14), or whose total does not, falls back to
-    Spark's own double sum, so no value is lost. NULL amounts are ignored; a group of
-    only NULLs sums to NULL.
+    not fit (more decimals, NaN, infinite, beyond 9e14), or whose total does not, falls
+    back to Spark's own double sum, so nothing is rounded or lost. NULL amounts are
+    ignored; a group of only NULLs sums to NULL. ``times`` is a BIGINT and never NULL.
     """
-    return F.expr(_exact_sum(amount))
+    return F.expr(_exact_sum(amount, times))
 
 
 def exact_avg(amount: str) -> Column:
     """Average over the non-NULL amounts, from ``exact_sum``."""
-    return F.expr(f"try_divide({_exact_sum(amount)}, count({amount}))")
+    return F.expr(f"try_divide({_exact_sum(amount, '1L')}, count({amount}))")

@@ -56,8 +56,8 @@ def collection_rate(payments: DataFrame, bookings: DataFrame) -> DataFrame:
         paid.join(booked, "booking_id", "left")
         .groupBy("hotel_id")
         .agg(
-            exact_sum("value * payments").alias("total_bookings_value"),
-            exact_sum("paid * coalesce(copies, 1)").alias("total_payments_value"),
+            exact_sum("value", "payments").alias("total_bookings_value"),
+            exact_sum("paid", "coalesce(copies, 1)").alias("total_payments_value"),
         )
     )
     return totals.withColumn(

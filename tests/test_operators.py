@@ -76,6 +76,7 @@ def test_exact_sum(spark):
     data += [("nulls", None), ("nan", float("nan")), ("nan", 1.0)]
     data += [("huge", 1e300), ("huge", 1.0), ("wide", 9e14), ("wide", 9e14)]
     data += [("inf", float("inf")), ("minus", -2.5), ("minus", 2.5)]
+    data += [("fine", 0.00001), ("fine", 0.5), ("third", 1 / 3)]
     df = spark.createDataFrame(data, "k STRING, x DOUBLE")
     got = {
         r.k: (r.s, r.a)
@@ -89,6 +90,15 @@ def test_exact_sum(spark):
     assert got["wide"] == (1.8e15, 9e14)
     assert got["inf"][0] == float("inf")
     assert got["minus"] == (0.0, 0.0)
+    assert got["fine"][0] == 0.50001  # more decimals than units have: not rounded
+    assert got["third"] == (1 / 3, 1 / 3)
+
+
+def test_exact_sum_of_multiples(spark):
+    data = [("a", 0.1, 3), ("a", 0.2, 1), ("b", 1 / 3, 3), ("c", None, 2), ("d", 1e14, 10**6)]
+    df = spark.createDataFrame(data, "k STRING, x DOUBLE, n BIGINT")
+    sums = df.groupBy("k").agg(exact_sum("x", "n").alias("s")).collect()
+    assert {r.k: r.s for r in sums} == {"a": 0.5, "b": 1.0, "c": None, "d": 1e20}
 
 
 def test_exact_sum_does_not_depend_on_partitioning(spark):
