@@ -55,7 +55,8 @@ def _daily(spark, sf):
 
 
 def _collection(spark, sf):
-    return gold.collection_rate(_payments(spark, sf), _bookings(spark, sf))
+    payments = silver.counted_payments(raw.raw_payments(spark, sf), raw.raw_bookings(spark, sf))
+    return gold.collection_rate(payments, _bookings(spark, sf), copies="copies")
 
 
 def _alerts(spark, sf):
@@ -80,6 +81,21 @@ def _predictions(spark, sf):
     )
 
 
+def _scored_bookings(spark, sf):
+    """Predictions without the predicted value, which no other engine can repeat.
+
+    A forest predicts averages of training prices, so all lie between their extremes.
+    """
+    predictions = _predictions(spark, sf)
+    lowest, highest = (
+        predictions.filter("is_train").selectExpr(f"{end}(actual_price)").scalar()
+        for end in ("min", "max")
+    )
+    return predictions.withColumn(
+        "within_training_range", predictions.predicted_price.between(lowest, highest)
+    ).drop("predicted_price")
+
+
 def _bronze_ingest(spark, sf):
     """Land the five raw tables as CSV, ingest them, and count what arrived."""
     store = LayerStore(spark, shared_folder(spark))
@@ -162,6 +178,7 @@ _QUERIES: dict[str, Query] = {
     "price_features": _features,
     "price_sample": _price_sample,
     "predicted_prices": _predictions,
+    "scored_bookings": _scored_bookings,
     "price_model_metrics": lambda spark, sf: pricing.price_model_metrics(
         _predictions(spark, sf)
     ),
@@ -408,6 +425,10 @@ def oracle_sql() -> dict[str, str]:
         "price_sample": """
             SELECT booking_id, actual_price, md5(booking_id || '|42') AS digest
             FROM features ORDER BY digest, booking_id LIMIT 200""",
+        "scored_bookings": """
+            SELECT booking_id, actual_price, stay_duration, max_occupancy, room_type_code,
+                   season, is_train, true AS within_training_range
+            FROM features""",
         "prediction_bounds": """
             SELECT min(actual_price) AS lowest, max(actual_price) AS highest FROM features""",
     }

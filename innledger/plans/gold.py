@@ -37,27 +37,34 @@ def cancellation_rate(bookings: DataFrame) -> DataFrame:
     )
 
 
-def collection_rate(payments: DataFrame, bookings: DataFrame) -> DataFrame:
+def collection_rate(
+    payments: DataFrame, bookings: DataFrame, copies: str | None = None
+) -> DataFrame:
     """Payments received against bookings' value, per hotel.
 
     A booking counts once per payment on it. Payments whose booking the cleaning removed
     fall in a group with NULL hotel, value and rate. Both sides are added up per booking
-    before they meet, so a booking with very many payments joins as one row.
+    before they meet, so a booking with very many payments joins as one row. ``copies``
+    names the column that says how often a payment stands (``silver.counted_payments``).
     """
+    times = copies or "1L"
     paid = (
         payments.filter("NOT orphan AND NOT over_amount AND currency IS NOT NULL")
         .groupBy("booking_id")
-        .agg(F.expr("count(*)").alias("payments"), exact_sum("amount").alias("paid"))
+        .agg(
+            F.expr(f"sum({times})").alias("payments"),
+            exact_sum("amount", times).alias("paid"),
+        )
     )
     booked = bookings.groupBy("booking_id", "hotel_id").agg(
-        F.expr("count(*)").alias("copies"), exact_sum("total_amount").alias("value")
+        F.expr("count(*)").alias("arrivals"), exact_sum("total_amount").alias("value")
     )
     totals = (
         paid.join(booked, "booking_id", "left")
         .groupBy("hotel_id")
         .agg(
             exact_sum("value", "payments").alias("total_bookings_value"),
-            exact_sum("paid", "coalesce(copies, 1)").alias("total_payments_value"),
+            exact_sum("paid", "coalesce(arrivals, 1)").alias("total_payments_value"),
         )
     )
     return totals.withColumn(

@@ -54,22 +54,28 @@ def bookings(raw: DataFrame) -> DataFrame:
     )
 
 
-def payments(raw: DataFrame, raw_bookings: DataFrame) -> DataFrame:
+def counted_payments(
+    raw: DataFrame, raw_bookings: DataFrame, copies: str = "copies"
+) -> DataFrame:
     """Payments flagged against the bookings as they arrived, before cleaning.
 
     ``orphan``: there is no booking, or its amount is NULL. ``over_amount``: the payment
     exceeds the booking's amount; NULL when either is NULL. A booking that arrived several
-    times repeats its payments; equal arrivals are joined once, as a row with a count.
+    times repeats its payments: equal arrivals are joined once, and ``copies`` says how
+    often the row stands.
     """
-    booked = collapse_copies(raw_bookings, ["booking_id", "total_amount"], "_copies")
-    joined = raw.join(booked, "booking_id", "left").withColumn(
-        "_copies", F.expr("coalesce(_copies, 1)")
-    )
-    flagged = expand_copies(joined, "_copies").withColumns(
+    booked = collapse_copies(raw_bookings, ["booking_id", "total_amount"], copies)
+    flagged = raw.join(booked, "booking_id", "left").withColumns(
         {
             "orphan": F.expr("total_amount IS NULL"),
             "over_amount": F.expr("amount > total_amount"),
             "currency": unlisted_to_null("currency", VALID_CURRENCIES),
+            copies: F.expr(f"coalesce({copies}, 1)"),
         }
     )
-    return flagged.select(*raw.columns, "orphan", "over_amount")
+    return flagged.select(*raw.columns, "orphan", "over_amount", copies)
+
+
+def payments(raw: DataFrame, raw_bookings: DataFrame) -> DataFrame:
+    """``counted_payments`` with every repetition as a row of its own."""
+    return expand_copies(counted_payments(raw, raw_bookings, "_copies"), "_copies")

@@ -1,5 +1,6 @@
 """Session settings and the shared scratch folder."""
 
+import math
 import tempfile
 import uuid
 
@@ -16,10 +17,27 @@ ADAPTIVE_SETTINGS = {
 }
 
 
-def tuned(spark: SparkSession) -> SparkSession:
-    """Apply the adaptive settings to a running session and return it."""
+# Shuffled bytes per partition to aim for before AQE merges small partitions.
+PARTITION_BYTES = 128 << 20
+
+
+def tuned(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the adaptive settings to a running session and return it.
+
+    ``shuffle_bytes`` is about how much the largest table weighs. It sets how many
+    partitions a shuffle starts with: AQE merges small partitions, but does not split
+    large ones unless they are skewed, so a large table needs many from the start.
+    """
     for key, value in ADAPTIVE_SETTINGS.items():
         spark.conf.set(key, value)
+    if shuffle_bytes is not None:
+        partitions = max(
+            int(spark.conf.get("spark.sql.shuffle.partitions")),
+            math.ceil(shuffle_bytes / PARTITION_BYTES),
+        )
+        spark.conf.set(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
+        )
     return spark
 
 

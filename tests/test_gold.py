@@ -167,6 +167,13 @@ def test_hot_keys_give_whole_results(spark):
     flagged = silver.payments(payments, bookings)
     assert flagged.count() == n + n + 2 * n + n
     assert flagged.filter("orphan").count() == n
-    [row] = gold.collection_rate(flagged, silver.bookings(bookings)).collect()
     joined = n + n + 2 * n * n  # each payment on the copies meets each copy twice over
-    assert (row.total_bookings_value, row.total_payments_value) == (10.0 * joined, 1.0 * joined)
+    counted = silver.counted_payments(payments, bookings)
+    assert counted.count() == n + n + 2 + n
+    cleaned = silver.bookings(bookings)
+    for rates in (
+        gold.collection_rate(flagged, cleaned),
+        gold.collection_rate(counted, cleaned, copies="copies"),
+    ):
+        [row] = rates.collect()
+        assert (row.total_bookings_value, row.total_payments_value) == (10.0 * joined, joined)

@@ -17,6 +17,7 @@ EAGER = {
     "predicted_prices",
     "price_model_metrics",
     "prediction_sample",
+    "scored_bookings",
 }
 QUERIES = {n: q for n, q in registered.queries().items() if n not in EAGER}
 

@@ -8,7 +8,7 @@ import pytest
 
 from innledger.plans.refresh import TABLES, refresh_all, refresh_bronze, refresh_layer
 from innledger.schemas import LANDING_TABLES
-from innledger.session import shared_folder
+from innledger.session import shared_folder, tuned
 from innledger.sources.landing import ingest, read_landing, write_landing
 from innledger.sources.layers import LayerStore
 
@@ -149,3 +149,12 @@ def test_shared_folder_is_only_local_on_one_machine():
     assert Path(shared_folder(session("local[4]"))).is_dir()
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(session("yarn"))
+
+
+def test_tuned_starts_large_shuffles_with_many_partitions(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert tuned(spark, 10 << 40).conf.get(key) == str((10 << 40) // (128 << 20))
+        assert tuned(spark, 1).conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
+    finally:
+        spark.conf.unset(key)
