@@ -12,7 +12,7 @@ from innledger.functions.hashing import id_digest
 from innledger.operators.expectations import rule_metrics
 from innledger.operators.sampling import sample_rows
 from innledger.plans import gold, pricing, serving, silver
-from innledger.plans.refresh import refresh_bronze
+from innledger.plans.refresh import refresh_bronze, refresh_prices
 from innledger.schemas import INGESTION_COLUMN, LANDING_TABLES
 from innledger.session import shared_folder, tuned
 from innledger.sources import star_schema as raw
@@ -71,22 +71,29 @@ def _features(spark, sf):
     return pricing.price_features(_bookings(spark, sf), _rooms(spark, sf))
 
 
-def _predictions(spark, sf):
-    """Features are stored first, since training reads them several times."""
+def _stored_features(spark, sf):
+    """A store with the features in it, since training reads them several times."""
     store = LayerStore(spark, shared_folder(spark))
     store.write(_features(spark, sf), "gold.price_features")
-    features = store.read("gold.price_features")
+    return store
+
+
+def _predictions(spark, sf):
+    features = _stored_features(spark, sf).read("gold.price_features")
     return pricing.predicted_prices(
         pricing.train_price_model(features, TREES, DEPTH), features
     )
 
 
 def _scored_bookings(spark, sf):
-    """Predictions without the predicted value, which no other engine can repeat.
+    """The whole pricing job: train, save the model, store and read back the predictions.
 
-    A forest predicts averages of training prices, so all lie between their extremes.
+    Predicted values are left out, since no other engine can repeat them. A forest
+    predicts averages of training prices, so all lie between their extremes.
     """
-    predictions = _predictions(spark, sf)
+    store = _stored_features(spark, sf)
+    refresh_prices(store, f"{store.root}/model", TREES, DEPTH)
+    predictions = store.read("gold.predicted_prices")
     lowest, highest = (
         predictions.filter("is_train").selectExpr(f"{end}(actual_price)").scalar()
         for end in ("min", "max")

@@ -91,7 +91,7 @@ def test_collection_rate_equals_the_plain_join(spark, bookings):
     """Adding up per booking first gives what joining row by row gives."""
     df = bookings(
         *[
-            booking(f"b{i % 17}", hotel_id=f"h{i % 3}", total_amount=None if i % 5 == 0 else i * 1.01)
+            booking(f"b{i % 17}", hotel_id=f"h{i % 3}", total_amount=i * 1.01 if i % 5 else None)
             for i in range(60)
         ]
     )

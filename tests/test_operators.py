@@ -175,4 +175,5 @@ def test_share_of_ids(spark):
     assert small.join(large, "id", "left_anti").count() == 0
     text = df.selectExpr("CAST(id AS STRING) AS id").filter(in_share("id", 42, 0.1))
     assert text.count() == small.count()
-    assert spark.sql("SELECT CAST(NULL AS INT) AS id").filter(in_share("id", 1, 0.5)).count() in (0, 1)
+    no_id = spark.sql("SELECT CAST(NULL AS INT) AS id").select(in_share("id", 1, 0.5))
+    assert no_id.first()[0] in (True, False)

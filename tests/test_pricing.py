@@ -4,7 +4,10 @@ import pytest
 
 from innledger.plans import pricing
 
-BOOKING = "booking_id STRING, room_id STRING, hotel_id STRING, checkin_date DATE, checkout_date DATE, total_amount DOUBLE"
+BOOKING = (
+    "booking_id STRING, room_id STRING, hotel_id STRING, checkin_date DATE,"
+    " checkout_date DATE, total_amount DOUBLE"
+)
 ROOM = "room_id STRING, hotel_id STRING, room_type_code STRING, max_occupancy INT"
 
 

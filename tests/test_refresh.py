@@ -117,7 +117,8 @@ def test_full_refresh(spark, rows, landing, tmp_path, in_catalog):
     ]
     assert rows(store.read("gold.collection_rate")) == [("H2", 202.0, 100.0, 100.0 / 202.0)]
     swapped = store.read("silver.bookings").filter("booking_id = 'B99'").first()
-    assert (swapped.checkin_date, swapped.checkout_date) == (dt.date(2024, 3, 2), dt.date(2024, 3, 9))
+    assert swapped.checkin_date == dt.date(2024, 3, 2)
+    assert swapped.checkout_date == dt.date(2024, 3, 9)
     assert (swapped.total_amount, swapped.source) == (None, None)
     predicted = store.read("gold.predicted_prices")
     assert predicted.count() == counts["gold.price_features"] > 0

@@ -29,7 +29,8 @@ def test_customers_blank_email_and_duplicates(spark, rows):
 
 
 def test_rooms_exact_copies(spark, rows):
-    df = spark.createDataFrame([("r1", 2), ("r1", 2), ("r2", 3)], "room_id STRING, max_occupancy INT")
+    data = [("r1", 2), ("r1", 2), ("r2", 3)]
+    df = spark.createDataFrame(data, "room_id STRING, max_occupancy INT")
     assert rows(silver.rooms(df)) == [("r1", 2), ("r2", 3)]
 
 
