@@ -12,8 +12,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Buckets per factor e of the value: 56,000 of them reach up to a million.
-_BUCKETS_PER_E = 4096
+# Buckets per factor e of the value: 14,000 of them reach up to a million.
+_BUCKETS_PER_E = 1024
 # Number of a value's bucket: never falls as the value grows, and stays NaN for NaN.
 _BUCKET = f"rint(signum(v) * log1p(abs(v)) * {_BUCKETS_PER_E})"
 
