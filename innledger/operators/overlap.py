@@ -35,6 +35,18 @@ _LONGER_THAN = [
 _TOP_LEVEL = f"{' + '.join(_LONGER_THAN)} - 1"
 
 
+def _day_number(df: DataFrame, column: str) -> str:
+    """Days since 1970. A time of day fails the query rather than being cut off."""
+    name = f"`{column}`"
+    day = f"CAST(unix_date(CAST({name} AS DATE)) AS BIGINT)"
+    if not df.schema[column].dataType.simpleString().startswith("timestamp"):
+        return day
+    message = f"{column} has a time of day; overlaps are found between whole days"
+    return (
+        f"if({name} != date_trunc('DAY', {name}), CAST(raise_error('{message}') AS BIGINT), {day})"
+    )
+
+
 def _first(level: str) -> str:
     """The first block that lies wholly after the check-in day."""
     return f"shiftright(s + shiftleft(1L, {_BITS} * ({level})), {_BITS} * ({level}))"
@@ -96,14 +108,14 @@ def overlapping_pairs(
     """All pairs of different bookings of a room whose stays overlap.
 
     The lower booking id comes first. Rows with a NULL among the four columns match
-    nothing. Dates must not be inverted (``functions.cleaning.ordered_dates``). Repeated
-    rows give repeated pairs, as a plain self-join would.
+    nothing. Dates must not be inverted (``functions.cleaning.ordered_dates``), nor carry a
+    time of day. Repeated rows give repeated pairs, as a plain self-join would.
     """
     days = df.selectExpr(
         f"`{room}` AS room",
         f"`{booking}` AS id",
-        f"CAST(unix_date(CAST(`{checkin}` AS DATE)) AS BIGINT) AS s",
-        f"CAST(unix_date(CAST(`{checkout}` AS DATE)) AS BIGINT) AS e",
+        f"{_day_number(df, checkin)} AS s",
+        f"{_day_number(df, checkout)} AS e",
     ).dropna()
     # One number for the whole table, so that check-ins are not sent to levels that no
     # stay reaches.

@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from innledger.operators.overlap import overlapping_pairs
 
@@ -100,6 +101,20 @@ def test_text_ids_order_as_text(spark):
     ]
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_timestamps_must_be_whole_days(spark, kind):
+    df = spark.createDataFrame(
+        [("a", 1, day(0), day(3)), ("a", 2, day(1), day(2)), ("a", 3, None, day(9))], SCHEMA
+    )
+    whole = df.withColumn("checkin_date", df.checkin_date.cast(kind))
+    assert [tuple(r) for r in overlapping_pairs(whole).collect()] == [
+        ("a", 1, 2, day(1), day(2))
+    ]
+    timed = whole.withColumn("checkin_date", F.expr("checkin_date + INTERVAL 1 HOUR"))
+    with pytest.raises(Exception, match="checkin_date has a time of day"):
+        overlapping_pairs(timed).collect()
+
+
 def test_repeated_rows_repeat_pairs(spark):
     stays = [("a", 1, day(0), day(5))] * 3 + [("a", 2, day(1), day(2))] * 2
     check(spark, stays)
