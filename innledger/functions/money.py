@@ -25,7 +25,7 @@ def exact_sum(amount: str, times: str = "1L") -> Column:
     """Sum of a DOUBLE amount, each taken ``times`` times, added as BIGINT units.
 
     Float addition gives different last digits for different partitionings; whole
-    numbers do not, and cost a tenth of a DECIMAL sum. A group with an amount that does
+    numbers do not, and cost a fifth of a DECIMAL sum. A group with an amount that does
     not fit (more decimals, NaN, infinite, beyond 9e14), or whose total does not, falls
     back to Spark's own double sum, so nothing is rounded or lost. NULL amounts are
     ignored; a group of only NULLs sums to NULL. ``times`` is a BIGINT and never NULL.
