@@ -204,7 +204,20 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _on_tuned_session(query) for name, query in _QUERIES.items()}
+    own = _QUERIES | _llm_queries()
+    return {name: _on_tuned_session(query) for name, query in own.items()}
+
+
+def _llm_queries() -> dict[str, Query]:
+    """The training-data operators and their pipeline, where they are installed."""
+    try:
+        import corpus_pipeline
+        from innledger.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "innledger.llm"):
+            raise
+        return {}
+    return llm.QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 # --- The same queries as SQL on the driver's tables ---------------------------------
