@@ -1,0 +1,91 @@
+"""Packing against plain encoding, and its bins against what bins must be."""
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from innledger.llm import packing
+from innledger.llm.queries import TOKENIZER, pack_documents
+
+SCHEMA = "doc_id long, text string, lang string, sequence_id string, __rank int"
+
+
+def check_bins(rows, capacity):
+    """Gapless from 0, none above the capacity, as few as a plain best-fit needs or so."""
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for parts in bins.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(bins)
+
+
+def test_pieces_are_the_tokenizers_and_odd_rows_are_kept(spark):
+    texts = [
+        "Plain words, it's 12 o'clock.", "", None, "a b　c  d\n\ne", "Σίσυφος ΣΑΣ", "é é",
+        "<|endoftext|> as text", "word " * 9000, "plain words, it's 12 o'clock.", "́x ́",
+    ]
+    data = [(i, t, None, "x", 1) for i, t in enumerate(texts)] + [(3, "twice", "en", None, None)] * 2
+    data += [(None, "no id", None, None, None)]
+    rows = pack_documents(spark.createDataFrame(data, SCHEMA)).collect()
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    tokenizer.encode_special_tokens = True
+    want = Counter()
+    for doc_id, text, *_ in data:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        for k, at in enumerate(range(0, len(ids), 2048)):
+            part = ids[at : at + 2048]
+            crc = zlib.crc32(np.array(part, "<u4").tobytes())
+            want[doc_id, k, at, len(part), crc] += 1
+    got = Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
+    assert got == want
+    check_bins(rows, 2048)
+
+
+def test_empty_table(spark):
+    assert pack_documents(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bins_of_any_lengths(spark, seed):
+    rng = np.random.default_rng(seed)
+    capacity = 100
+    lengths = rng.integers(1, [101, 40, 70, 101][seed], 3000).tolist() + [34] * 1500 * (seed == 3)
+    df = spark.createDataFrame([(n,) for n in lengths], "length long").repartition(5)
+    rows = packing.packed(df, capacity).collect()
+    assert sorted(r.length for r in rows) == sorted(lengths)
+    used = check_bins(rows, capacity)
+    plain = []  # first fit, longest first
+    for n in sorted(lengths, reverse=True):
+        for i, gap in enumerate(plain):
+            if gap >= n:
+                plain[i] -= n
+                break
+        else:
+            plain.append(capacity - n)
+    assert used <= 1.03 * len(plain) + 1
+
+
+def test_at_most_two_large_pieces_share_a_bin(spark):
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(int(n),) for n in rng.integers(1, 91, 2000)], "length long")
+    per_bin = Counter(r.sequence_id for r in packing.packed(df, 90).collect() if r.length > 30)
+    assert max(per_bin.values()) == 2
+
+
+def test_lengths_out_of_range_are_refused(spark):
+    with pytest.raises(ValueError):
+        packing.packed(spark.createDataFrame([(5,), (None,)], "length long"), 10)
+
+
+def test_sequences_join_the_ids(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
+    whole = packing.sequences(packing.packed(packing.tokenized_pieces(docs, TOKENIZER))).collect()
+    assert len(whole) == 1 and whole[0].length == 5 and len(whole[0].ids) == 20
