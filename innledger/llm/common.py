@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -91,6 +92,31 @@ def slices(texts: list, most: int = 4 << 20):
         yield first, len(texts)
 
 
+class Recent:
+    """Values of the keys met lately, each computed once while it is remembered.
+
+    Two generations of at most half of ``most`` keys each (a single call may exceed that):
+    a key used again moves to the young one, so frequent keys outlive any number of rare.
+    """
+
+    def __init__(self, compute: Callable[[list], Iterable], most: int):
+        self.compute, self.most = compute, most
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def holding(self, keys: set) -> dict:
+        """A dictionary with the values of all ``keys``, valid until the next call."""
+        if len(self.young) > self.most // 2:
+            self.old, self.young = self.young, {}
+        old, young = self.old, self.young
+        absent = keys - young.keys()
+        again = absent & old.keys()
+        young.update((k, old[k]) for k in again)
+        new = list(absent - again)
+        young.update(zip(new, self.compute(new), strict=True))
+        return young
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits (the finishing steps of splitmix64)."""
     x = x.astype(np.uint64, copy=True)

@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innledger.llm import packing
+from innledger.llm import packing, quality, toxicity
+from innledger.llm.common import held_out
+from innledger.llm.labelled import FOLDS, HELD_OUT_PART
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -23,7 +25,20 @@ def pack_documents(docs: DataFrame) -> DataFrame:
     return packing.packed(digests)
 
 
+def _predicted(spark: SparkSession, sf_dir: str, classifier) -> DataFrame:
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    scores = classifier.scored(docs.select("doc_id", "text"), classifier.trained(docs, labels))
+    return scores.select(
+        "doc_id",
+        held_out("doc_id", FOLDS, HELD_OUT_PART).alias("held_out"),
+        "score",
+        (F.col("score") >= classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_best_fit_packing": lambda spark, sf: pack_documents(_table(spark, sf, "documents")),
+    "op4_toxicity": lambda spark, sf: _predicted(spark, sf, toxicity),
+    "op8_quality_classifier": lambda spark, sf: _predicted(spark, sf, quality),
 }
 ORACLE: dict[str, str] = {}
