@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innledger.llm import packing, quality, toxicity
+from innledger.llm import packing, quality, suffix_dedup, toxicity
 from innledger.llm.common import held_out
 from innledger.llm.labelled import FOLDS, HELD_OUT_PART
 
@@ -38,6 +38,9 @@ def _predicted(spark: SparkSession, sf_dir: str, classifier) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": lambda spark, sf: pack_documents(_table(spark, sf, "documents")),
+    "op2_suffix_array_dedup": lambda spark, sf: suffix_dedup.removal_report(
+        _table(spark, sf, "documents")
+    ),
     "op4_toxicity": lambda spark, sf: _predicted(spark, sf, toxicity),
     "op8_quality_classifier": lambda spark, sf: _predicted(spark, sf, quality),
 }
