@@ -13,6 +13,7 @@ each length and looks their places up, so no task sees more than its share of th
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,32 +23,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from innledger.llm.common import slices, stored, text_list
+from innledger.llm.common import Recent, slices, stored, text_list
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
-#: Tokens of the last words seen, kept between batches: at most so many words.
-CACHED_WORDS = 300_000
+#: Tokens of the words seen lately are kept between batches: about so many words.
+CACHED_WORDS = 1_000_000
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
+@lru_cache(maxsize=1)
+def _word_ids(path: str) -> Recent:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-    return tokenizer, {}
 
+    def encode(words: list[bytes]) -> Iterator[bytes]:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return (array("I", x.ids).tobytes() for x in found)
 
-def _encode_into(known: dict, tokenizer, words: set) -> None:
-    new = list(words - known.keys())
-    if len(known) + len(new) > CACHED_WORDS:
-        known.clear()
-        new = list(words)
-    texts = [w.decode("utf-8", "replace") for w in new]
-    for word, encoding in zip(
-        new, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True
-    ):
-        known[word] = np.array(encoding.ids, "<u4").tobytes()
+    return Recent(encode, CACHED_WORDS)
 
 
 def tokenized_pieces(
@@ -73,12 +68,12 @@ def tokenized_pieces(
     step = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, known = _tokenizer(tokenizer_path)
+        recent = _word_ids(tokenizer_path)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), text_list(batch.column(1))
             for first, last in slices(texts):
                 words = [x.split() for x in texts[first:last]]
-                _encode_into(known, tokenizer, set().union(*words))
+                known = recent.holding(set().union(*words))
                 out = []
                 for doc_id, own in zip(doc_ids[first:last], words, strict=True):
                     ids = b"".join([*map(known.__getitem__, own), end])
