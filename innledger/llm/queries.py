@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innledger.llm import packing, quality, suffix_dedup, toxicity
+from innledger.llm import packing, quality, simhash, suffix_dedup, toxicity
 from innledger.llm.common import held_out
 from innledger.llm.labelled import FOLDS, HELD_OUT_PART
 
@@ -25,6 +25,12 @@ def pack_documents(docs: DataFrame) -> DataFrame:
     return packing.packed(digests)
 
 
+def _near_duplicates(docs: DataFrame) -> DataFrame:
+    return simhash.near_duplicates(docs).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def _predicted(spark: SparkSession, sf_dir: str, classifier) -> DataFrame:
     docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
     scores = classifier.scored(docs.select("doc_id", "text"), classifier.trained(docs, labels))
@@ -41,6 +47,7 @@ QUERIES = {
     "op2_suffix_array_dedup": lambda spark, sf: suffix_dedup.removal_report(
         _table(spark, sf, "documents")
     ),
+    "op3_simhash_near_dedup": lambda spark, sf: _near_duplicates(_table(spark, sf, "documents")),
     "op4_toxicity": lambda spark, sf: _predicted(spark, sf, toxicity),
     "op8_quality_classifier": lambda spark, sf: _predicted(spark, sf, quality),
 }
