@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innledger.llm import packing, quality, simhash, suffix_dedup, toxicity
+from innledger.llm import decontamination, packing, quality, simhash, suffix_dedup, toxicity
 from innledger.llm.common import held_out
 from innledger.llm.labelled import FOLDS, HELD_OUT_PART
 
@@ -49,6 +49,9 @@ QUERIES = {
     ),
     "op3_simhash_near_dedup": lambda spark, sf: _near_duplicates(_table(spark, sf, "documents")),
     "op4_toxicity": lambda spark, sf: _predicted(spark, sf, toxicity),
+    "op7_benchmark_decontamination": lambda spark, sf: decontamination.leaked_pairs(
+        _table(spark, sf, "documents"), _table(spark, sf, "benchmark")
+    ),
     "op8_quality_classifier": lambda spark, sf: _predicted(spark, sf, quality),
 }
 ORACLE: dict[str, str] = {}
