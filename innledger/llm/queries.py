@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innledger.llm import decontamination, packing, quality, simhash, suffix_dedup, toxicity
+from innledger.llm import decontamination, language, packing, quality, simhash, suffix_dedup, toxicity
 from innledger.llm.common import held_out
 from innledger.llm.labelled import FOLDS, HELD_OUT_PART
 
@@ -42,6 +42,16 @@ def _predicted(spark: SparkSession, sf_dir: str, classifier) -> DataFrame:
     )
 
 
+def _languages(docs: DataFrame) -> DataFrame:
+    return language.identified(docs.select("doc_id", "text"), language.trained(docs)).select(
+        "doc_id",
+        held_out("doc_id", language.FOLDS, language.HELD_OUT_PART).alias("held_out"),
+        "lang_pred",
+        "score",
+        "rejected",
+    )
+
+
 QUERIES = {
     "op1_best_fit_packing": lambda spark, sf: pack_documents(_table(spark, sf, "documents")),
     "op2_suffix_array_dedup": lambda spark, sf: suffix_dedup.removal_report(
@@ -53,5 +63,6 @@ QUERIES = {
         _table(spark, sf, "documents"), _table(spark, sf, "benchmark")
     ),
     "op8_quality_classifier": lambda spark, sf: _predicted(spark, sf, quality),
+    "op9_language_id": lambda spark, sf: _languages(_table(spark, sf, "documents")),
 }
 ORACLE: dict[str, str] = {}
