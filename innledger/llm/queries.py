@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innledger.llm import decontamination, language, packing, quality, simhash, suffix_dedup, toxicity
+from innledger.llm import decontamination, language, lattice_lm, packing, quality, simhash, suffix_dedup, toxicity
 from innledger.llm.common import held_out
 from innledger.llm.labelled import FOLDS, HELD_OUT_PART
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+SUBWORDS = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,5 +65,8 @@ QUERIES = {
     ),
     "op8_quality_classifier": lambda spark, sf: _predicted(spark, sf, quality),
     "op9_language_id": lambda spark, sf: _languages(_table(spark, sf, "documents")),
+    "op10_lm_scoring": lambda spark, sf: lattice_lm.scored(
+        _table(spark, sf, "documents"), ~held_out("doc_id", 7, 2), SUBWORDS
+    ),
 }
 ORACLE: dict[str, str] = {}
