@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innledger.llm import decontamination, language, lattice_lm, packing, quality, simhash, suffix_dedup, toxicity
+from innledger.llm import decontamination, language, lattice_dedup, lattice_lm, packing, quality, simhash, suffix_dedup, toxicity
 from innledger.llm.common import held_out
 from innledger.llm.labelled import FOLDS, HELD_OUT_PART
 
@@ -60,6 +60,9 @@ QUERIES = {
     ),
     "op3_simhash_near_dedup": lambda spark, sf: _near_duplicates(_table(spark, sf, "documents")),
     "op4_toxicity": lambda spark, sf: _predicted(spark, sf, toxicity),
+    "op5_embedding_near_dedup": lambda spark, sf: lattice_dedup.near_duplicates(
+        _table(spark, sf, "embeddings")
+    ),
     "op7_benchmark_decontamination": lambda spark, sf: decontamination.leaked_pairs(
         _table(spark, sf, "documents"), _table(spark, sf, "benchmark")
     ),
