@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innledger.llm import decontamination, language, lattice_dedup, lattice_lm, packing, quality, simhash, suffix_dedup, toxicity
+from innledger.llm import decontamination, html_text, language, lattice_dedup, lattice_lm, packing, quality, simhash, suffix_dedup, toxicity
 from innledger.llm.common import held_out
 from innledger.llm.labelled import FOLDS, HELD_OUT_PART
 
@@ -63,6 +63,9 @@ QUERIES = {
     "op5_embedding_near_dedup": lambda spark, sf: lattice_dedup.near_duplicates(
         _table(spark, sf, "embeddings")
     ),
+    "op6_html_extraction": lambda spark, sf: html_text.extracted(
+        _table(spark, sf, "pages").select("page_id", "url", "html")
+    ),
     "op7_benchmark_decontamination": lambda spark, sf: decontamination.leaked_pairs(
         _table(spark, sf, "documents"), _table(spark, sf, "benchmark")
     ),
