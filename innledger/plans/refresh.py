@@ -11,10 +11,11 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from innledger.plans import gold, pricing, silver
 from innledger.schemas import LANDING_TABLES
-from innledger.sources.landing import ingest
+from innledger.sources.landing import REJECTED, ingest
 from innledger.sources.layers import LayerStore
 
 
@@ -53,14 +54,31 @@ def _side_by_side(work: Callable, items: Iterable) -> list:
 
 
 def refresh_bronze(
-    store: LayerStore, landing: str, tables: Iterable[str] = LANDING_TABLES, infer: bool = False
-) -> None:
-    """Ingest ``landing/<table>.csv`` into ``bronze.<table>``."""
+    store: LayerStore,
+    landing: str,
+    tables: Iterable[str] = LANDING_TABLES,
+    infer: bool = False,
+    one_line: bool = False,
+) -> dict[str, dict]:
+    """Ingest ``landing/<table>.csv`` into ``bronze.<table>``.
+
+    Records with a cell that is not of its type, or with too few or many cells, are also
+    kept in ``bronze.<table>_rejects``, with their text as it was. Returns the numbers of
+    rows and rejects.
+    """
 
     def refresh(table):
-        store.write(ingest(store.spark, landing, table, infer), f"bronze.{table}")
+        observation = Observation()
+        rows = ingest(store.spark, landing, table, infer, one_line)
+        counted = rows.observe(
+            observation, F.count("*").alias("rows"), F.count(REJECTED).alias("rejects")
+        )
+        store.write(counted.drop(REJECTED), f"bronze.{table}")
+        # All columns: Spark finds a cell that does not fit only if it reads it.
+        store.write(rows.filter(F.col(REJECTED).isNotNull()), f"bronze.{table}_rejects")
+        return f"bronze.{table}", observation.get
 
-    _side_by_side(refresh, tables)
+    return dict(_side_by_side(refresh, tables))
 
 
 def refresh_layer(
@@ -68,13 +86,14 @@ def refresh_layer(
 ) -> dict[str, dict]:
     """Rebuild the layer's tables, or those of them that are named.
 
-    Returns the row-rule counts of the hotels, collected while they are written.
+    Returns counts collected while tables are written: rows kept and dropped by the rules
+    on hotels and on the currency of bookings.
     """
 
     def refresh(name):
         inputs, build = TABLES[name]
         sources = [store.read(i) for i in inputs]
-        if build is not silver.hotels:
+        if build not in (silver.hotels, silver.bookings):
             store.write(build(*sources), name)
             return {}
         observation = Observation()
@@ -106,8 +125,8 @@ def refresh_all(
 ) -> dict[str, dict]:
     """Everything, from landing files to predictions. Returns rule counts and model metrics."""
     store.create_layers()
-    refresh_bronze(store, landing)
-    metrics = refresh_layer(store, "silver")
+    metrics = refresh_bronze(store, landing)
+    metrics.update(refresh_layer(store, "silver"))
     refresh_layer(store, "gold")
     scores = refresh_prices(store, model_path, trees)
     return {**metrics, "gold.predicted_prices": scores.first().asDict()}

@@ -9,7 +9,6 @@ from innledger.functions.cleaning import (
     FAKE_COUNTRY,
     VALID_CURRENCIES,
     blank_to_null,
-    listed,
     negative_to_null,
     ordered_dates,
     unlisted_to_null,
@@ -18,6 +17,9 @@ from innledger.operators.copies import collapse_copies, expand_copies
 from innledger.operators.dedup import first_per_key
 from innledger.operators.expectations import expect_or_drop
 
+BOOKING_RULES = {
+    "currency_valid": "currency IN ({})".format(", ".join(f"'{c}'" for c in VALID_CURRENCIES))
+}
 HOTEL_RULES = {"country_valid": f"country != '{FAKE_COUNTRY}'"}
 
 
@@ -39,13 +41,14 @@ def rooms(raw: DataFrame, tie_break: Sequence[str] | None = None) -> DataFrame:
     return first_per_key(raw, ["room_id"], tie_break)
 
 
-def bookings(raw: DataFrame) -> DataFrame:
+def bookings(raw: DataFrame, observation: Observation | None = None) -> DataFrame:
     """Bookings in a valid currency, dates in order, negative amounts as NULL.
 
-    Bookings are not deduplicated.
+    Bookings are not deduplicated. The ``observation`` counts those dropped.
     """
     checkin, checkout = ordered_dates("checkin_date", "checkout_date")
-    return raw.filter(listed("currency", VALID_CURRENCIES)).withColumns(
+    valid = expect_or_drop(raw, BOOKING_RULES, null_passes=False, observation=observation)
+    return valid.withColumns(
         {
             "checkin_date": checkin,
             "checkout_date": checkout,

@@ -1,8 +1,12 @@
 """Session settings and the shared scratch folder."""
 
+import atexit
 import math
+import re
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -21,19 +25,22 @@ ADAPTIVE_SETTINGS = {
 PARTITION_BYTES = 128 << 20
 
 
-def tuned(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+def tuned(
+    spark: SparkSession, shuffle_bytes: int | None = None, partition_bytes: int = PARTITION_BYTES
+) -> SparkSession:
     """Apply the adaptive settings to a running session and return it.
 
-    ``shuffle_bytes`` is about how much the largest table weighs. It sets how many
-    partitions a shuffle starts with: AQE merges small partitions, but does not split
-    large ones unless they are skewed, so a large table needs many from the start.
+    ``shuffle_bytes`` is about how much the heaviest shuffle of the next jobs weighs; call
+    again before lighter ones. It sets how many partitions of ``partition_bytes`` a shuffle
+    starts with: AQE merges small partitions, but does not split large ones unless they
+    are skewed, so a large table needs many from the start.
     """
     for key, value in ADAPTIVE_SETTINGS.items():
         spark.conf.set(key, value)
     if shuffle_bytes is not None:
         partitions = max(
             int(spark.conf.get("spark.sql.shuffle.partitions")),
-            math.ceil(shuffle_bytes / PARTITION_BYTES),
+            math.ceil(shuffle_bytes / partition_bytes),
         )
         spark.conf.set(
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
@@ -50,6 +57,7 @@ def local_session(cores: str = "8", memory: str = "8g", **settings: str) -> Spar
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", _own_folder())
         # Keeps Spark from taking a Python stack trace for every column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
@@ -60,15 +68,26 @@ def local_session(cores: str = "8", memory: str = "8g", **settings: str) -> Spar
     return tuned(spark)
 
 
-def shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession, name: str = "innledger") -> str:
     """A fresh folder every executor can reach, below ``spark.checkpoint.dir``.
 
-    Where that is unset, a local session gets a temporary folder; a cluster session
-    is refused, since a machine-local folder would lose data there.
+    It is deleted when the application ends. Where the setting is absent, a session that
+    is one process gets a temporary folder; any other is refused, since a machine-local
+    folder would lose data there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return f"{configured.rstrip('/')}/innledger-{uuid.uuid4()}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="innledger-")
+    if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        configured = _own_folder()
+    folder = f"{configured.rstrip('/')}/{name}-{uuid.uuid4()}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="innledger-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

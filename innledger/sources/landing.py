@@ -10,21 +10,46 @@ from innledger.schemas import INGESTION_COLUMN, LANDING_TABLES
 def landing_schema(spark: SparkSession, path: str, table: str) -> StructType:
     """Declared types in the order of the file's header; other columns are strings."""
     known = LANDING_TABLES.get(table, {})
-    header = spark.read.option("header", True).csv(path).columns
+    header = _options(spark.read).csv(path).columns
     return StructType([StructField(c, known.get(c, StringType())) for c in header])
 
 
-def read_landing(spark: SparkSession, path: str, table: str, infer: bool = False) -> DataFrame:
+#: Holds the text of a record with a cell that is not of its type, or too few or many cells.
+REJECTED = "_rejected_record"
+
+
+def read_landing(
+    spark: SparkSession, path: str, table: str, infer: bool = False, one_line: bool = False
+) -> DataFrame:
     """One landing file (or folder of files) with a header row.
 
-    Types are declared, so only the header is read ahead. ``infer`` has Spark look at the
-    data instead, at the cost of a second pass over it.
+    Types are declared, so only the header is read ahead. A cell that does not fit its type
+    becomes NULL, and the record it stands in is kept as text in ``REJECTED``. Quoted cells
+    may hold line breaks; ``one_line`` says that none does, and lets Spark split a large
+    file into several tasks. ``infer`` has Spark look at the data for the types instead, at
+    the cost of a second pass; then nothing is rejected.
     """
-    reader = spark.read.option("header", True)
+    reader = _options(spark.read).option("multiLine", not one_line)
     if infer:
-        return reader.option("inferSchema", True).csv(path)
-    schema = landing_schema(spark, path, table)
-    return reader.option("enforceSchema", False).schema(schema).csv(path)
+        inferred = reader.option("inferSchema", True).csv(path)
+        return inferred.withColumn(REJECTED, F.lit(None).cast("string"))
+    schema = landing_schema(spark, path, table).add(REJECTED, "string")
+    return (
+        reader.option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", REJECTED)
+        .schema(schema)
+        .csv(path)
+    )
+
+
+def _options(reader_or_writer):
+    """Quotes inside a cell are doubled; blanks around a cell belong to it."""
+    return (
+        reader_or_writer.option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
 
 
 def stamped(df: DataFrame) -> DataFrame:
@@ -32,11 +57,13 @@ def stamped(df: DataFrame) -> DataFrame:
     return df.withColumn(INGESTION_COLUMN, F.current_timestamp())
 
 
-def ingest(spark: SparkSession, folder: str, table: str, infer: bool = False) -> DataFrame:
-    """The bronze form of ``folder/table.csv``."""
-    return stamped(read_landing(spark, f"{folder}/{table}.csv", table, infer))
+def ingest(
+    spark: SparkSession, folder: str, table: str, infer: bool = False, one_line: bool = False
+) -> DataFrame:
+    """The bronze form of ``folder/table.csv``, with rejected records in ``REJECTED``."""
+    return stamped(read_landing(spark, f"{folder}/{table}.csv", table, infer, one_line))
 
 
 def write_landing(df: DataFrame, folder: str, table: str) -> None:
     """Write ``folder/table.csv`` as a folder of parts, each with a header row."""
-    df.write.mode("overwrite").option("header", True).csv(f"{folder}/{table}.csv")
+    _options(df.write.mode("overwrite")).csv(f"{folder}/{table}.csv")

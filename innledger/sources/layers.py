@@ -13,30 +13,32 @@ class LayerStore:
     """Where layer tables live.
 
     With a ``root`` a table is the folder ``root/layer/table``; without one it is a
-    catalog table, in a database per layer. Writing replaces the whole table.
+    catalog table, in a database per layer, whose name may have a prefix. Writing
+    replaces the whole table.
     """
 
     spark: SparkSession
     root: str | None = None
     format: str = "parquet"
+    prefix: str = ""
 
     def create_layers(self, layers: Iterable[str] = LAYERS) -> None:
         """Create the layer databases that are missing. Nothing is ever dropped."""
         if self.root is None:
             for layer in layers:
-                self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+                self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
 
     def _folder(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
 
     def read(self, name: str) -> DataFrame:
         if self.root is None:
-            return self.spark.table(name)
+            return self.spark.table(f"{self.prefix}{name}")
         return self.spark.read.format(self.format).load(self._folder(name))
 
     def write(self, df: DataFrame, name: str) -> None:
         writer = df.write.mode("overwrite").format(self.format)
         if self.root is None:
-            writer.saveAsTable(name)
+            writer.saveAsTable(f"{self.prefix}{name}")
         else:
             writer.save(self._folder(name))

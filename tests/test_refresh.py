@@ -1,7 +1,6 @@
 """Landing files, layer tables and the full refresh."""
 
 import datetime as dt
-from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -9,7 +8,7 @@ import pytest
 from innledger.plans.refresh import TABLES, refresh_all, refresh_bronze, refresh_layer
 from innledger.schemas import LANDING_TABLES
 from innledger.session import shared_folder, tuned
-from innledger.sources.landing import ingest, read_landing, write_landing
+from innledger.sources.landing import REJECTED, ingest, read_landing, write_landing
 from innledger.sources.layers import LayerStore
 
 FILES = {
@@ -66,8 +65,10 @@ def landing(tmp_path):
 
 def test_declared_types_follow_the_header(spark, landing):
     df = read_landing(spark, f"{landing}/customers.csv", "customers")
-    assert df.dtypes == [("phone", "string"), ("customer_id", "string"), ("email", "string")]
-    got = [tuple(r) for r in df.collect()]
+    assert df.dtypes == [
+        ("phone", "string"), ("customer_id", "string"), ("email", "string"), (REJECTED, "string"),
+    ]
+    got = [tuple(r)[:3] for r in df.collect()]
     assert got == [
         ("001", "C1", "c1@x"), ("002", "C2", None), (None, "C1", "c1@x"), ("NA", "C3", None),
     ]
@@ -89,11 +90,11 @@ def test_ingestion_stamp_is_one_value(spark, landing):
 
 
 def test_csv_round_trip(spark, rows, landing, tmp_path):
-    df = read_landing(spark, f"{landing}/bookings.csv", "bookings")
+    df = read_landing(spark, f"{landing}/bookings.csv", "bookings").drop(REJECTED)
     out = str(tmp_path / "out")
     for _ in range(2):  # writing replaces
         write_landing(df.repartition(3), out, "bookings")
-    again = read_landing(spark, f"{out}/bookings.csv", "bookings")
+    again = read_landing(spark, f"{out}/bookings.csv", "bookings").drop(REJECTED)
     assert again.dtypes == df.dtypes
     assert rows(again) == rows(df)
 
@@ -102,6 +103,8 @@ def test_csv_round_trip(spark, rows, landing, tmp_path):
 def test_full_refresh(spark, rows, landing, tmp_path, in_catalog):
     store = LayerStore(spark, None if in_catalog else str(tmp_path / "lake"))
     metrics = refresh_all(store, landing, str(tmp_path / "model"), trees=3)
+    assert metrics["bronze.rooms"] == {"rows": 4, "rejects": 0}
+    assert metrics["silver.bookings"]["rows"] >= metrics["silver.bookings"]["currency_valid"]
     assert metrics["silver.hotels"] == {"rows": 3, "country_valid": 1}
     assert metrics["gold.predicted_prices"]["test_rows"] > 0
     counts = {n: store.read(n).count() for n in [f"bronze.{t}" for t in LANDING_TABLES] + [*TABLES]}
@@ -143,13 +146,42 @@ def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark) != shared_folder(spark)
 
 
-def test_shared_folder_is_only_local_on_one_machine():
-    def session(master):
-        return SimpleNamespace(conf={"spark.master": master})
-
-    assert Path(shared_folder(session("local[4]"))).is_dir()
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]", "spark://h:7077", ""])
+def test_shared_folder_is_required_on_a_cluster(master):
+    session = SimpleNamespace(conf={"spark.master": master})
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(session("yarn"))
+        shared_folder(session)
+
+
+TEXTS = ['two\nlines', 'a "quoted" word', ' blanks around ', 'comma, and\r\nbreak', "plain", '"', "\\"]
+
+
+def test_texts_survive_landing_files(spark, tmp_path):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "customer_id INT, email STRING")
+    write_landing(df, str(tmp_path), "customers")
+    again = read_landing(spark, f"{tmp_path}/customers.csv", "customers")
+    assert sorted((int(r.customer_id), r.email) for r in again.collect()) == list(enumerate(TEXTS))
+    assert all(r[REJECTED] is None for r in again.collect())
+
+
+def test_records_that_do_not_fit_are_kept_and_counted(spark, tmp_path):
+    (tmp_path / "payments.csv").write_text(
+        "booking_id,amount,currency\nB1,10.5,EUR\nB2,\"1,200.50\",EUR\nB3,7,EUR,extra\nB4\n"
+    )
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    counts = refresh_bronze(store, str(tmp_path), ["payments"])
+    assert counts == {"bronze.payments": {"rows": 4, "rejects": 3}}
+    amounts = {r.booking_id: r.amount for r in store.read("bronze.payments").collect()}
+    assert amounts == {"B1": 10.5, "B2": None, "B3": 7.0, "B4": None}
+    rejects = store.read("bronze.payments_rejects")
+    assert sorted(r[REJECTED] for r in rejects.collect()) == ['B2,"1,200.50",EUR', "B3,7,EUR,extra", "B4"]
+
+
+def test_prefixed_databases(spark, tmp_path):
+    store = LayerStore(spark, prefix="trial_")
+    store.create_layers()
+    store.write(spark.range(3), "gold.numbers")
+    assert store.read("gold.numbers").count() == spark.table("trial_gold.numbers").count() == 3
 
 
 def test_tuned_starts_large_shuffles_with_many_partitions(spark):
