@@ -28,6 +28,12 @@ def test_customers_blank_email_and_duplicates(spark, rows):
     ]
 
 
+def test_without_a_tie_break_the_fuller_row_stays(spark, rows):
+    data = [("c1", "", None), ("c1", "x@y", None), ("c2", None, "n"), ("c2", "a@b", None)]
+    df = spark.createDataFrame(data, "customer_id STRING, email STRING, name STRING")
+    assert rows(silver.customers(df)) == [("c1", "x@y", None), ("c2", "a@b", None)]
+
+
 def test_rooms_exact_copies(spark, rows):
     data = [("r1", 2), ("r1", 2), ("r2", 3)]
     df = spark.createDataFrame(data, "room_id STRING, max_occupancy INT")
