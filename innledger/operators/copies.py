@@ -16,11 +16,17 @@ def collapse_copies(df: DataFrame, columns: Sequence[str], count_column: str) ->
 
 
 def expand_copies(df: DataFrame, count_column: str) -> DataFrame:
-    """Repeat each row ``count_column`` times and drop that column."""
+    """Repeat each row ``count_column`` times and drop that column.
+
+    Chunks of copies are dealt out before they are written, as many partitions as a shuffle
+    has, so that the copies of a few rows are not all written where the rows came from.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kept = [f"`{c}`" for c in df.columns if c != count_column]
     n = f"`{count_column}`"
     return (
         df.selectExpr("*", f"explode(sequence(0, ({n} - 1) div {_CHUNK})) AS _chunk")
+        .repartition(partitions)
         .selectExpr(
             *kept, f"explode(sequence(1, least({_CHUNK}, {n} - _chunk * {_CHUNK}))) AS _copy"
         )

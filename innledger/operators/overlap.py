@@ -12,10 +12,15 @@ of level ``k`` is ``16**k`` days long and starts at a multiple of its length; an
 days is a short list of such blocks, none overlapping another. A check-in day lies in one
 block per level, so it meets a stay around it in exactly one block, once.
 
-Hence the join key is (room, level, block). A room that holds much of the table is spread
-over its calendar, and candidates are true pairs up to a factor of two: work grows with
-input and output, not with the square of a room. A stay of ``n`` days gives at most 30
-blocks per level and O(log n) levels, so open-ended check-out dates are harmless.
+Hence the join key is (room, level, block), and work grows with input and output, not with
+the square of a room. Two things keep keys and rows few. What lies after the last check-in
+of a room meets nobody, so a stay counts only up to there: an open-ended check-out makes no
+more blocks than the room's calendar has. And the largest blocks have 256 days: a room that
+holds much of the table is spread over its calendar by them, and stays that are longer are
+a block per 256 days. A room's check-ins go only to the levels that a stay of that room
+reaches. Largest key: the check-ins of one room in 256 days; adaptive execution splits it.
+
+Times of day are compared as they are; blocks are made of the days they fall in.
 """
 
 from pyspark.sql import DataFrame
@@ -24,27 +29,13 @@ from pyspark.sql import functions as F
 from innledger.operators.copies import collapse_copies, expand_copies
 
 _BITS = 4  # a block holds 2**4 = 16 blocks of the level below
-_MAX_LEVELS = 6  # 16**5 days: four such blocks span all of Spark's dates
+_MAX_LEVEL = 2  # blocks of 256 days
 _SAME_DAY = -1  # the level for stays that begin on the same day
 
-# Expressions over a stay's day numbers, s = check-in and e = check-out, at a level.
-_LONGER_THAN = [
-    f"CAST(coalesce(max(e - s), 0) > {1 << _BITS * level} AS INT)" for level in range(_MAX_LEVELS)
-]
-# A block fits inside a stay only if the stay is longer than it.
-_TOP_LEVEL = f"{' + '.join(_LONGER_THAN)} - 1"
-
-
-def _day_number(df: DataFrame, column: str) -> str:
-    """Days since 1970. A time of day fails the query rather than being cut off."""
-    name = f"`{column}`"
-    day = f"CAST(unix_date(CAST({name} AS DATE)) AS BIGINT)"
-    if not df.schema[column].dataType.simpleString().startswith("timestamp"):
-        return day
-    message = f"{column} has a time of day; overlaps are found between whole days"
-    return (
-        f"if({name} != date_trunc('DAY', {name}), CAST(raise_error('{message}') AS BIGINT), {day})"
-    )
+
+def _day(column: str) -> str:
+    """Days since 1970."""
+    return f"CAST(unix_date(CAST({column} AS DATE)) AS BIGINT)"
 
 
 def _first(level: str) -> str:
@@ -65,7 +56,8 @@ def _range(start: str, stop: str) -> str:
 def _around(stays: DataFrame) -> DataFrame:
     """One row per block that is inside the stay, and one for its first day.
 
-    Where blocks of the level above cover the middle, a level fills in the two ends.
+    Where blocks of the level above cover the middle, a level fills in the two ends; the
+    highest level has nothing above it and fills in all.
     """
     inside = f"concat({_range('first', 'before_stop')}, {_range('after_first', 'stop')})"
     return (
@@ -78,13 +70,15 @@ def _around(stays: DataFrame) -> DataFrame:
         )
         .selectExpr(
             "*",
-            "if(middle_first < middle_stop, middle_first, stop) AS before_stop",
-            "if(middle_first < middle_stop, middle_stop, stop) AS after_first",
+            f"if(level < {_MAX_LEVEL} AND middle_first < middle_stop, middle_first, stop)"
+            " AS before_stop",
+            f"if(level < {_MAX_LEVEL} AND middle_first < middle_stop, middle_stop, stop)"
+            " AS after_first",
         )
         .selectExpr(
             *stays.columns,
             f"explode(CASE WHEN level != {_SAME_DAY} THEN {inside}"
-            " WHEN e > s THEN array(s) END) AS block",
+            " WHEN whole_e > s THEN array(s) END) AS block",
         )
     )
 
@@ -94,7 +88,7 @@ def _begins(stays: DataFrame) -> DataFrame:
     return stays.selectExpr(
         "*",
         f"CASE WHEN level != {_SAME_DAY} THEN shiftright(s, {_BITS} * level)"
-        " WHEN e > s THEN s END AS block",
+        " WHEN whole_e > s THEN s END AS block",
     ).filter("block IS NOT NULL")
 
 
@@ -108,25 +102,35 @@ def overlapping_pairs(
     """All pairs of different bookings of a room whose stays overlap.
 
     The lower booking id comes first. Rows with a NULL among the four columns match
-    nothing. Dates must not be inverted (``functions.cleaning.ordered_dates``), nor carry a
-    time of day. Repeated rows give repeated pairs, as a plain self-join would.
+    nothing. Dates must not be inverted (``functions.cleaning.ordered_dates``); they may
+    have a time of day. Repeated rows give repeated pairs, as a plain self-join would.
     """
-    days = df.selectExpr(
+    kind = "DATE"
+    if any(df.schema[c].dataType.simpleString() != "date" for c in (checkin, checkout)):
+        kind = "TIMESTAMP"
+    known = df.selectExpr(
         f"`{room}` AS room",
         f"`{booking}` AS id",
-        f"{_day_number(df, checkin)} AS s",
-        f"{_day_number(df, checkout)} AS e",
+        f"CAST(`{checkin}` AS {kind}) AS begins",
+        f"CAST(`{checkout}` AS {kind}) AS ends",
     ).dropna()
-    # One number for the whole table, so that check-ins are not sent to levels that no
-    # stay reaches.
-    top_level = days.agg(F.expr(_TOP_LEVEL)).scalar()
-    stays = (
-        collapse_copies(days, ["room", "id", "s", "e"], "copies")
-        .withColumn("top_level", top_level)
-        .selectExpr(
-            "room", "id", "s", "e", "copies", f"explode(sequence({_SAME_DAY}, top_level)) AS level"
-        )
+    # The day after the last one that the stay takes part of.
+    stop = f"{_day('ends')} + CAST(ends > CAST(CAST(ends AS DATE) AS {kind}) AS INT)"
+    days = collapse_copies(known, ["room", "id", "begins", "ends"], "copies").selectExpr(
+        "*", f"{_day('begins')} AS s", f"{stop} AS whole_e"
+    )
+    longest = "least(max(whole_e - s), max(s) + 1 - min(s))"
+    reached = " + ".join(
+        f"CAST({longest} > {1 << _BITS * level} AS INT)" for level in range(_MAX_LEVEL + 1)
+    )
+    of_room = days.groupBy(F.col("room").alias("of_room")).agg(
+        F.expr("max(s) + 1 AS after_last"), F.expr(f"{reached} - 1 AS top_level")
     )
+    stays = days.join(of_room, F.col("room") == F.col("of_room")).selectExpr(
+        "room", "id", "begins", "ends", "copies", "s", "whole_e",
+        "greatest(s, least(whole_e, after_last)) AS e",
+        f"explode(sequence({_SAME_DAY}, top_level)) AS level",
+    )
     # Spark's size estimate leaves out that one stay becomes many blocks, so it must not
     # choose to broadcast by it.
     pairs = (
@@ -137,14 +141,15 @@ def overlapping_pairs(
             F.expr(
                 "a.room = b.room AND a.level = b.level AND a.block = b.block AND a.id != b.id"
                 f" AND (a.level != {_SAME_DAY} OR a.id < b.id)"
+                " AND a.begins < b.ends AND b.begins < a.ends"
             ),
         )
         .selectExpr(
             f"a.room AS `{room}`",
             f"least(a.id, b.id) AS `{booking}_1`",
             f"greatest(a.id, b.id) AS `{booking}_2`",
-            "date_from_unix_date(CAST(b.s AS INT)) AS overlap_start",
-            "date_from_unix_date(CAST(least(a.e, b.e) AS INT)) AS overlap_end",
+            "greatest(a.begins, b.begins) AS overlap_start",
+            "least(a.ends, b.ends) AS overlap_end",
             "a.copies * b.copies AS copies",
         )
     )

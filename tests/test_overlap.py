@@ -101,18 +101,28 @@ def test_text_ids_order_as_text(spark):
     ]
 
 
-@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
-def test_timestamps_must_be_whole_days(spark, kind):
+@pytest.mark.parametrize("seed", range(3))
+def test_times_of_day(spark, seed):
+    rng = random.Random(seed)
+    noon = dt.datetime(2024, 2, 27)
+
+    def stay(i):
+        start = noon + dt.timedelta(hours=6 * rng.randrange(0, 60))
+        hours = rng.choice([0, 6, 12, 18, 24, 48, 6 * rng.randrange(0, 80)])
+        return (rng.choice("ab"), i % 70, start, start + dt.timedelta(hours=hours))
+
+    stays = [stay(i) for i in range(80)]
+    for kind in ("TIMESTAMP", "TIMESTAMP_NTZ"):
+        df = spark.createDataFrame(stays, SCHEMA.replace("DATE", kind))
+        assert Counter(tuple(r) for r in overlapping_pairs(df).collect()) == brute_force(stays)
+
+
+def test_date_and_time_together(spark):
     df = spark.createDataFrame(
-        [("a", 1, day(0), day(3)), ("a", 2, day(1), day(2)), ("a", 3, None, day(9))], SCHEMA
+        [("a", 1, day(0), day(3)), ("a", 2, day(3), day(4)), ("a", 3, None, day(9))], SCHEMA
     )
-    whole = df.withColumn("checkin_date", df.checkin_date.cast(kind))
-    assert [tuple(r) for r in overlapping_pairs(whole).collect()] == [
-        ("a", 1, 2, day(1), day(2))
-    ]
-    timed = whole.withColumn("checkin_date", F.expr("checkin_date + INTERVAL 1 HOUR"))
-    with pytest.raises(Exception, match="checkin_date has a time of day"):
-        overlapping_pairs(timed).collect()
+    timed = df.withColumn("checkout_date", F.expr("checkout_date + INTERVAL 10 HOURS"))
+    assert [tuple(r)[:3] for r in overlapping_pairs(timed).collect()] == [("a", 1, 2)]
 
 
 def test_repeated_rows_repeat_pairs(spark):
@@ -141,6 +151,37 @@ def test_hot_room_and_hot_copies(spark):
     assert pairs.count() == (n - 1) + n
 
 
+@pytest.mark.parametrize("room", ["hot", "other"])
+def test_a_stay_without_end_leaves_no_hot_block(spark, room, monkeypatch):
+    """Of the rows that meet in one key, none has more than a stated share."""
+    from innledger.operators import overlap
+
+    begins = []
+    plain = overlap._begins
+    monkeypatch.setattr(overlap, "_begins", lambda df: begins.append(plain(df)) or begins[0])
+    n = 4000
+    hot = spark.range(n).selectExpr(
+        "'hot' AS room_id", "id AS booking_id",
+        "date_add(date'2015-01-01', cast(id AS int)) AS checkin_date",
+        "date_add(date'2015-01-01', cast(id + 1 AS int)) AS checkout_date",
+    )
+    endless = spark.createDataFrame(
+        [(room, n, dt.date(2015, 1, 2), dt.date(9999, 12, 31))], SCHEMA
+    )
+    assert overlapping_pairs(hot.union(endless)).count() == (n - 1 if room == "hot" else 0)
+    most = begins[0].groupBy("room", "level", "block").count().selectExpr("max(count)").first()[0]
+    assert most <= (256 if room == "hot" else 1)
+
+
+def test_copies_are_written_by_several_tasks(spark):
+    stays = spark.range(400).selectExpr(
+        "'a' AS room_id", "id % 2 AS booking_id", "date'2024-01-01' AS checkin_date",
+        "date'2024-01-03' AS checkout_date",
+    )
+    parts = overlapping_pairs(stays).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in parts) == 200 * 200 and len(parts) > 1
+
+
 def test_plan_has_no_cross_join(spark):
     df = spark.createDataFrame([("a", 1, day(0), day(2))], SCHEMA)
     plan = overlapping_pairs(df)._jdf.queryExecution().toString()
