@@ -5,6 +5,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from innledger.functions.texts import fixed_point
+from innledger.operators.copies import collapse_copies
 from innledger.operators.quantiles import grouped_quantiles
 from innledger.operators.sampling import sample_rows, top_rows
 
@@ -12,7 +14,7 @@ from innledger.operators.sampling import sample_rows, top_rows
 COLLECTION_TARGET = 0.95
 TOP_ROWS = 10
 PAGE_ROWS = 25
-PAGE_ORDER = ("room_id", "booking_id_1", "booking_id_2")
+PAGE_ORDER = ("room_id", "booking_id_1", "booking_id_2", "overlap_start", "overlap_end")
 SAMPLE_ROWS = 200
 TICKET_QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -48,19 +50,15 @@ def collection_for_hotel(collection: DataFrame, hotel_id) -> DataFrame:
 
 def collection_report(collection: DataFrame) -> DataFrame:
     """Hotels by falling collection rate, marked when below target, with display texts."""
-
-    def text(pattern, value):
-        return f"CASE WHEN {value} IS NOT NULL THEN format_string('{pattern}', {value}) END"
-
     return collection.selectExpr(
         "hotel_id",
         "total_bookings_value",
         "total_payments_value",
         "collection_rate",
         f"coalesce(collection_rate < {COLLECTION_TARGET}, false) AS below_target",
-        f"{text('%.2f', 'total_bookings_value')} AS bookings_value_text",
-        f"{text('%.2f', 'total_payments_value')} AS payments_value_text",
-        f"{text('%.2f%%', 'collection_rate * 100')} AS collection_rate_text",
+        f"{fixed_point('total_bookings_value')} AS bookings_value_text",
+        f"{fixed_point('total_payments_value')} AS payments_value_text",
+        f"concat({fixed_point('(collection_rate * 100)')}, '%') AS collection_rate_text",
     ).orderBy(F.col("collection_rate").desc_nulls_last(), "hotel_id")
 
 
@@ -80,29 +78,49 @@ def top_overbooked_rooms(alerts: DataFrame, n: int = TOP_ROWS) -> DataFrame:
 
 
 def overbooking_page(
-    alerts: DataFrame,
-    page: int = 0,
-    page_rows: int = PAGE_ROWS,
-    room_id=None,
-    after: tuple | None = None,
+    alerts: DataFrame, page: int = 0, page_rows: int = PAGE_ROWS, room_id=None
+) -> DataFrame:
+    """One page of the alerts, in order of all their columns; pages count from 0.
+
+    Skipping pages sorts the skipped rows into one task: this form is for the first pages.
+    ``overbooking_after`` reads on from any place at the cost of one page.
+    """
+    if room_id is not None:
+        alerts = alerts.filter(F.col("room_id") == F.lit(room_id))
+    return alerts.orderBy(*PAGE_ORDER).offset(page * page_rows).limit(page_rows)
+
+
+def overbooking_after(
+    alerts: DataFrame, after: tuple | None = None, page_rows: int = PAGE_ROWS, room_id=None
 ) -> DataFrame:
-    """One page of the alerts, in order of room and bookings; pages count from 0.
+    """The alerts that follow ``after`` in order of all their columns, one page of them.
 
-    Skipping pages still sorts the skipped rows into one task. To read far into the list,
-    pass the room and the two bookings of the last row seen as ``after`` instead.
+    ``copy`` numbers equal alerts from 1. ``after`` is the last row of the page before, with
+    its copy; None starts at the beginning. Equal alerts are counted first, and of the
+    different ones only the first of each task are kept, so a page far into the list costs
+    what the first one does.
     """
     if room_id is not None:
         alerts = alerts.filter(F.col("room_id") == F.lit(room_id))
+    seen = F.lit(0).cast("long")
     if after is not None:
-        last_row = F.struct(
-            *[
-                F.lit(v).cast(alerts.schema[c].dataType).alias(c)
-                for c, v in zip(PAGE_ORDER, after, strict=True)
-            ]
-        )
-        alerts = alerts.filter(F.struct(*PAGE_ORDER) > last_row)
-    ordered = alerts.orderBy(*PAGE_ORDER, "overlap_start")
-    return ordered.offset(page * page_rows).limit(page_rows)
+        *values, copy = after
+        last = [
+            F.lit(v).cast(alerts.schema[c].dataType).alias(c)
+            for c, v in zip(PAGE_ORDER, values, strict=True)
+        ]
+        # The plain test on the room reaches the scan, the one on all columns does not.
+        alerts = alerts.filter(F.col("room_id") >= last[0])
+        alerts = alerts.filter(F.struct(*PAGE_ORDER) >= F.struct(*last))
+        seen = F.when(F.struct(*PAGE_ORDER) == F.struct(*last), F.lit(copy)).otherwise(seen)
+    counted = collapse_copies(alerts, PAGE_ORDER, "copies").withColumn("seen", seen.cast("long"))
+    first = counted.filter("copies > seen").orderBy(*PAGE_ORDER).limit(page_rows)
+    numbers = F.sequence(F.col("seen") + 1, F.least("copies", F.col("seen") + page_rows))
+    return (
+        first.select(*PAGE_ORDER, F.explode(numbers).alias("copy"))
+        .orderBy(*PAGE_ORDER, "copy")
+        .limit(page_rows)
+    )
 
 
 def filter_values(df: DataFrame, column: str, other_filters: str) -> DataFrame:

@@ -95,17 +95,42 @@ def test_pages_cover_everything_once(alerts):
         [tuple(r) for r in serving.overbooking_page(alerts, page).collect()] for page in range(4)
     ]
     assert [len(p) for p in pages] == [25, 25, 20, 0]
-    ordered = alerts.orderBy("room_id", "booking_id_1", "booking_id_2").collect()
+    ordered = alerts.orderBy(*serving.PAGE_ORDER).collect()
     assert sum(pages, []) == [tuple(r) for r in ordered]
     assert serving.overbooking_page(alerts, room_id="r05").count() == 5
 
+
+
+def walk(alerts, page_rows, **options):
+    """All pages, each read on from the last row of the one before."""
+    seen, after = [], None
+    while True:
+        page = serving.overbooking_after(alerts, after, page_rows, **options).collect()
+        seen += [tuple(r) for r in page]
+        if len(page) < page_rows:
+            return seen
+        after = tuple(page[-1])
+
+
+@pytest.mark.parametrize("page_rows", [3, 25])
+def test_cursor_reads_every_row_once(alerts, page_rows):
     known = alerts.filter("room_id IS NOT NULL")
-    first = serving.overbooking_page(known).collect()
-    last = first[-1]
-    onward = serving.overbooking_page(
-        known, after=(last.room_id, last.booking_id_1, last.booking_id_2)
-    )
-    assert onward.collect() == serving.overbooking_page(known, 1).collect()
+    often = known.filter("room_id = 'r03'")
+    for _ in range(3):  # eight copies
+        often = often.unionByName(often)
+    repeated = known.filter("room_id != 'r03'").unionByName(often)
+    seen = walk(repeated, page_rows)
+    assert len(seen) == len(set(seen))  # copies are numbered
+    assert [r[:5] for r in seen] == [
+        tuple(r) for r in repeated.orderBy(*serving.PAGE_ORDER).collect()
+    ]
+    assert len(walk(repeated, page_rows, room_id="r03")) == often.count()
+
+
+def test_a_page_far_on_is_not_sorted_into_one_task(alerts):
+    after = ("r05", 3, 4, None, None, 1)
+    plan = serving.overbooking_after(alerts, after)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Exchange SinglePartition" not in plan
 
 
 def test_filter_values(alerts, rows):
@@ -126,3 +151,27 @@ def test_prediction_reports(spark, rows):
     assert sample.columns == ["booking_id", "actual_price", "predicted_price"]
     assert sample.count() == 200
     assert serving.prediction_sample(df.limit(30)).count() == 30
+
+
+@pytest.mark.parametrize(
+    "value",
+    [0.0, 0.125, 0.375, 1.005, 2.675, 0.005, 0.015, 1e-9, 0.994999999, 0.995, 0.9999, 99.995,
+     1234.5, -0.125, -0.001, -2.5, 81.125, 1e15 + 0.125, 3.999e15, 1e17, 123456789.985, 1 / 3],
+)
+def test_texts_round_as_python_does(spark, value):
+    from innledger.functions.texts import fixed_point
+
+    df = spark.createDataFrame([(value,)], "v DOUBLE")
+    assert df.selectExpr(fixed_point("v")).first()[0] == f"{value:.2f}"
+
+
+def test_report_texts_on_ties(spark):
+    data = [(1, 0.125, 1.005, 0.81125), (2, None, None, None)]
+    df = spark.createDataFrame(
+        data,
+        "hotel_id INT, total_bookings_value DOUBLE, total_payments_value DOUBLE,"
+        " collection_rate DOUBLE",
+    )
+    first, second = serving.collection_report(df).collect()
+    assert tuple(first)[-3:] == ("0.12", "1.00", "81.12%")
+    assert tuple(second)[-3:] == (None, None, None)
