@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import cache, reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from innledger.functions.hashing import id_digest
 from innledger.operators.expectations import rule_metrics
@@ -25,9 +27,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANGE = ("1997-01-01", "1998-06-30")
 _IN_RANGE = f"BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'"
 HOTEL = 3
+ROOM = 7
 PAGE = 1
-# Small forests keep the check quick; the package's default is 100 trees.
-TREES, DEPTH = 10, 6
+PAGES_WALKED = 4
+# What the landing files plant: one amount in so many does not parse, and one name in so
+# many has a line break, quotes, commas and blanks.
+BAD_AMOUNT_EVERY, ODD_NAME_EVERY = 1009, 11
+# Cells whose characters are counted after the round trip.
+TEXT_CELLS = {
+    "hotels": ["hotel_name", "country"],
+    "rooms": ["room_type_code", "room_type_desc"],
+    "customers": ["name", "email"],
+    "bookings": ["currency", "status", "source"],
+    "payments": ["currency"],
+}
 
 
 def _hotels(spark, sf):
@@ -38,6 +51,14 @@ def _customers(spark, sf):
     return silver.customers(raw.raw_customers(spark, sf), ["copy_no"])
 
 
+def _half_blank_customers(spark, sf):
+    """Customers without the column that says which copy is first, and of those that are
+    there twice one copy without an e-mail."""
+    return raw.raw_customers(spark, sf).selectExpr(
+        "customer_id", "name", "if(copy_no = 0 AND customer_id % 40 = 0, '', email) AS email"
+    )
+
+
 def _rooms(spark, sf):
     return silver.rooms(raw.raw_rooms(spark, sf), ["copy_no"])
 
@@ -71,45 +92,97 @@ def _features(spark, sf):
     return pricing.price_features(_bookings(spark, sf), _rooms(spark, sf))
 
 
-def _stored_features(spark, sf):
-    """A store with the features in it, since training reads them several times."""
+@cache
+def _priced_store(app: str, sf: str) -> LayerStore:
+    """The whole pricing job: features, the saved model, predictions. Done once for a
+    session and its tables, with the defaults of the package."""
+    spark = SparkSession.getActiveSession()
     store = LayerStore(spark, shared_folder(spark))
     store.write(_features(spark, sf), "gold.price_features")
+    refresh_prices(store, f"{store.root}/model")
     return store
 
 
+def _priced(spark, sf) -> LayerStore:
+    return _priced_store(spark.sparkContext.applicationId, sf)
+
+
 def _predictions(spark, sf):
-    features = _stored_features(spark, sf).read("gold.price_features")
-    return pricing.predicted_prices(
-        pricing.train_price_model(features, TREES, DEPTH), features
+    """Scored anew with the model as it was saved."""
+    store = _priced(spark, sf)
+    model = pricing.load_model(f"{store.root}/model")
+    return pricing.predicted_prices(model, store.read("gold.price_features"))
+
+
+def _comparable(spark, sf, predictions):
+    """Predicted values are left out, since no other engine can repeat them; whether they
+    lie between the training prices can be compared."""
+    training = _priced(spark, sf).read("gold.price_features").filter("is_train")
+    ends = (training.selectExpr(f"{end}(actual_price)").scalar() for end in ("min", "max"))
+    return pricing.with_range_flag(predictions, *ends).drop("predicted_price")
+
+
+def _model_metrics(spark, sf):
+    """What another engine can compute of the metrics, and whether the rest fits it."""
+    return pricing.price_model_metrics(_predictions(spark, sf)).selectExpr(
+        "test_rows",
+        "round(baseline_rmse, 4) AS baseline_rmse",
+        "rmse > 0 AS has_error",
+        "abs(r2 - (1 - pow(rmse / baseline_rmse, 2))) < 1e-9 AS r2_fits_rmse",
     )
 
 
-def _scored_bookings(spark, sf):
-    """The whole pricing job: train, save the model, store and read back the predictions.
+def _catalog_report(spark, sf):
+    """Two tables written to databases of the catalog and read back from there."""
+    store = LayerStore(spark, prefix=f"innledger_{uuid4().hex}_")
+    store.create_layers()
+    store.write(_bookings(spark, sf), "silver.bookings")
+    store.write(gold.cancellation_rate(store.read("silver.bookings")), "gold.cancellation_rate")
+    return store.read("gold.cancellation_rate")
 
-    Predicted values are left out, since no other engine can repeat them. A forest
-    predicts averages of training prices, so all lie between their extremes.
-    """
-    store = _stored_features(spark, sf)
-    refresh_prices(store, f"{store.root}/model", TREES, DEPTH)
-    predictions = store.read("gold.predicted_prices")
-    lowest, highest = (
-        predictions.filter("is_train").selectExpr(f"{end}(actual_price)").scalar()
-        for end in ("min", "max")
-    )
-    return predictions.withColumn(
-        "within_training_range", predictions.predicted_price.between(lowest, highest)
-    ).drop("predicted_price")
+
+def _repeated_alerts(spark, sf):
+    """Alerts on bookings of which some are listed three times."""
+    bookings = _bookings(spark, sf)
+    again = bookings.filter("booking_id % 5 = 0")
+    return gold.overbooking_alerts(bookings.unionByName(again).unionByName(again))
+
+
+def _walked_pages(spark, sf):
+    """The first pages of the alerts, each read on from the last row of the one before."""
+    store = LayerStore(spark, shared_folder(spark))
+    store.write(_repeated_alerts(spark, sf), "gold.overbooking_alerts")
+    alerts, after, pages = store.read("gold.overbooking_alerts"), None, []
+    for _ in range(PAGES_WALKED):
+        page = serving.overbooking_after(alerts, after)
+        rows = page.collect()  # one page
+        if not rows:
+            break
+        pages.append(page)
+        after = tuple(rows[-1])
+    empty = serving.overbooking_after(alerts).limit(0)
+    return reduce(DataFrame.unionByName, pages, empty)
 
 
 def _bronze_ingest(spark, sf):
     """Land the five raw tables as CSV, ingest them, and count what arrived."""
     store = LayerStore(spark, shared_folder(spark))
     landing = f"{store.root}/landing"
+    planted = {
+        "payments": {
+            "amount": f"CASE WHEN payment_id % {BAD_AMOUNT_EVERY} = 0 THEN '1,200.50'"
+            " ELSE CAST(amount AS STRING) END"
+        },
+        "customers": {
+            "name": f"CASE WHEN customer_id % {ODD_NAME_EVERY} = 0"
+            " THEN concat(name, '\\n  \"Jr\", esq. ') ELSE name END"
+        },
+    }
 
     def land(table):
-        write_landing(raw.RAW_TABLES[table](spark, sf), landing, table)
+        df = raw.RAW_TABLES[table](spark, sf)
+        odd = {c: F.expr(e) for c, e in planted.get(table, {}).items()}
+        write_landing(df.withColumns(odd) if odd else df, landing, table)
 
     with ThreadPoolExecutor(len(LANDING_TABLES)) as pool:
         list(pool.map(land, LANDING_TABLES))
@@ -118,11 +191,15 @@ def _bronze_ingest(spark, sf):
     def counted(table):
         df = store.read(f"bronze.{table}")
         filled = " + ".join(f"count({c})" for c in df.columns if c != INGESTION_COLUMN)
+        texts = " + ".join(f"coalesce(sum(length({c})), 0)" for c in TEXT_CELLS[table])
+        rejects = store.read(f"bronze.{table}_rejects").count()
         return df.selectExpr(
             f"'{table}' AS table_name",
             "count(*) AS row_count",
             f"count({INGESTION_COLUMN}) AS stamped_rows",
             f"{filled} AS filled_cells",
+            f"{texts} AS text_length",
+            f"{rejects}L AS rejects",
         )
 
     return reduce(DataFrame.unionByName, map(counted, LANDING_TABLES))
@@ -184,12 +261,25 @@ _QUERIES: dict[str, Query] = {
     ),
     "price_features": _features,
     "price_sample": _price_sample,
-    "predicted_prices": _predictions,
-    "scored_bookings": _scored_bookings,
-    "price_model_metrics": lambda spark, sf: pricing.price_model_metrics(
-        _predictions(spark, sf)
+    "predicted_prices": lambda spark, sf: _comparable(spark, sf, _predictions(spark, sf)),
+    "scored_bookings": lambda spark, sf: _comparable(
+        spark, sf, _priced(spark, sf).read("gold.predicted_prices")
+    ),
+    "price_model_metrics": _model_metrics,
+    "prediction_sample": lambda spark, sf: _comparable(
+        spark, sf, serving.prediction_sample(_predictions(spark, sf))
+    ),
+    "prediction_scatter": lambda spark, sf: _comparable(
+        spark, sf, serving.prediction_scatter(_predictions(spark, sf))
+    ),
+    "catalog_report": _catalog_report,
+    "overbooking_room_page": lambda spark, sf: serving.overbooking_page(
+        _alerts(spark, sf), room_id=ROOM
+    ),
+    "overbooking_walk": _walked_pages,
+    "silver_customers_untied": lambda spark, sf: silver.customers(
+        _half_blank_customers(spark, sf)
     ),
-    "prediction_sample": lambda spark, sf: serving.prediction_sample(_predictions(spark, sf)),
     "prediction_bounds": lambda spark, sf: serving.prediction_bounds(_features(spark, sf)),
 }
 
@@ -363,27 +453,44 @@ def _sql(select: str) -> str:
 
 
 def _bronze_sql() -> str:
+    # A blank cell of a CSV file is read as NULL.
+    odd_name = f"""CASE WHEN customer_id % {ODD_NAME_EVERY} = 0
+        THEN name || chr(10) || '  "Jr", esq. ' ELSE name END"""
+    bad = f"payment_id % {BAD_AMOUNT_EVERY} = 0"
     columns = {
-        "hotels": ["hotel_id", "hotel_name", "stars", "country"],
-        "rooms": [
-            "room_id", "hotel_id", "room_type_code", "room_type_desc", "max_occupancy", "copy_no",
-        ],
-        # A blank cell of a CSV file is read as NULL.
-        "customers": ["customer_id", "name", "nullif(email, '')", "copy_no"],
-        "bookings": [
-            "booking_id", "customer_id", "room_id", "hotel_id", "checkin_date",
-            "checkout_date", "total_amount", "currency", "status", "source",
-        ],
-        "payments": ["payment_id", "booking_id", "amount", "currency"],
-    }
+        "hotels": (["hotel_id", "stars"], TEXT_CELLS["hotels"], "false"),
+        "rooms": (
+            ["room_id", "hotel_id", "max_occupancy", "copy_no"],
+            TEXT_CELLS["rooms"],
+            "false",
+        ),
+        "customers": (["customer_id", "copy_no"], [odd_name, "nullif(email, '')"], "false"),
+        "bookings": (
+            ["booking_id", "customer_id", "room_id", "hotel_id", "checkin_date",
+             "checkout_date", "total_amount"],
+            TEXT_CELLS["bookings"],
+            "false",
+        ),
+        "payments": (
+            ["payment_id", "booking_id", f"CASE WHEN NOT {bad} THEN amount END"],
+            TEXT_CELLS["payments"],
+            bad,
+        ),
+    }
     return " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, count(*) AS row_count, count(*) AS stamped_rows, "
-        f"{' + '.join(f'count({c})' for c in names)} AS filled_cells FROM raw_{table}"
-        for table, names in columns.items()
+        f"{' + '.join(f'count({c})' for c in [*others, *texts])} AS filled_cells, "
+        f"CAST({' + '.join(f'coalesce(sum(length({c})), 0)' for c in texts)} AS BIGINT)"
+        f" AS text_length, count(*) FILTER (WHERE {rejected}) AS rejects FROM raw_{table}"
+        for table, (others, texts, rejected) in columns.items()
     )
 
 
 def oracle_sql() -> dict[str, str]:
+    scored = """
+        SELECT booking_id, actual_price, stay_duration, max_occupancy, room_type_code,
+               season, is_train, true AS within_training_range
+        FROM features"""
     selects = {
         "bronze_ingest": _bronze_sql(),
         "silver_hotels": "SELECT * FROM hotels",
@@ -430,8 +537,26 @@ def oracle_sql() -> dict[str, str]:
             SELECT room_id, count(*) AS "count" FROM alerts WHERE room_id IS NOT NULL
             GROUP BY room_id ORDER BY count(*) DESC, room_id LIMIT 10""",
         "overbooking_page": f"""
-            SELECT * FROM alerts ORDER BY room_id, booking_id_1, booking_id_2, overlap_start
+            SELECT * FROM alerts
+            ORDER BY room_id, booking_id_1, booking_id_2, overlap_start, overlap_end
             LIMIT 25 OFFSET {PAGE * 25}""",
+        "overbooking_room_page": f"""
+            SELECT * FROM alerts WHERE room_id = {ROOM}
+            ORDER BY booking_id_1, booking_id_2, overlap_start, overlap_end LIMIT 25""",
+        "overbooking_walk": f"""
+            SELECT room_id, booking_id_1, booking_id_2, overlap_start, overlap_end,
+                   CAST(n AS BIGINT) AS copy
+            FROM (SELECT *, unnest(range(1, CAST(CASE WHEN booking_id_1 % 5 = 0 THEN 3 ELSE 1 END
+                    * CASE WHEN booking_id_2 % 5 = 0 THEN 3 ELSE 1 END + 1 AS BIGINT))) AS n
+                  FROM alerts)
+            ORDER BY room_id, booking_id_1, booking_id_2, overlap_start, overlap_end, n
+            LIMIT {PAGES_WALKED * 25}""",
+        "catalog_report": "SELECT * FROM cancellation",
+        "silver_customers_untied": """
+            SELECT customer_id, min(name) AS name,
+                   min(nullif(CASE WHEN copy_no = 0 AND customer_id % 40 = 0 THEN '' ELSE email
+                              END, '')) AS email
+            FROM raw_customers GROUP BY customer_id""",
         "filter_values": f"""
             SELECT room_id, count(*) FILTER (WHERE overlap_start {_IN_RANGE}) AS associated
             FROM alerts GROUP BY room_id""",
@@ -445,10 +570,17 @@ def oracle_sql() -> dict[str, str]:
         "price_sample": """
             SELECT booking_id, actual_price, md5(booking_id || '|42') AS digest
             FROM features ORDER BY digest, booking_id LIMIT 200""",
-        "scored_bookings": """
-            SELECT booking_id, actual_price, stay_duration, max_occupancy, room_type_code,
-                   season, is_train, true AS within_training_range
-            FROM features""",
+        "scored_bookings": scored,
+        "predicted_prices": scored,
+        "prediction_scatter": """
+            SELECT booking_id, actual_price, true AS within_training_range FROM features""",
+        "prediction_sample": """
+            SELECT booking_id, actual_price, true AS within_training_range
+            FROM features ORDER BY md5(booking_id || '|42'), booking_id LIMIT 200""",
+        "price_model_metrics": """
+            SELECT count(*) AS test_rows, round(sqrt(var_pop(actual_price)), 4) AS baseline_rmse,
+                   true AS has_error, true AS r2_fits_rmse
+            FROM features WHERE NOT is_train""",
         "prediction_bounds": """
             SELECT min(actual_price) AS lowest, max(actual_price) AS highest FROM features""",
     }

@@ -18,8 +18,15 @@ EAGER = {
     "price_model_metrics",
     "prediction_sample",
     "scored_bookings",
+    "prediction_scatter",
+    "catalog_report",
+    "overbooking_walk",
+}
+QUERIES = {
+    n: q
+    for n, q in registered.queries().items()
+    if n in registered._QUERIES and n not in EAGER
 }
-QUERIES = {n: q for n, q in registered.queries().items() if n not in EAGER}
 
 
 def plan_of(df):
@@ -104,7 +111,7 @@ def test_kpis_combine_before_the_shuffle(store):
 
 def test_box_plot_computes_customer_values_once(spark):
     plan = final_plan_of(QUERIES["ticket_box_plot"](spark, SF_DIR))
-    assert plan.count("FileScan") == 1 or "ReusedExchange" in plan
+    assert plan.count("FileScan") - plan.count("ReusedExchange") <= 1
 
 
 def test_hot_booking_is_split(spark):

@@ -110,6 +110,18 @@ def test_metrics_match_spark_ml_and_beat_the_mean(predictions):
     assert got.rmse < 0.5 * got.baseline_rmse
 
 
+def test_model_does_not_depend_on_partitions(features):
+    """The same trees however the table is stored."""
+    found = []
+    for stored in (features.repartition(3), features.repartition(4, "season"), features.coalesce(1)):
+        model = pricing.train_price_model(stored, trees=4, max_depth=5)
+        rows = pricing.predicted_prices(model, features).orderBy("booking_id").collect()
+        found.append(([t.depth for t in model.stages[-1].trees], [r.predicted_price for r in rows]))
+    assert found[0][0] == found[1][0] == found[2][0]
+    for _, prices in found[1:]:
+        assert prices == pytest.approx(found[0][1], rel=1e-9)
+
+
 def test_metrics_without_held_out_rows(predictions):
     got = pricing.price_model_metrics(predictions.filter("is_train")).first()
     assert (got.test_rows, got.rmse, got.r2) == (0, None, None)
