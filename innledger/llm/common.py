@@ -3,46 +3,23 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from innledger.session import shared_folder
+
 #: Stands for a null id inside the operators; sorts before every other id.
 NULL_ID = -(2**63)
 
-_OWN_FOLDER: list[str] = []
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``, deleted when the application ends.
-
-    Only where that setting is unset and the session is a single process, as in tests,
-    a temporary folder of this process takes its place.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        if not _OWN_FOLDER:
-            _OWN_FOLDER.append(tempfile.mkdtemp(prefix="innledger-"))
-        folder = _OWN_FOLDER[0]
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4()}"
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
-
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage ends in a file."""
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = shared_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -97,8 +74,11 @@ class Recent:
 
     Two generations of at most half of ``most`` keys each (a single call may exceed that):
     a key used again moves to the young one, so frequent keys outlive any number of rare.
+    Worker processes outlive an operator, so only the memory used last keeps its values.
     """
 
+    used_last: Recent | None = None
+
     def __init__(self, compute: Callable[[list], Iterable], most: int):
         self.compute, self.most = compute, most
         self.young: dict = {}
@@ -106,6 +86,10 @@ class Recent:
 
     def holding(self, keys: set) -> dict:
         """A dictionary with the values of all ``keys``, valid until the next call."""
+        if Recent.used_last is not self:
+            if Recent.used_last is not None:
+                Recent.used_last.young, Recent.used_last.old = {}, {}
+            Recent.used_last = self
         if len(self.young) > self.most // 2:
             self.old, self.young = self.young, {}
         old, young = self.old, self.young

@@ -34,7 +34,7 @@ EVIDENCE = 200
 #: of its language's training texts of like length.
 REJECTED_BEYOND = 4.0
 #: Bytes of text looked at together.
-BLOCK = 8 << 20
+BLOCK = 2 << 20
 UNDETERMINED = "und"
 
 
