@@ -27,7 +27,7 @@ from innledger.llm.common import Recent, slices, stored, text_list
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 #: Tokens of the words seen lately are kept between batches: about so many words.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 1_400_000
 
 
 @lru_cache(maxsize=1)

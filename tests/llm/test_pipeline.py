@@ -1,0 +1,114 @@
+"""The stages of the pipeline against brute force, each on its own input."""
+
+from collections import Counter
+
+import corpus_pipeline
+import pytest
+from pyspark.sql import functions as F
+from test_packing import check_bins
+from test_simhash import groups, plain_fingerprint
+
+from innledger.llm import quality
+from innledger.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+STAGES = dict(corpus_pipeline.STAGES)
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def plain_cut(rows, length=100):
+    """Texts without repeated strings, whole characters only, in order of the ids."""
+    seen, out = set(), {}
+    for doc_id, text in rows:
+        data = text.encode()
+        gone = bytearray(len(data))
+        for p in range(len(data) - length + 1):
+            part = data[p : p + length]
+            if part in seen:
+                gone[p : p + length] = b"\1" * length
+            seen.add(part)
+        kept, at = [], 0
+        for letter in text:
+            size = len(letter.encode())
+            if not any(gone[at : at + size]):
+                kept.append(letter)
+            at += size
+        out[doc_id] = "".join(kept)
+    return out
+
+
+def test_names_and_order():
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality classifier", "SimHash near-dedup", "suffix-array dedup",
+        "benchmark decontamination", "best-fit packing",
+    ]
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_each_stage_on_the_table(spark, documents):
+    rows = {r.doc_id: r.text for r in documents.collect()}
+
+    kept = STAGES["quality classifier"](spark, documents, SF)
+    assert kept.columns == COLUMNS
+    scores = quality.scored(
+        documents, quality.trained(documents, spark.read.parquet(f"{SF}/labels.parquet"))
+    )
+    want = {r.doc_id for r in scores.filter("score >= 0.5").collect()}
+    assert {r.doc_id for r in kept.collect()} == want and 0.5 * len(rows) < len(want) < len(rows)
+
+    one = STAGES["SimHash near-dedup"](spark, documents, SF)
+    assert one.columns == COLUMNS
+    found = groups({i: plain_fingerprint(t) for i, t in rows.items()})
+    assert sorted(r.doc_id for r in one.collect()) == sorted(set(found.values()))
+
+    cut = STAGES["suffix-array dedup"](spark, documents, SF)
+    assert cut.columns == COLUMNS and cut.dtypes == documents.dtypes
+    texts = {r.doc_id: r.text for r in cut.collect()}
+    assert texts == plain_cut(sorted(rows.items()))
+    assert cut.filter("n_chars != length(text)").count() == 0
+
+    clean = STAGES["benchmark decontamination"](spark, documents, SF)
+    assert clean.columns == COLUMNS
+    items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    leaking = {i for i, t in rows.items() if any(x in t for x in items)}
+    assert {r.doc_id for r in clean.collect()} == set(rows) - leaking and leaking
+
+    packed = STAGES["best-fit packing"](spark, documents, SF).collect()
+    assert {r.doc_id for r in packed} == set(rows)
+    check_bins(packed, 2048)
+
+
+def test_run_applies_all_stages(spark, documents):
+    rows = QUERIES["op1_best_fit_packing"](spark, SF).count()
+    docs = documents
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SF).collect(), docs.schema)
+        assert docs.count() > 0, name
+    want = Counter(
+        (r.doc_id, r.piece, r.ids_crc32) for r in STAGES["best-fit packing"](spark, docs, SF).collect()
+    )
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert Counter((r.doc_id, r.piece, r.ids_crc32) for r in got) == want
+    assert 0 < len(got) < rows
+    check_bins(got, 2048)
+
+
+def test_odd_rows_go_through_every_stage(spark, documents):
+    text = documents.first().text
+    odd = spark.createDataFrame(
+        [(None, text, None, None, None), (1, None, "en", "s", 0), (2, "", "en", "s", 0),
+         (3, text, "en", "s", 1), (3, text, "en", "s", 1), (4, text * 300, "en", "s", 1)],
+        documents.schema,
+    ).withColumns({"score": F.lit(1), "__own": F.lit("x"), "leaks": F.lit(2)})
+    for stage in (odd, odd.limit(0)):
+        for _, function in corpus_pipeline.STAGES[:-1]:
+            out = function(spark, stage, SF)
+            assert set(out.columns) == set(stage.columns)
+            assert out.count() <= stage.count()
+        assert function is STAGES["benchmark decontamination"]
+        assert STAGES["best-fit packing"](spark, stage, SF).count() >= stage.count()
