@@ -70,7 +70,9 @@ def grouped_quantiles(
         low = f"max(CASE WHEN name = '{name}' AND NOT is_upper THEN v END)"
         high = f"max(CASE WHEN name = '{name}' AND is_upper THEN v END)"
         part = f"max(CASE WHEN name = '{name}' THEN part END)"
-        return F.expr(f"{low} + ({high} - {low}) * {part}").alias(name)
+        # Between equal values nothing is to interpolate, and infinities have no difference.
+        between = f"{low} + ({high} - {low}) * {part}"
+        return F.expr(f"CASE WHEN {low} = {high} THEN {low} ELSE {between} END").alias(name)
 
     picked = found.groupBy("g").agg(*[interpolated(name) for name in quantiles])
     ends = buckets.groupBy("g").agg(F.expr("min(low) AS min"), F.expr("max(high) AS max"))

@@ -203,3 +203,10 @@ def test_money_beyond_every_decimal_is_reported(spark):
     df = spark.createDataFrame([(1e37,), (1.0,)], "a DOUBLE")
     with pytest.raises(Exception):
         df.agg(exact_sum("a")).collect()
+
+
+def test_quantiles_of_infinite_values(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(1, inf), (1, inf), (1, 1.0), (2, -inf), (2, -inf)], "g INT, v DOUBLE")
+    got = {r.g: tuple(r)[1:] for r in grouped_quantiles(df, "g", "v", {"median": 0.5}).collect()}
+    assert got == {1: (1.0, inf, inf), 2: (-inf, -inf, -inf)}
