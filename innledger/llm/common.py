@@ -24,6 +24,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def new_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named _0, _1 and so on, which clash with no other name here."""
+    return df.toDF(*(f"_{i}" for i in range(len(df.columns))))
+
+
 def remainder(doc_id: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id gives null."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from innledger.llm.common import Recent, mixed, slices, text_list
+from innledger.llm.common import Recent, mixed, new_name, slices, text_list
 
 WINDOW = 5
 #: Share of an item's windows that a document must have, and of its slots that must agree.
@@ -221,7 +221,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, column: str = "leaks") ->
     parts = []
     for k in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        parts.append(f"__leaks_{k}" if blocks > 1 else column)
+        parts.append(new_name(docs, f"leaks_{k}") if blocks > 1 else column)
         docs = _looked_up(docs, [(r.item_id, r.text.encode()) for r in block.collect()], parts[-1])
     if blocks == 1:
         return docs
@@ -265,4 +265,5 @@ def leaked_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns as they are."""
-    return with_leaks(docs, benchmark, "__leaks").filter(F.size("__leaks") == 0).drop("__leaks")
+    column = new_name(docs, "leaks")
+    return with_leaks(docs, benchmark, column).filter(F.size(column) == 0).drop(column)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from innledger.llm.common import Recent, slices, stored, text_list
+from innledger.llm.common import Recent, numbered, slices, stored, text_list
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 #: Tokens of the words seen lately are kept between batches: about so many words.
@@ -155,11 +155,13 @@ def packed(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     pieces of one length goes where is arbitrary. An empty table gives an empty table.
     """
     spark = pieces.sparkSession
-    numbered = stored(
-        pieces.withColumn("__row", F.monotonically_increasing_id()), "pieces"
-    ).withColumn("__part", F.shiftright("__row", 33))
+    own = numbered(pieces)
+    length = f"_{pieces.columns.index('length')}"
+    rows = stored(own.withColumn("__row", F.monotonically_increasing_id()), "pieces").withColumn(
+        "__part", F.shiftright("__row", 33)
+    )
     # A length that a third of all pieces share is numbered part by part.
-    counts = numbered.groupBy("__part", F.col("length").alias("__length")).agg(
+    counts = rows.groupBy("__part", F.col(length).alias("__length")).agg(
         F.count("*").alias("__n")
     )
     by_length = {r[0]: r[1] for r in counts.groupBy("__length").agg(F.sum("__n")).collect()}
@@ -177,20 +179,21 @@ def packed(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
         "__length",
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"),
     )
-    within = Window.partitionBy("__part", "length").orderBy("__row")
-    ranked = numbered.withColumn("__rank", F.row_number().over(within) - 1)
+    within = Window.partitionBy("__part", length).orderBy("__row")
+    ranked = rows.withColumn("__rank", F.row_number().over(within) - 1)
     placed = ranked.join(
         starts,
-        (F.col("__part") == F.col("__own_part")) & (F.col("length") == F.col("__length")),
+        (F.col("__part") == F.col("__own_part")) & (F.col(length) == F.col("__length")),
     ).withColumn("__rank", F.col("__rank") + F.col("__start"))
     at = F.col("__rank") - F.col("__first")
     return (
         placed.join(
-            runs, (F.col("length") == F.col("__run_length")) & (at >= 0) & (at < F.col("__pieces"))
+            runs, (F.col(length) == F.col("__run_length")) & (at >= 0) & (at < F.col("__pieces"))
         )
         .withColumn("sequence_id", F.col("__bin") + F.floor(at / F.col("__each")).cast("long"))
-        .withColumn("offset", F.col("__place") + at % F.col("__each") * F.col("length"))
-        .select(*pieces.columns, "sequence_id", "offset")
+        .withColumn("offset", F.col("__place") + at % F.col("__each") * F.col(length))
+        .select(*own.columns, "sequence_id", "offset")
+        .toDF(*pieces.columns, "sequence_id", "offset")
     )
 
 

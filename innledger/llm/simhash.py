@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innledger.llm.common import stored, text_list
+from innledger.llm.common import numbered, stored, text_list
 from innledger.llm.components import connected_components
 
 SHINGLE, DISTANCE = 3, 2
@@ -166,6 +166,8 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     """
     keep = near_duplicates(docs, shingle, distance).filter("keep")
     keep = keep.select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).distinct()
-    own = docs.withColumn("__own", F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__tie"))
-    return own.join(keep, same).dropDuplicates(["__id", "__tie"]).select(*docs.columns)
+    own = numbered(docs)
+    doc_id, text = (own[docs.columns.index(c)] for c in ("doc_id", "text"))
+    same = doc_id.cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__tie"))
+    kept = own.join(keep, same).dropDuplicates(["__id", "__tie"])
+    return kept.select(*own.columns).toDF(*docs.columns)

@@ -104,11 +104,14 @@ def test_odd_rows_go_through_every_stage(spark, documents):
         [(None, text, None, None, None), (1, None, "en", "s", 0), (2, "", "en", "s", 0),
          (3, text, "en", "s", 1), (3, text, "en", "s", 1), (4, text * 300, "en", "s", 1)],
         documents.schema,
-    ).withColumns({"score": F.lit(1), "__own": F.lit("x"), "leaks": F.lit(2)})
+    )
+    names = ["score", "quality", "leaks", "_0", "__id", "__tie", "__spans", "__own", "__row", "tie"]
+    odd = odd.withColumns({c: F.lit(c) for c in names})
     for stage in (odd, odd.limit(0)):
         for _, function in corpus_pipeline.STAGES[:-1]:
             out = function(spark, stage, SF)
             assert set(out.columns) == set(stage.columns)
             assert out.count() <= stage.count()
+            assert all(r[c] == c for r in out.collect() for c in names)
         assert function is STAGES["benchmark decontamination"]
         assert STAGES["best-fit packing"](spark, stage, SF).count() >= stage.count()
