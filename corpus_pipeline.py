@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innledger.llm import decontamination, quality, simhash, suffix_dedup
-from innledger.llm.common import stored
+from innledger.llm.common import new_name, stored
 from innledger.llm.queries import pack_documents
 
 
@@ -20,8 +20,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on these documents, does not reject."""
     model = quality.trained(docs, _table(spark, sf_dir, "labels"))
-    scores = quality.scored(docs, model, "__quality")
-    return scores.filter(scores["__quality"] >= quality.THRESHOLD).drop("__quality")
+    column = new_name(docs, "quality")
+    good = F.col(column) >= quality.THRESHOLD
+    return quality.scored(docs, model, column).filter(good).drop(column)
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
