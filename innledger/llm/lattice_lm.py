@@ -173,6 +173,27 @@ def _look_up(shared):
     return look
 
 
+def _least_count(words: DataFrame) -> int:
+    """The count from which on words are frequent: at most ``FREQUENT`` have it.
+
+    Found on a table of how many words have counts of each size, sixteen sizes a doubling.
+    """
+    size = F.floor(F.log2("c") * 16)
+    sizes = (
+        words.filter("c > 0")
+        .groupBy(size.alias("size"))
+        .agg(F.count("*").alias("words"), F.min("c").alias("least"))
+        .collect()
+    )
+    least, taken = 2**62, 0
+    for row in sorted(sizes, reverse=True):
+        taken += row.words
+        if taken > FREQUENT:
+            break
+        least = row.least
+    return least
+
+
 def scored(docs: DataFrame, learning: Column, vocabulary: str) -> DataFrame:
     """Likelihoods of all texts, learned from those where ``learning`` is true.
 
@@ -216,7 +237,7 @@ def scored(docs: DataFrame, learning: Column, vocabulary: str) -> DataFrame:
     def base(c):
         return F.log10((c + 1) / F.lit(float(denominator)))
 
-    top = table.orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas()
+    top = table.filter(F.col("c") >= _least_count(table)).toPandas()
     c = top["c"].to_numpy(np.int64)
     frequent = spark.sparkContext.broadcast(
         (
