@@ -69,7 +69,7 @@ def text_list(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def slices(texts: list, most: int = 4 << 20):
+def slices(texts: list, most: int = 2 << 20):
     """Ranges of ``texts`` of about ``most`` bytes each, at least one text."""
     first, size = 0, 0
     for i, text in enumerate(texts):

@@ -32,7 +32,7 @@ COVERAGE = 0.8
 LEAST_WORDS = 2
 #: Benchmark texts looked up in one pass over the documents; larger benchmarks take several.
 BLOCK_BYTES = 16 << 20
-CACHED_TOKENS = 500_000
+CACHED_TOKENS = 250_000
 
 # Unit words and number words that count as slots.
 UNITS = frozenset(

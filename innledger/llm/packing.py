@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from innledger.llm.common import Recent, numbered, slices, stored, text_list
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
+#: Words encoded at once; the encoder returns far more than the ids.
+ENCODED = 4096
 #: Tokens of the words seen lately are kept between batches: about so many words.
-CACHED_WORDS = 1_400_000
+CACHED_WORDS = 1_000_000
 
 
 @lru_cache(maxsize=1)
@@ -38,9 +40,10 @@ def _word_ids(path: str) -> Recent:
     tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
 
     def encode(words: list[bytes]) -> Iterator[bytes]:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return (array("I", x.ids).tobytes() for x in found)
+        for at in range(0, len(words), ENCODED):
+            texts = [w.decode("utf-8", "replace") for w in words[at : at + ENCODED]]
+            found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            yield from [array("I", x.ids).tobytes() for x in found]
 
     return Recent(encode, CACHED_WORDS)
 

@@ -33,7 +33,7 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.01
 THRESHOLD = 0.5
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
-CACHED_TOKENS = 500_000
+CACHED_TOKENS = 250_000
 _AGAIN = np.uint64(0x9E3779B97F4A7C15)
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 _codes = Recent(lambda tokens: map(xxhash.xxh3_64_intdigest, tokens), CACHED_TOKENS)
