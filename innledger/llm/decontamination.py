@@ -55,7 +55,10 @@ _WORD, _NUMBER, _TITLE, _UNIT, _END = range(5)
 _KIND = np.uint64(7)
 #: Codes of the placeholders.
 _SLOT = {kind: np.uint64(8 * (kind + 1)) for kind in (_NUMBER, _TITLE, _UNIT)}
+_BIT = {_NUMBER: np.uint8(1), _TITLE: np.uint8(2), _UNIT: np.uint8(4)}
 _STEP = 0xD6E8FEB86659FD93
+#: Weight of each token of a window in its hash.
+_WEIGHTS = [np.uint64(pow(_STEP, WINDOW - 1 - k, 1 << 64)) for k in range(WINDOW)]
 
 
 def _code(token: str) -> int:
@@ -79,15 +82,18 @@ class Templates:
     """Templates of several texts, one after the other."""
 
     tokens: list[list[str]]
-    codes: np.ndarray  # placeholders or words
-    slot: np.ndarray  # whether each is a placeholder
+    plain: np.ndarray  # the words themselves, upper case aside
+    kinds: np.ndarray  # what each can be besides a word, as bits of _BIT
+    slot: np.ndarray  # whether each is a placeholder and cannot be a word
     owner: np.ndarray  # the text of each
     index: np.ndarray  # its place among the tokens of the text
-    hashes: np.ndarray  # of the windows
-    at: np.ndarray  # where each window begins
+    hashes: np.ndarray  # of the windows, one for each way to read them
+    at: np.ndarray  # where the window of each hash begins
 
 
 def templates(texts: list[bytes]) -> Templates:
+    """A capitalised word that begins a sentence can be a name or not, so the windows that
+    have it get a hash for either."""
     tokens = [TOKEN.findall(x.decode("utf-8", "replace")) for x in texts]
     known = _codes.holding(set().union(*tokens))
     counts = np.array([len(t) for t in tokens], np.int64)
@@ -101,24 +107,39 @@ def templates(texts: list[bytes]) -> Templates:
     kept = kind != _END
     codes, owner, index, kind, begins = (x[kept] for x in (codes, owner, index, kind, begins))
     number = kind == _NUMBER
-    name = (kind == _TITLE) & ~begins
+    name = kind == _TITLE
     unit = kind == _UNIT
     unit[:1] = False
     unit[1:] &= number[:-1] & (owner[1:] == owner[:-1])
-    codes = codes & ~_KIND
+    plain = codes & ~_KIND
+    either = name & begins
+    slot = number | unit | (name & ~begins)
+    codes, kinds = plain.copy(), np.zeros(len(plain), np.uint8)
     for which, of in ((number, _NUMBER), (name, _TITLE), (unit, _UNIT)):
-        codes[which] = _SLOT[of]
-    slot = number | name | unit
-    windows = max(0, len(codes) - WINDOW + 1)
-    at = np.arange(windows)
-    words = np.concatenate([[0], np.cumsum(~slot)])
-    inside = owner[at] == owner[at + WINDOW - 1]
-    at = at[inside & (words[at + WINDOW] - words[at] >= LEAST_WORDS)]
-    hashes = np.zeros(len(at), np.uint64)
+        codes[which & slot] = _SLOT[of]
+        kinds[which] = _BIT[of]
+    at = np.arange(max(0, len(codes) - WINDOW + 1))
+    at = at[owner[at] == owner[at + WINDOW - 1]]
+    before = np.concatenate([[0], np.cumsum(~slot)])
+    words = before[at + WINDOW] - before[at]
+    hashes = _hashes(codes, at)
     with np.errstate(over="ignore"):
         for k in range(WINDOW):
-            hashes = hashes * np.uint64(_STEP) + codes[at + k]
-    return Templates(tokens, codes, slot, owner, index, mixed(hashes), at)
+            some = np.flatnonzero(either[at + k] & (words > LEAST_WORDS))
+            change = (_SLOT[_TITLE] - codes[at[some] + k]) * _WEIGHTS[k]
+            hashes = np.concatenate([hashes, hashes[some] + change])
+            at, words = np.append(at, at[some]), np.append(words, words[some] - 1)
+    enough = words >= LEAST_WORDS
+    return Templates(tokens, plain, kinds, slot, owner, index, mixed(hashes[enough]), at[enough])
+
+
+def _hashes(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of the windows of ``codes`` that begin ``at``."""
+    out = np.zeros(len(at), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(WINDOW):
+            out += codes[at + k] * _WEIGHTS[k]
+    return out
 
 
 class _Benchmark:
@@ -131,7 +152,7 @@ class _Benchmark:
         self.hashes, self.at = self.items.hashes[order], self.items.at[order]
         owner = self.items.owner
         self.first = np.searchsorted(owner, np.arange(len(rows)))
-        self.windows = np.bincount(owner[self.at], minlength=len(rows))
+        self.windows = np.bincount(owner[np.unique(self.at)], minlength=len(rows))
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
 
@@ -173,16 +194,23 @@ class _Benchmark:
         are replaced by one other value in all of them."""
         pairs = {}
         for k in range(WINDOW):
-            held = self.items.slot[q + k]
+            held = self.items.kinds[q + k] > 0
             pairs.update(zip((q + k)[held].tolist(), (p + k)[held].tolist(), strict=True))
         values = defaultdict(list)
+        names = set()
         for there, here in pairs.items():
-            values[_value(self.items, there)].append(_value(docs, here))
+            value, other = _value(self.items, there), _value(docs, here)
+            values[value].append(other)
+            if value != other or self.items.slot[there]:
+                names.add(value)
+        # What only begins sentences and stays as it is may be any word.
+        values = {value: found for value, found in values.items() if value in names}
+        slots = sum(map(len, values.values()))
         renamed = sum(x != value for value, found in values.items() for x in found)
         several = [found for found in values.values() if len(found) > 1]
         agreeing = sum(max(map(found.count, set(found))) for found in several)
-        return len(pairs), renamed, (
-            len(pairs) - renamed >= COVERAGE * len(pairs)
+        return slots, renamed, (
+            slots - renamed >= COVERAGE * slots
             or agreeing >= COVERAGE * sum(map(len, several))
         )
 

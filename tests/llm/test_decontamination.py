@@ -70,3 +70,18 @@ def test_blocks_of_the_benchmark(spark, monkeypatch, size):
     texts = [t for _, t in items] + ["nothing at all is in this one text here"]
     got = found(spark, texts, items)
     assert {d for d, _ in got} == set(range(6)) and all((k, k) in got for k in range(6))
+
+
+def test_names_that_begin_sentences(spark):
+    item = "Tom has 5 apples. Tom buys 3 more pears. How many fruits does Tom have now?"
+    other = item.replace("Tom", "Anna").replace("5", "8").replace("3", "6")
+    two = other.replace("Anna buys", "Peter buys")
+    got = found(spark, [other, "Read this first. " + item, two], [(1, item)])
+    assert {d for d, _ in got} == {0, 1}
+    assert got[0, 1].slots == got[0, 1].renamed == 5 and got[1, 1].renamed == 0
+
+
+def test_short_items_inside_a_sentence(spark):
+    item = "Which planet has the shortest day?"
+    texts = [f'The teacher waited and then asked, "{item}" Nobody knew.', "it says: " + item.lower(), "Which planet is it?"]
+    assert {d for d, _ in found(spark, texts, [(1, item)])} == {0, 1}
