@@ -168,34 +168,76 @@ class _Benchmark:
         """For each document that has an item: its number, and what was found."""
         in_docs, in_items = self.hits(docs)
         doc, item = docs.owner[in_docs], self.items.owner[in_items]
-        order = np.lexsort((in_docs, item, doc))
+        order = np.lexsort((in_items, in_docs, item, doc))
         doc, item, in_docs, in_items = (x[order] for x in (doc, item, in_docs, in_items))
         new = np.ones(len(doc), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
         edges = np.append(np.flatnonzero(new), len(doc))
-        for a, b in zip(edges, edges[1:], strict=False):
-            n = int(self.windows[item[a]])
-            if b - a < COVERAGE * n:
-                continue
-            p, q = _closest(in_docs[a:b], in_items[a:b], n)
-            matched = len(np.unique(q))
-            if matched < COVERAGE * n:
-                continue
-            slots, renamed, consistent = self._compared(docs, p, q)
+        enough = np.diff(edges) >= COVERAGE * self.windows[item[edges[:-1]]]
+        for a, b in zip(edges[:-1][enough], edges[1:][enough], strict=True):
+            leak = self._held(docs, int(item[a]), in_docs[a:b], in_items[a:b])
+            if leak is not None:
+                yield int(doc[a]), {"item_id": self.ids[item[a]], **leak}
+
+    def _held(self, docs: Templates, item: int, p: np.ndarray, q: np.ndarray) -> dict | None:
+        """What one document has of one item, from the equal windows at ``p`` and ``q``.
+
+        Every alignment that has enough windows by itself is compared, and every stretch of
+        the document, half as long again as the item, that begins where a run of equal
+        windows does; the first one that is consistent counts. A copy as it is lies on one
+        alignment, so what stands around it does not matter.
+        """
+        least = COVERAGE * self.windows[item]
+        new = np.ones(len(p), bool)
+        new[1:] = (p[1:] != p[:-1]) | (q[1:] != q[:-1])
+        p, q = p[new], q[new]
+        shift = p - q
+        if len(np.unique(q)) < least:
+            return None
+        for d, n in zip(*np.unique(shift, return_counts=True), strict=True):
+            if n >= least and (leak := self._matched(docs, item, p[shift == d], q[shift == d])):
+                return leak
+        order = np.lexsort((p, shift))
+        run = np.ones(len(p), bool)
+        run[order[1:]] = (np.diff(shift[order]) > 0) | (np.diff(p[order]) > 1)
+        starts = np.unique(np.searchsorted(p, p[run]))
+        length = math.ceil(1.5 * int(self.windows[item])) + WINDOW
+        ends = np.searchsorted(p, p[starts] + length, "right")
+        for a, b in zip(starts, ends, strict=True):
+            if b - a >= least and len(np.unique(q[a:b])) >= least:
+                if leak := self._matched(docs, item, p[a:b], q[a:b]):
+                    return leak
+        return None
+
+    def _matched(self, docs: Templates, item: int, p: np.ndarray, q: np.ndarray) -> dict | None:
+        """The entry of one stretch, or None if its slots are not consistent.
+
+        Where a window of the item is met several times, the alignment with the most equal
+        words and values counts, or else the one with the most windows.
+        """
+        same = sum((docs.plain[p + k] == self.items.plain[q + k]).astype(np.int64) for k in range(WINDOW))
+        _, at = np.unique(p - q, return_inverse=True)
+        orders = [np.bincount(at, same)[at]]
+        if at.any():
+            orders.append(np.bincount(at)[at])
+        for best in orders:
+            order = np.argsort(best, kind="stable")  # later ones overwrite earlier ones
+            slots, renamed, consistent = self._compared(docs, p[order], q[order])
             if consistent:
-                yield int(doc[a]), {
-                    "item_id": self.ids[item[a]], "matched": matched, "windows": n,
+                return {
+                    "matched": len(np.unique(q)), "windows": int(self.windows[item]),
                     "slots": slots, "renamed": renamed,
                 }
+        return None
 
     def _compared(self, docs: Templates, p: np.ndarray, q: np.ndarray) -> tuple[int, int, bool]:
         """Slots of the item that were met, how many have other values, and whether that is
         consistent: enough keep their value, or of the values that fill several slots enough
         are replaced by one other value in all of them."""
-        pairs = {}
-        for k in range(WINDOW):
-            held = self.items.kinds[q + k] > 0
-            pairs.update(zip((q + k)[held].tolist(), (p + k)[held].tolist(), strict=True))
+        there = (q[:, None] + np.arange(WINDOW)).ravel()
+        here = (p[:, None] + np.arange(WINDOW)).ravel()
+        held = self.items.kinds[there] > 0
+        pairs = dict(zip(there[held].tolist(), here[held].tolist(), strict=True))
         values = defaultdict(list)
         names = set()
         for there, here in pairs.items():
@@ -219,14 +261,6 @@ def _value(of: Templates, at: int) -> str:
     return of.tokens[of.owner[at]][of.index[at]].lower()
 
 
-def _closest(p: np.ndarray, q: np.ndarray, windows: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hits in the stretch of the document, half as long again as the item, that has
-    the most."""
-    end = np.searchsorted(p, p + math.ceil(1.5 * windows) + WINDOW, "right")
-    best = int(np.argmax(end - np.arange(len(p))))
-    return p[best : end[best]], q[best : end[best]]
-
-
 LEAKS = "array<struct<item_id: bigint, matched: int, windows: int, slots: int, renamed: int>>"
 
 

@@ -85,3 +85,12 @@ def test_short_items_inside_a_sentence(spark):
     item = "Which planet has the shortest day?"
     texts = [f'The teacher waited and then asked, "{item}" Nobody knew.', "it says: " + item.lower(), "Which planet is it?"]
     assert {d for d, _ in found(spark, texts, [(1, item)])} == {0, 1}
+
+
+def test_copies_behind_others_of_the_template(spark):
+    item = "Alice has 12 red marbles and gives 12 to Bob, then Bob gives Alice 7 of the marbles back."
+    drill = "Cara has 1 red marbles and gives 2 to Dora, then Emma gives Frank 3 of the marbles back."
+    edited = item.replace("the marbles", "the blue marbles")
+    table = " ".join(["and gives 4 to Gina, then Hans gives Ida 5 of the marbles back"] * 20)
+    texts = [f"{drill} {item}", f"{drill} {edited} {drill}", f"{table}. {item} {table}.", drill, f"{drill} {drill} {table}."]
+    assert {d for d, _ in found(spark, texts, [(1, item)])} == {0, 1, 2}
