@@ -4,7 +4,9 @@ Numbers, names and units are replaced by typed placeholders, so that a question
 figures or other people has the same template. Five-token windows of the templates are
 looked up in a table of the benchmark's windows. Where enough windows of an item lie close
 together in a document, the values in the slots are compared: a copy repeats them, a
-re-parameterised copy replaces a value by the same other one wherever it stands.
+re-parameterised copy replaces a value by the same other one wherever it stands. Windows of
+hardly any words are looked up by their own values, and by their template only beside a
+window of words; items shorter than a window are looked up whole.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from innledger.llm.common import Recent, mixed, new_name, slices, text_list
 WINDOW = 5
 #: Share of an item's windows that a document must have, and of its slots that must agree.
 COVERAGE = 0.8
-#: A window of hardly any words of its own says nothing.
+#: The template of a window of hardly any words says nothing by itself.
 LEAST_WORDS = 2
 #: Benchmark texts looked up in one pass over the documents; larger benchmarks take several.
 BLOCK_BYTES = 16 << 20
@@ -89,6 +91,8 @@ class Templates:
     index: np.ndarray  # its place among the tokens of the text
     hashes: np.ndarray  # of the windows, one for each way to read them
     at: np.ndarray  # where the window of each hash begins
+    exact: np.ndarray  # whether each hash is of the values and not of the template
+    weak: np.ndarray  # where windows begin that can be read with hardly any words
 
 
 def templates(texts: list[bytes]) -> Templates:
@@ -122,6 +126,9 @@ def templates(texts: list[bytes]) -> Templates:
     at = at[owner[at] == owner[at + WINDOW - 1]]
     before = np.concatenate([[0], np.cumsum(~slot)])
     words = before[at + WINDOW] - before[at]
+    valued = at[words < WINDOW]  # of the others, the template is the text
+    maybe = np.concatenate([[0], np.cumsum(slot | either)])
+    weak = at[WINDOW - (maybe[at + WINDOW] - maybe[at]) < LEAST_WORDS]
     hashes = _hashes(codes, at)
     with np.errstate(over="ignore"):
         for k in range(WINDOW):
@@ -130,15 +137,18 @@ def templates(texts: list[bytes]) -> Templates:
             hashes = np.concatenate([hashes, hashes[some] + change])
             at, words = np.append(at, at[some]), np.append(words, words[some] - 1)
     enough = words >= LEAST_WORDS
-    return Templates(tokens, plain, kinds, slot, owner, index, mixed(hashes[enough]), at[enough])
+    hashes = mixed(np.concatenate([hashes[enough], _hashes(plain, valued)]))
+    at = np.concatenate([at[enough], valued])
+    exact = np.arange(len(at)) >= len(at) - len(valued)
+    return Templates(tokens, plain, kinds, slot, owner, index, hashes, at, exact, weak)
 
 
-def _hashes(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _hashes(codes: np.ndarray, at: np.ndarray, width: int = WINDOW) -> np.ndarray:
     """Of the windows of ``codes`` that begin ``at``."""
     out = np.zeros(len(at), np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(WINDOW):
-            out += codes[at + k] * _WEIGHTS[k]
+        for k in range(width):
+            out = out * np.uint64(_STEP) + codes[at + k]
     return out
 
 
@@ -150,36 +160,67 @@ class _Benchmark:
         self.items = templates([text for _, text in rows])
         order = np.argsort(self.items.hashes, kind="stable")
         self.hashes, self.at = self.items.hashes[order], self.items.at[order]
+        self.exact = self.items.exact[order]
         owner = self.items.owner
-        self.first = np.searchsorted(owner, np.arange(len(rows)))
-        self.windows = np.bincount(owner[np.unique(self.at)], minlength=len(rows))
+        sizes = np.bincount(owner, minlength=len(rows))
+        self.windows = np.maximum(sizes - WINDOW + 1, 0)
+        weak = self.items.weak
+        self.weak = np.split(weak, np.searchsorted(owner[weak], np.arange(1, max(1, len(rows)))))
+        few = np.array([len(x) for x in self.weak])[: len(rows)]
+        #: Windows that must be met by their hashes; the weak ones can follow.
+        self.least = np.maximum(1, np.ceil(COVERAGE * self.windows) - few)
+        self.short = {}
+        for size in range(1, WINDOW):
+            own = np.flatnonzero(sizes == size)
+            if len(own):
+                hashes = mixed(_hashes(self.items.plain, np.searchsorted(owner, own), size))
+                order = np.argsort(hashes, kind="stable")
+                self.short[size] = hashes[order], own[order]
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
 
-    def hits(self, docs: Templates) -> tuple[np.ndarray, np.ndarray]:
-        """Places of equal windows: in the documents, in the items."""
+    def hits(self, docs: Templates) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of equal windows, in the documents and in the items, and whether only
+        their values are known to be equal."""
         some = np.flatnonzero(self.maybe[(docs.hashes >> np.uint64(44)).astype(np.int64)])
-        low = np.searchsorted(self.hashes, docs.hashes[some])
-        number = np.searchsorted(self.hashes, docs.hashes[some], "right") - low
-        nth = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
-        return docs.at[np.repeat(some, number)], self.at[np.repeat(low, number) + nth]
+        which, found = _equal(self.hashes, docs.hashes[some])
+        return docs.at[some[which]], self.at[found], self.exact[found]
+
+    def whole(self, docs: Templates) -> Iterator[tuple[int, dict]]:
+        """What documents have of items that are shorter than a window."""
+        for size, (hashes, own) in self.short.items():
+            at = np.arange(max(0, len(docs.owner) - size + 1))
+            at = at[docs.owner[at] == docs.owner[at + size - 1]]
+            which, found = _equal(hashes, mixed(_hashes(docs.plain, at, size)))
+            pairs = np.stack([docs.owner[at[which]], own[found]], 1)
+            for doc, item in np.unique(pairs, axis=0).tolist():
+                slots = int(self.items.slot[self.items.owner == item].sum())
+                yield doc, {
+                    "item_id": self.ids[item], "matched": 1, "windows": 1, "slots": slots,
+                    "renamed": 0,
+                }
 
     def leaks(self, docs: Templates) -> Iterator[tuple[int, dict]]:
         """For each document that has an item: its number, and what was found."""
-        in_docs, in_items = self.hits(docs)
+        yield from self.whole(docs)
+        in_docs, in_items, exact = self.hits(docs)
         doc, item = docs.owner[in_docs], self.items.owner[in_items]
-        order = np.lexsort((in_items, in_docs, item, doc))
-        doc, item, in_docs, in_items = (x[order] for x in (doc, item, in_docs, in_items))
+        order = np.lexsort((exact, in_items, in_docs, item, doc))
+        doc, item, in_docs, in_items, exact = (
+            x[order] for x in (doc, item, in_docs, in_items, exact)
+        )
         new = np.ones(len(doc), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
         edges = np.append(np.flatnonzero(new), len(doc))
-        enough = np.diff(edges) >= COVERAGE * self.windows[item[edges[:-1]]]
+        enough = np.diff(edges) >= self.least[item[edges[:-1]]]
         for a, b in zip(edges[:-1][enough], edges[1:][enough], strict=True):
-            leak = self._held(docs, int(item[a]), in_docs[a:b], in_items[a:b])
+            leak = self._held(docs, int(item[a]), in_docs[a:b], in_items[a:b], exact[a:b])
             if leak is not None:
                 yield int(doc[a]), {"item_id": self.ids[item[a]], **leak}
 
-    def _held(self, docs: Templates, item: int, p: np.ndarray, q: np.ndarray) -> dict | None:
+    def _held(
+        self, docs: Templates, item: int, p: np.ndarray, q: np.ndarray, exact: np.ndarray
+    ) -> dict | None:
         """What one document has of one item, from the equal windows at ``p`` and ``q``.
 
         Every alignment that has enough windows by itself is compared, and every stretch of
@@ -190,7 +231,10 @@ class _Benchmark:
         least = COVERAGE * self.windows[item]
         new = np.ones(len(p), bool)
         new[1:] = (p[1:] != p[:-1]) | (q[1:] != q[:-1])
-        p, q = p[new], q[new]
+        p, q, exact = p[new], q[new], exact[new]  # of equal ones, the template comes first
+        if len(np.unique(q)) < self.least[item]:
+            return None
+        p, q = self._with_weak(docs, item, p, q, np.unique((p - q)[~exact]))
         shift = p - q
         if len(np.unique(q)) < least:
             return None
@@ -209,6 +253,27 @@ class _Benchmark:
                     return leak
         return None
 
+    def _with_weak(
+        self, docs: Templates, item: int, p: np.ndarray, q: np.ndarray, shifts: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Equal windows, and also those of hardly any words that have the same template on
+        an alignment that has a window of words."""
+        weak = self.weak[item]
+        if not len(weak) or not len(shifts):
+            return p, q
+        doc = docs.owner[p[0]]
+        begin, end = np.searchsorted(docs.owner, [doc, doc + 1])
+        more = []
+        for d in shifts.tolist():
+            there = weak[(weak + d >= begin) & (weak + d + WINDOW <= end)]
+            fits = np.ones(len(there), bool)
+            for k in range(WINDOW):
+                i, j = there + k, there + d + k
+                fits &= (self.items.plain[i] == docs.plain[j]) | (self.items.kinds[i] & docs.kinds[j] > 0)
+            more.append(np.stack([there[fits] + d, there[fits]], 1))
+        pairs = np.unique(np.concatenate([np.stack([p, q], 1), *more]), axis=0)
+        return pairs[:, 0], pairs[:, 1]
+
     def _matched(self, docs: Templates, item: int, p: np.ndarray, q: np.ndarray) -> dict | None:
         """The entry of one stretch, or None if its slots are not consistent.
 
@@ -257,6 +322,14 @@ class _Benchmark:
         )
 
 
+def _equal(known: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of equal values in ``hashes`` and in the sorted ``known``."""
+    low = np.searchsorted(known, hashes)
+    number = np.searchsorted(known, hashes, "right") - low
+    nth = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+    return np.repeat(np.arange(len(hashes)), number), np.repeat(low, number) + nth
+
+
 def _value(of: Templates, at: int) -> str:
     return of.tokens[of.owner[at]][of.index[at]].lower()
 
@@ -269,9 +342,9 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, column: str = "leaks") ->
 
     An entry has ``item_id``, how many of the item's ``windows`` were ``matched``, how many
     ``slots`` these have, and how many of them hold another value (``renamed``). Null and
-    empty texts hold nothing. Items of fewer than five tokens have no window and are held
-    by nothing; repeated items are found each. Other columns are carried along untouched;
-    ``column`` must be a new name.
+    empty texts hold nothing. Items of fewer than five tokens count as one window and are
+    held where all their words and values are, upper case aside; repeated items are found
+    each. Other columns are carried along untouched; ``column`` must be a new name.
 
     The benchmark is sent to the executors in blocks of about ``BLOCK_BYTES``, with a pass
     over the documents for each.

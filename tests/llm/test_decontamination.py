@@ -92,5 +92,20 @@ def test_copies_behind_others_of_the_template(spark):
     drill = "Cara has 1 red marbles and gives 2 to Dora, then Emma gives Frank 3 of the marbles back."
     edited = item.replace("the marbles", "the blue marbles")
     table = " ".join(["and gives 4 to Gina, then Hans gives Ida 5 of the marbles back"] * 20)
-    texts = [f"{drill} {item}", f"{drill} {edited} {drill}", f"{table}. {item} {table}.", drill, f"{drill} {drill} {table}."]
+    apart = "Other things are told here which have nothing to do with it. " * 4
+    texts = [f"{drill} {apart}{item}", f"{drill} {apart}{edited} {drill}", f"{table}. {item} {table}.", drill, f"{drill} {drill} {table}."]
     assert {d for d, _ in found(spark, texts, [(1, item)])} == {0, 1, 2}
+
+
+def test_items_of_hardly_any_words(spark):
+    sums = "Compute 12 + 7 * 30 - 4 / 2 = 9"
+    digits = "Add the numbers 3 7 1 8 2 5 9 4 6"
+    short = "Who wrote Hamlet?"
+    texts = [
+        f"The board said: {sums}. Then all went home.", "Compute 11 + 6 * 29 - 3 / 1 = 8",
+        f"First, {digits}.", "add the numbers 4 4 4 and then stop", digits.replace("7 1", "4 6"),
+        'She asked, "who wrote Hamlet?" and left.', "Who wrote Macbeth?",
+    ]
+    got = found(spark, texts, [(1, sums), (2, digits), (3, short)])
+    assert set(got) == {(0, 1), (2, 2), (4, 2), (5, 3)}
+    assert got[0, 1].matched == got[0, 1].windows == 3 and got[2, 2].windows == 8
