@@ -2,10 +2,12 @@
 
 A page becomes a tree of its elements. For every node the density is its characters per
 tag, adjusted by how many of both belong to links. The container whose children's densities
-add up to the most is the core of the page; the least density on the path from it to the
-body is the threshold, and every node that reaches it contributes its own densest
-container, so that an article in several parts is found whole. Menus, adverts, forms and
-the like, known by their element, role or class, are not part of the tree.
+add up to the most is the core of the page, or the article or main part it lies in; the
+least density on the path from it to the body is the threshold. Every node that reaches it
+counts: a text block is kept, an article whole, and any other container with its own text
+and text blocks and its densest container, so that an article in several parts is found
+whole. Menus, adverts, forms and the like, known by their element, role or class, are not
+part of the tree.
 """
 
 from __future__ import annotations
@@ -244,34 +246,51 @@ def _article_around(node: _Node) -> _Node:
     return around
 
 
-def content(body: _Node) -> list[_Node]:
-    """The nodes that make up the main text, in page order, none inside another."""
+def content(body: _Node) -> _Node:
+    """The tree with only the nodes that make up the main text."""
     measure(body)
+    found = _Node("body", None)
     if not body.chars:
-        return []
-    core = _densest(body)
+        return found
+    core = _article_around(_densest(body))
     threshold, above = core.density, core.parent
     while above is not None:
         threshold = min(threshold, above.density)
         above = above.parent
-    around = _article_around(core)
-    if around.tag in ("article", "main"):
-        return [around]
-    marked = {id(core)}
+    whole = {id(core)}
     for node in _in_order(body):
         if node is not body and _is_container(node) and node.density >= threshold:
-            marked.add(id(_densest(node)))
-    found: list[_Node] = []
-    todo = [body]
+            whole.add(id(node if node.tag in ("article", "main") else _densest(node)))
+    todo = [(body, found)]
     while todo:
-        node = todo.pop()
-        if id(node) in marked:
-            found.append(node)
-        else:
-            todo += reversed([x for x in node.content if isinstance(x, _Node)])
+        node, copy = todo.pop()
+        if id(node) in whole:
+            copy.content = node.content
+            continue
+        dense = node.density >= threshold
+        # A link within a container's own text belongs to it.
+        running = dense and any(
+            x.strip() if isinstance(x, str) else x.tag in INLINE and _of_text(x) for x in node.content
+        )
+        for x in node.content:
+            if isinstance(x, str):
+                if dense:
+                    copy.content.append(x)
+            elif running and x.tag in INLINE:
+                copy.content.append(x)
+            elif _is_container(x) or not (_of_text(x) if dense else x.density >= threshold):
+                copy.content.append(_Node(x.tag, copy))
+                todo.append((x, copy.content[-1]))
+            else:
+                copy.content.append(x)
     return found
 
 
+def _of_text(node: _Node) -> bool:
+    """Whether there is text in ``node`` that is no link."""
+    return node.chars > node.link_chars
+
+
 def blocks(node: _Node) -> list[str]:
     """The text of each block below ``node``, white space made single spaces."""
     out: list[str] = []
@@ -303,7 +322,7 @@ def blocks(node: _Node) -> list[str]:
 
 def main_text(page: str) -> str:
     """The article of a page: blocks joined by line feeds; empty if there is no text."""
-    return "\n".join(x for node in content(parsed(page)) for x in blocks(node))
+    return "\n".join(blocks(content(parsed(page))))
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -85,3 +85,34 @@ def test_unclosed_quotes_take_no_long():
     html_text.main_text("<a '\"" * 20_000)
     html_text.main_text("<a '\"" * 1_000 + ">")
     assert time.process_time() - start < 20
+
+
+def paragraphs(n, size=200):
+    return [(f"Paragraph {k} " + "of plain words " * size)[:size].strip() for k in range(n)]
+
+
+def test_sections_below_a_heading():
+    first, second = paragraphs(6), [x.replace("plain", "other") for x in paragraphs(6)]
+    section = lambda texts: "<div>" + "".join(f"<p>{x}</p>" for x in texts) + "</div>"
+    inside = f"<h1>Title</h1><p>Lead paragraph.</p>{section(first)}{section(second)}"
+    links = "<div>" + "".join(f"<p><a href=/{i}>a link with a long text</a></p>" for i in range(20)) + "</div>"
+    want = ["Title", "Lead paragraph.", *first, *second]
+    for page in (f"<div id=content>{inside}</div>", f"<body>{inside}</body>", f"{links}<div id=content>{inside}</div>{links}"):
+        assert html_text.main_text(page).split("\n") == want
+    page = f"<div id=content>Own text <a href=/>linked</a><p><a href=/>Home</a></p>{section(first)}{section(second)}</div>"
+    assert html_text.main_text(page).split("\n") == ["Own text linked", *first, *second]
+
+
+def test_several_articles():
+    parts = [[f"Title {k}", *(x.replace("plain", f"plain{k}") for x in paragraphs(4 + k))] for k in range(3)]
+    article = lambda p: f"<article><h2>{p[0]}</h2>" + "".join(f"<p>{x}</p>" for x in p[1:]) + "</article>"
+    links = "<div>" + "".join(f"<p><a href=/{i}>a link with a long text</a></p>" for i in range(20)) + "</div>"
+    page = f"<body>{links}{''.join(map(article, parts))}{links}</body>"
+    assert html_text.main_text(page).split("\n") == sum(parts, [])
+
+
+def test_text_blocks_outside_the_core():
+    text = paragraphs(1, 400)[0]
+    links = "".join(f"<p><a href=/{i}>a link with a long text</a></p>" for i in range(20))
+    page = f"<div>{links}<blockquote>{text}</blockquote></div><div>" + "".join(f"<p>{x}</p>" for x in paragraphs(5)) + "</div>"
+    assert html_text.main_text(page).split("\n") == [text, *paragraphs(5)]
