@@ -6,9 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innledger.llm import decontamination, html_text, language, lattice_dedup, lattice_lm, packing, quality, simhash, suffix_dedup, toxicity
+from innledger.llm import (
+    decontamination,
+    html_text,
+    language,
+    lattice_dedup,
+    lattice_lm,
+    merkle,
+    packing,
+    prefix_trie,
+    quality,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+)
 from innledger.llm.common import held_out
 from innledger.llm.labelled import FOLDS, HELD_OUT_PART
+from innledger.llm.oracles import ORACLE  # noqa: F401
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SUBWORDS = public_tokenizers.path("piece_bpe_32k.model")
@@ -74,5 +89,13 @@ QUERIES = {
     "op10_lm_scoring": lambda spark, sf: lattice_lm.scored(
         _table(spark, sf, "documents"), ~held_out("doc_id", 7, 2), SUBWORDS
     ),
+    "op11_substring_dedup": lambda spark, sf: substring_dedup.cut(
+        _table(spark, sf, "documents").select("doc_id", "text")
+    ).drop("text", "kept_text"),
+    "op12_merkle_manifest": lambda spark, sf: merkle.tamper_report(
+        _table(spark, sf, "documents")
+    ),
+    "op13_conversation_prefix_trie": lambda spark, sf: prefix_trie.rebuilt_trie(
+        _table(spark, sf, "conversations")
+    ),
 }
-ORACLE: dict[str, str] = {}

@@ -1,0 +1,117 @@
+"""The trie against one made of dictionaries, in one shard and in many, and against SQL."""
+
+import random
+import zlib
+from collections import defaultdict
+from hashlib import sha256
+
+import duckdb
+import pytest
+
+from innledger.llm import prefix_trie
+from innledger.llm.queries import ORACLE, QUERIES
+
+SCHEMA = "conv_id long, turn long, role string, text string, keys string, base int"
+
+
+def plain(turns):
+    """All nodes from a dictionary of prefixes."""
+    own = defaultdict(list)
+    for conv_id, turn, role, text, *_ in turns:
+        if conv_id is not None:
+            own[conv_id].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(x, key=by_digest)] for c, x in own.items()}
+    members = defaultdict(list)
+    for c, seq in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - (c % 5 if c >= 0 else -(-c % 5))
+        seq = tuple(own.get(base, [])[:h] + seq[h:])
+        for d in range(len(seq) + 1):
+            members[seq[:d]].append((c, d == len(seq)))
+    children = defaultdict(list)
+    for prefix in members:
+        if prefix:
+            children[prefix[:-1]].append(prefix)
+    leaves, saved, out = defaultdict(int), defaultdict(int), []
+    for prefix in sorted(members, key=len, reverse=True):
+        n = len(members[prefix])
+        leaves[prefix] += not children[prefix]
+        saved[prefix] += (n - 1) * (len(prefix[-1][1].encode()) if prefix else 0)
+        if prefix:
+            leaves[prefix[:-1]] += leaves[prefix]
+            saved[prefix[:-1]] += saved[prefix]
+        ends = ",".join(str(c) for c, end in sorted(members[prefix]) if end)
+        out.append(
+            (min(members[prefix])[0], len(prefix),
+             min(members[prefix[:-1]])[0] if prefix else None, n, len(children[prefix]),
+             leaves[prefix], saved[prefix], sha256(ends.encode()).hexdigest())
+        )
+    return out
+
+
+def by_digest(turn):
+    _, _, role, text = turn
+    key = sha256(f"{len(role.encode())}:{role}{text}".encode()).digest()[:16]
+    return turn[:2] + (key,)
+
+
+def in_order(rows):
+    return sorted(map(tuple, rows), key=repr)
+
+
+def some_turns(seed):
+    chance = random.Random(seed)
+    turns = []
+    for c in chance.sample(range(-40, 400), 250):
+        for t in range(chance.choice([1, 1, 2, 3, 5, 12])):
+            text = chance.choice(["a", "b", "é", "", None, "longer text"])
+            turns.append((c, t, chance.choice(["user", "user", None]), text, "k", 1))
+    # Copies of one conversation, a very long one, ties and nulls among the turns.
+    turns += [(1000 + 5 * i, t, "user", f"same {t}", "k", 1) for i in range(60) for t in range(4)]
+    turns += [(2000, t, "user", f"turn {t % 7}", "k", 1) for t in range(700)]
+    turns += [(3000, None, "user", "first", None, None), (3000, 1, None, None, None, None)]
+    turns += [(3000, 1, "user", "tie", None, None)] * 2 + [(None, 0, "user", "none", None, None)]
+    chance.shuffle(turns)
+    return turns
+
+
+@pytest.mark.parametrize("shard_turns", [1 << 17, 300, 15])
+def test_nodes_against_the_plain_trie(spark, shard_turns):
+    turns = some_turns(shard_turns)
+    sequences = prefix_trie.sequences(spark.createDataFrame(turns, SCHEMA))
+    found = prefix_trie.trie(prefix_trie.rebuilt(sequences), shard_turns)
+    assert in_order(found.collect()) == in_order(plain(turns))
+
+
+def test_copies_over_many_shards_and_id_lists_in_chunks(spark):
+    turns = [(5 * i, t, "user", f"{t}", "", 0) for i in range(200) for t in range(2)]
+    sequences = prefix_trie.sequences(spark.createDataFrame(turns, SCHEMA))
+    found = prefix_trie.trie(prefix_trie.rebuilt(sequences), 40, chunk=3)
+    assert in_order(found.collect()) == in_order(plain(turns))
+
+
+def test_a_tree_of_medians_is_balanced():
+    assert sorted(prefix_trie.medians_first(1000)) == list(range(1000))
+    tree = prefix_trie.TernaryTree()
+    for symbol in prefix_trie.medians_first(1000):
+        tree.child(0, symbol)
+    deep = {tree.equal[0]: 1}
+    for node in range(1, 1001):
+        for link in (tree.low[node], tree.high[node]):
+            if link >= 0:
+                deep[link] = deep[node] + 1
+    assert max(deep.values()) == 10
+
+
+def test_empty_table(spark):
+    assert prefix_trie.rebuilt_trie(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_whole_table_against_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{folder}/conversations.parquet'")
+    name = "op13_conversation_prefix_trie"
+    found = QUERIES[name](spark, folder)
+    want = con.execute(f"SELECT {', '.join(found.columns)} FROM ({ORACLE[name]})").fetchall()
+    assert in_order(found.collect()) == in_order(want)

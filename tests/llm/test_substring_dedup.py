@@ -1,0 +1,120 @@
+"""Cut words against a plain search for windows, with sketches so full that all collide."""
+
+import random
+import re
+from hashlib import sha256
+
+import duckdb
+import numpy as np
+import pytest
+
+from innledger.llm import substring_dedup
+from innledger.llm.queries import ORACLE, QUERIES
+
+SCHEMA = "doc_id long, text string, n_words string, slice int"
+
+
+def plain(rows):
+    owner, texts = {}, []
+    for doc_id, text, *_ in rows:
+        words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+        number = -(2**63) if doc_id is None else doc_id
+        texts.append((doc_id, number, words))
+        for i in range(len(words) - 49):
+            window = tuple(words[i : i + 50])
+            owner[window] = min(owner.get(window, number), number)
+    out = []
+    for doc_id, number, words in texts:
+        gone = set()
+        for i in range(len(words) - 49):
+            if owner[tuple(words[i : i + 50])] < number:
+                gone.update(range(i, i + 50))
+        kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+        out.append((doc_id, len(words), len(gone), sha256(kept).hexdigest(), kept.decode()))
+    return out
+
+
+def in_order(rows):
+    return sorted(map(tuple, rows), key=repr)
+
+
+def odd_rows():
+    chance = random.Random(3)
+
+    def prose(n, words=400):
+        return [f"wörd{chance.randrange(words)}" for _ in range(n)]
+
+    passage, line = prose(70), prose(49)
+    rows = []
+    for i in chance.sample(range(-100, 5000), 120):
+        words = prose(chance.choice([0, 10, 49, 50, 51, 300]))
+        if chance.random() < 0.4:
+            words[len(words) // 2 : len(words) // 2] = passage
+        if chance.random() < 0.4:
+            words += line  # one word too short
+        rows.append((i, chance.choice([" ", "\n", " \t\r\n", "\x0b\x0c "]).join(words)))
+    rows += [(i, " ".join(passage)) for i in range(9000, 9040)]
+    rows += [(7000, " ".join(passage * 3)), (7001, "same " * 500), (7002, "same " * 120)]
+    rows += [(7003, "a b c " * 60), (7004, "a b c " * 60)]
+    rows += [(None, " ".join(passage)), (None, " ".join(passage)), (None, None), (8000, None)]
+    rows += [(8001, ""), (8002, " \n "), (8003, " ".join(prose(6000, 10**9)))]
+    rows += [(9000, " ".join(passage))] * 3
+    return [(*row, "clash", 1) for row in rows]
+
+
+def cut(spark, rows, **settings):
+    df = spark.createDataFrame(rows, "doc_id long, text string, name string, slice int")
+    found = substring_dedup.cut(df, **settings)
+    assert found.columns[:4] == df.columns
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", "kept_text")
+
+
+def test_rows_against_the_plain_search(spark):
+    rows = odd_rows()
+    assert in_order(cut(spark, rows).collect()) == in_order(plain(rows))
+
+
+@pytest.mark.parametrize("cells", [4, 1 << 10])
+def test_many_slices_and_a_sketch_that_estimates_too_much(spark, monkeypatch, cells):
+    monkeypatch.setattr(substring_dedup, "SLICE_BYTES", (1 << 14, 1 << 14))
+    monkeypatch.setattr(substring_dedup, "BLOCK_CELLS", (cells, cells))
+    rows = odd_rows()
+    size = 16 * cells
+    bounded = size if size < 1 << 14 else None
+    got = cut(spark, rows, text_bytes=bounded).collect()
+    assert in_order(got) == in_order(plain(rows))
+
+
+def test_sketches_never_count_too_low():
+    rng = np.random.default_rng(1)
+    cells = 64
+    parts = [np.sort(rng.integers(0, cells, rng.integers(0, 40)).astype(np.uint32)) for _ in range(9)]
+    replies = list(substring_dedup._repeated([substring_dedup._packed(p) for p in parts], cells))
+    total = np.bincount(np.concatenate(parts), minlength=cells)
+    for part, reply in zip(parts, replies, strict=True):
+        want = [c for c in np.unique(part) if total[c] >= 2]
+        assert substring_dedup._unpacked(reply, np.uint32).tolist() == want
+
+
+def test_hashes_depend_on_nothing_but_the_window():
+    words = [f"w{i}" for i in range(120)]
+    texts = [" ".join(words), " ".join(["x y z"] + words), "", " ".join(words[:49])]
+    windows = substring_dedup.Windows([t.encode() for t in texts])
+    assert windows.counts.tolist() == [71, 74, 0, 0]
+    for hashes in (windows.first, windows.second):
+        assert (hashes[:71] == hashes[74:]).all() and len(set(hashes.tolist())) == 74
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], SCHEMA.replace("n_words", "name"))
+    assert substring_dedup.cut(df).collect() == []
+
+
+def test_whole_table_against_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    found = QUERIES["op11_substring_dedup"](spark, folder)
+    sql = ORACLE["op11_substring_dedup"]
+    want = con.execute(f"SELECT {', '.join(found.columns)} FROM ({sql})").fetchall()
+    assert in_order(found.collect()) == in_order(want)
