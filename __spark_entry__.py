@@ -294,20 +294,19 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = _QUERIES | _llm_queries()
+    own = _QUERIES | _llm()[0]
     return {name: _on_tuned_session(query) for name, query in own.items()}
 
 
-def _llm_queries() -> dict[str, Query]:
-    """The training-data operators and their pipeline, where they are installed."""
+def _llm() -> tuple[dict[str, Query], dict[str, str]]:
+    """The training-data operators and their pipeline, where they can be imported, and the
+    SQL of those that SQL can express."""
     try:
         import corpus_pipeline
         from innledger.llm import queries as llm
-    except ModuleNotFoundError as missing:
-        if missing.name not in ("corpus_pipeline", "innledger.llm"):
-            raise
-        return {}
-    return llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    except ImportError:
+        return {}, {}
+    return llm.QUERIES | {"pipeline": corpus_pipeline.run}, llm.ORACLE
 
 
 # --- The same queries as SQL on the driver's tables ---------------------------------
@@ -584,4 +583,4 @@ def oracle_sql() -> dict[str, str]:
         "prediction_bounds": """
             SELECT min(actual_price) AS lowest, max(actual_price) AS highest FROM features""",
     }
-    return {name: _sql(select) for name, select in selects.items()}
+    return {name: _sql(select) for name, select in selects.items()} | _llm()[1]

@@ -1,6 +1,7 @@
 """Every registered query against its SQL twin in DuckDB, value for value."""
 
 import os
+import sys
 
 import duckdb
 import pytest
@@ -25,7 +26,7 @@ def in_order(rows):
     return sorted(rows, key=lambda row: [(v is not None, repr(v)) for v in row])
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(registered._QUERIES))
 def test_matches_oracle(spark, duck, name):
     result = QUERIES[name](spark, SF_DIR)
     columns = sorted(result.columns)
@@ -45,4 +46,10 @@ def test_matches_oracle(spark, duck, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(registered._QUERIES) == set(ORACLE)
+    assert set(registered._QUERIES) <= set(ORACLE)
+
+
+def test_the_rest_works_where_the_training_data_operators_cannot_be_imported(monkeypatch):
+    monkeypatch.setitem(sys.modules, "innledger.llm.queries", None)
+    monkeypatch.delitem(sys.modules, "corpus_pipeline", raising=False)
+    assert set(registered.queries()) == set(registered.oracle_sql()) == set(registered._QUERIES)
