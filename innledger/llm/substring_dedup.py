@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from functools import cache
 from hashlib import sha256
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from innledger.llm.common import NULL_ID, mixed, text_list
 WINDOW = 50
 #: Bytes of text of a slice, and cells of a row of a block; both grow with the input between
 #: these bounds, so that the parts of a sketch that slices send do not become tiny.
-SLICE_BYTES = 1 << 24, 1 << 26
+SLICE_BYTES = 1 << 23, 1 << 26
 BLOCK_CELLS = 1 << 22, 1 << 27
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Odd multipliers of the two window hashes.
@@ -68,34 +69,37 @@ def _rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int
 
 
 class Windows:
-    """The windows of a slice's documents: hashes, and where they begin."""
+    """The windows of a slice's documents: hashes, and the documents they are in."""
 
-    def __init__(self, texts: list[bytes], size: int = WINDOW):
+    def __init__(self, texts: list[bytes], bases: tuple[int, ...] = _BASES):
         self.n_words = np.zeros(len(texts), np.int64)
-        found = [self._of(texts[a:b], self.n_words[a:b], size) for a, b in _runs(texts)]
-        self.counts = np.maximum(self.n_words - size + 1, 0)
-        self.first, self.second = (
-            np.concatenate([f[i] for f in found] or [np.zeros(0, np.uint64)]) for i in range(2)
-        )
+        found = [self._of(texts[a:b], self.n_words[a:b], bases) for a, b in _runs(texts)]
+        self.counts = np.maximum(self.n_words - WINDOW + 1, 0)
+        nothing = np.zeros(0, np.uint64)
+        #: For each base the hashes of all windows, document by document.
+        self.hashes = [
+            np.concatenate([f[i] for f in found]) if found else nothing for i in range(len(bases))
+        ]
         #: The document of each window, by number.
-        self.document = np.repeat(np.arange(len(texts)), self.counts)
+        self.document = np.repeat(np.arange(len(texts), dtype=np.int32), self.counts)
 
     @staticmethod
-    def _of(texts: list[bytes], n_words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    def _of(texts: list[bytes], n_words: np.ndarray, bases: tuple[int, ...]) -> list[np.ndarray]:
         words = [text.split() for text in texts]
         n_words[:] = [len(w) for w in words]
-        joined = np.frombuffer(b" ".join(b" ".join(w) for w in words if w), np.uint8)
-        if not n_words.any():
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        joined = np.frombuffer(b" ".join([b" ".join(w) for w in words if w]), np.uint8)
+        del words
+        counts = np.maximum(n_words - WINDOW + 1, 0)
+        if not counts.any():
+            return [np.zeros(0, np.uint64) for _ in bases]
         spaces = np.flatnonzero(joined == 32)
         starts, ends = np.r_[0, spaces + 1], np.r_[spaces, len(joined)]
         codes = joined.astype(np.uint64) + np.uint64(1)
-        counts = np.maximum(n_words - size + 1, 0)
         skipped = np.cumsum(n_words) - n_words - (np.cumsum(counts) - counts)
         at = np.arange(counts.sum()) + np.repeat(skipped, counts)
-        return tuple(
-            _rolling(_rolling(codes, starts, ends, base), at, at + size, base) for base in _BASES
-        )
+        return [
+            _rolling(_rolling(codes, starts, ends, base), at, at + WINDOW, base) for base in bases
+        ]
 
 
 def _runs(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
@@ -135,27 +139,32 @@ def _block_ranges(hashes: np.ndarray, blocks: int) -> Iterator[tuple[int, int, i
             yield int(block[first]), int(first), int(stop)
 
 
-def _distinct(windows: Windows) -> tuple[np.ndarray, ...]:
-    """By (first, second, document): an order of the windows, and where new ones begin."""
-    order = np.lexsort((windows.document, windows.second, windows.first))
-    first, second = windows.first[order], windows.second[order]
+def _distinct(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the windows by both hashes, then as they stand, and where new ones begin."""
+    order = np.argsort(first, kind="stable")
+    f, s = first[order], second[order]
     new = np.ones(len(order), bool)
-    new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
-    return order, first, second, new
+    new[1:] = f[1:] != f[:-1]
+    if (s[1:] != s[:-1])[~new[1:]].any():  # different windows with the same first hash
+        order = np.lexsort((second, first))
+        f, s = first[order], second[order]
+        new[1:] = (f[1:] != f[:-1]) | (s[1:] != s[:-1])
+    return order, np.flatnonzero(new)
 
 
 def _sketch(texts: list[bytes], blocks: int, cells: int) -> Iterator[tuple[int, bytes, bytes]]:
     """A slice's part of the sketch: for each block the cells of both rows, as often as they
     count. A window counts once for each document, and no more than twice."""
-    windows = Windows(texts)
-    order, first, _, new = _distinct(windows)
-    document = windows.document[order]
-    start = np.flatnonzero(new)
+    windows = Windows(texts, _BASES[:1])
+    (first,) = windows.hashes
+    order, start = _distinct(first, first)
     if not len(start):
         return
+    document = windows.document[order]
     # Documents ascend within a window, so it is in several if the last one differs.
     last = np.r_[start[1:], len(first)] - 1
-    counted = np.repeat(first[start], 1 + (document[last] != document[start]))
+    counted = np.repeat(first[order[start]], 1 + (document[last] != document[start]))
+    del order, document, windows
     for block, a, b in _block_ranges(counted, blocks):
         yield block, *(_packed(np.sort(row)) for row in _cells(counted[a:b], cells))
 
@@ -187,26 +196,34 @@ def _candidates(
     """The windows of a slice that may be in several documents, by block: both hashes, the
     smallest document and whether the slice has others."""
     windows = Windows(texts)
-    order, first, second, new = _distinct(windows)
-    start = np.flatnonzero(new)
-    owner = ids[windows.document[order]]
-    least = np.minimum.reduceat(owner, start) if len(start) else owner
-    most = np.maximum.reduceat(owner, start) if len(start) else owner
-    first, second, several = first[start], second[start], least < most
+    first, second = windows.hashes
     flagged = {r["block"]: [_unpacked(r[c], np.uint32) for c in "ab"] for r in replies}
+    order = np.argsort(first)
+    maybe = []
+    for block, a, b in _block_ranges(first[order], blocks):
+        if block in flagged:
+            own = order[a:b]
+            rows = zip(_cells(first[own], cells), flagged[block])
+            maybe.append(own[np.logical_and(*(_member(*row) for row in rows))])
+    if not maybe:
+        return
+    maybe = np.sort(np.concatenate(maybe))
+    first, second, owner = first[maybe], second[maybe], ids[windows.document[maybe]]
+    del windows, flagged
+    if not len(maybe):
+        return
+    order, start = _distinct(first, second)
+    first, second = first[order[start]], second[order[start]]
+    least = np.minimum.reduceat(owner[order], start)
+    several = least < np.maximum.reduceat(owner[order], start)
     for block, a, b in _block_ranges(first, blocks):
-        if block not in flagged:
-            continue
-        rows = zip(_cells(first[a:b], cells), flagged[block])
-        maybe = a + np.flatnonzero(np.logical_and(*(_member(*row) for row in rows)))
-        if len(maybe):
-            yield {
-                "block": block,
-                "a": _packed(first[maybe]),
-                "b": second[maybe].view(np.uint8).reshape(-1, 8).tobytes(),
-                "least": least[maybe].view(np.uint8).reshape(-1, 8).T.tobytes(),
-                "several": np.packbits(several[maybe]).tobytes(),
-            }
+        yield {
+            "block": block,
+            "a": _packed(first[a:b]),
+            "b": second[a:b].tobytes(),
+            "least": least[a:b].view(np.uint8).reshape(-1, 8).T.tobytes(),
+            "several": np.packbits(several[a:b]).tobytes(),
+        }
 
 
 def _verdicts(rows: list[dict]) -> Iterator[dict]:
@@ -220,12 +237,10 @@ def _verdicts(rows: list[dict]) -> Iterator[dict]:
         several.append(np.unpackbits(np.frombuffer(row["several"], np.uint8), count=len(own)))
     place = np.repeat(np.arange(len(rows)), [len(x) for x in first])
     f, s, d = np.concatenate(first), np.concatenate(second), np.concatenate(least)
-    order = np.lexsort((d, s, f))
-    new = np.ones(len(order), bool)
-    new[1:] = (np.diff(f[order]) != 0) | (np.diff(s[order]) != 0)
-    start = np.flatnonzero(new)
+    order, start = _distinct(f, s)
     smallest = np.empty_like(d)
-    smallest[order] = np.repeat(d[order][start], np.diff(np.r_[start, len(order)]))
+    stop = np.r_[start[1:], len(order)]
+    smallest[order] = np.repeat(np.minimum.reduceat(d[order], start), stop - start)
     whole = smallest < d
     lost = whole | np.concatenate(several).astype(bool)
     for i, row in enumerate(rows):
@@ -242,36 +257,36 @@ def _verdicts(rows: list[dict]) -> Iterator[dict]:
 
 def _covered(texts: list[bytes], ids: np.ndarray, verdicts: list[dict]) -> list[np.ndarray]:
     """For each text whether its words stay."""
-    windows = Windows(texts)
-    gone = np.zeros(len(windows.first), bool)
+    windows = Windows(texts, _BASES if verdicts else ())
+    gone = np.zeros(len(windows.document), bool)
     if verdicts:
         verdicts = [(_unpacked(v["a"], np.uint64), v) for v in verdicts]
         verdicts.sort(key=lambda v: int(v[0][0]))  # blocks do not overlap
-        first = np.concatenate([f for f, _ in verdicts])
-        second = np.concatenate([np.frombuffer(v["b"], np.uint32) for _, v in verdicts])
+        lost = np.concatenate([f for f, _ in verdicts])
+        check = np.concatenate([np.frombuffer(v["b"], np.uint32) for _, v in verdicts])
         whole = np.concatenate(
             [np.unpackbits(np.frombuffer(v["whole"], np.uint8), count=len(f)) for f, v in verdicts]
         ).astype(bool)
-        order, f, s, new = _distinct(windows)
-        group = np.cumsum(new) - 1
-        start = np.flatnonzero(new)
-        owner = ids[windows.document[order]]
-        least = np.minimum.reduceat(owner, start)
-        # The verdict on each distinct window; equal first hashes differ in the second.
-        state = np.zeros(len(start), np.int8)
-        for side in ("left", "right"):
-            at = np.searchsorted(first, f[start], side) - (side == "right")
-            at = np.clip(at, 0, len(first) - 1)
-            hit = (first[at] == f[start]) & (second[at] == s[start].astype(np.uint32))
-            state[hit] = 1 + whole[at[hit]]
-        lost = (state[group] == 2) | ((state[group] == 1) & (owner > least[group]))
-        gone[order] = lost
+        first, second = windows.hashes
+        at = np.searchsorted(lost, first)
+        left = np.flatnonzero(at < len(lost))
+        while len(left):  # a second time round only for equal first hashes
+            left = left[lost[at[left]] == first[left]]
+            same = check[at[left]] == second[left].astype(np.uint32)
+            hits, verdict = left[same], at[left[same]]
+            owner = ids[windows.document[hits]]
+            least = np.full(len(lost), np.iinfo(np.int64).max)
+            np.minimum.at(least, verdict, owner)
+            gone[hits] = whole[verdict] | (owner > least[verdict])
+            left = left[~same]
+            at[left] += 1
+            left = left[at[left] < len(lost)]
     kept, stop = [], np.cumsum(windows.counts)
     for i, n in enumerate(windows.n_words):
         own = np.flatnonzero(gone[stop[i] - windows.counts[i] : stop[i]])
         edges = np.zeros(n + 1, np.int32)
-        np.add.at(edges, own, 1)
-        np.add.at(edges, own + WINDOW, -1)
+        edges[own] += 1
+        edges[own + WINDOW] -= 1
         kept.append(np.cumsum(edges[:n]) == 0)
     return kept
 
@@ -345,13 +360,14 @@ def cut(
     def finished(part: pa.Table, verdicts: pa.Table) -> pa.Table:
         texts = text_list(part.column(own_text))
         kept = _covered(texts, ids_of(part), verdicts.to_pylist())
-        words = [np.array(t.split(), object)[k].tolist() for t, k in zip(texts, kept)]
-        left = [b" ".join(w) for w in words]
-        sizes = np.array([len(k) for k in kept], np.int64)
+        left = [
+            b" ".join(t.split() if k.all() else compress(t.split(), k.tolist()))
+            for t, k in zip(texts, kept)
+        ]
         return part.drop_columns(["id", "slice"]).append_column(
-            "n_words", pa.array(sizes)
+            "n_words", pa.array([len(k) for k in kept], pa.int64())
         ).append_column(
-            "n_removed", pa.array(sizes - np.array([len(w) for w in words], np.int64))
+            "n_removed", pa.array([len(k) - int(k.sum()) for k in kept], pa.int64())
         ).append_column(
             "kept_sha256", pa.array([sha256(x).hexdigest() for x in left])
         ).append_column("kept_text", pa.array(left, pa.binary()).cast(pa.string()))
