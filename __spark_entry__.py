@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innledger.functions.hashing import id_digest
+from innledger.operators import forest
 from innledger.operators.expectations import rule_metrics
 from innledger.operators.sampling import sample_rows
 from innledger.plans import gold, pricing, serving, silver
@@ -107,31 +108,38 @@ def _priced(spark, sf) -> LayerStore:
     return _priced_store(spark.sparkContext.applicationId, sf)
 
 
+def _model(spark, sf):
+    """The model as it was saved."""
+    return pricing.load_model(spark, f"{_priced(spark, sf).root}/model")
+
+
 def _predictions(spark, sf):
-    """Scored anew with the model as it was saved."""
-    store = _priced(spark, sf)
-    model = pricing.load_model(f"{store.root}/model")
-    return pricing.predicted_prices(model, store.read("gold.price_features"))
+    """Scored anew with the saved model."""
+    features = _priced(spark, sf).read("gold.price_features")
+    return pricing.predicted_prices(_model(spark, sf), features)
 
 
-def _comparable(spark, sf, predictions):
-    """Predicted values are left out, since no other engine can repeat them; whether they
-    lie between the training prices can be compared."""
-    training = _priced(spark, sf).read("gold.price_features").filter("is_train")
-    ends = (training.selectExpr(f"{end}(actual_price)").scalar() for end in ("min", "max"))
-    return pricing.with_range_flag(predictions, *ends).drop("predicted_price")
+def _sampled_predictions(spark, sf):
+    features = _priced(spark, sf).read("gold.price_features")
+    return serving.prediction_sample(_model(spark, sf), features)
 
 
 def _model_metrics(spark, sf):
-    """What another engine can compute of the metrics, and whether the rest fits it."""
+    """Whether the model is better than the mean, and by how much."""
     return pricing.price_model_metrics(_predictions(spark, sf)).selectExpr(
         "test_rows",
-        "round(baseline_rmse, 4) AS baseline_rmse",
-        "rmse > 0 AS has_error",
-        "abs(r2 - (1 - pow(rmse / baseline_rmse, 2))) < 1e-9 AS r2_fits_rmse",
+        *[f"round({c}, 4) AS {c}" for c in ("rmse", "r2", "baseline_rmse")],
+        "rmse < baseline_rmse AND r2 > 0.5 AS useful",
     )
 
 
+def _model_leaves(spark, sf):
+    """The saved leaves against the training rows that fall into them."""
+    features = _priced(spark, sf).read("gold.price_features")
+    samples = pricing.price_samples(features)
+    return forest.leaf_report(samples, _model(spark, sf), pricing.FEATURES)
+
+
 def _catalog_report(spark, sf):
     """Two tables written to databases of the catalog and read back from there."""
     store = LayerStore(spark, prefix=f"innledger_{uuid4().hex}_")
@@ -261,17 +269,13 @@ _QUERIES: dict[str, Query] = {
     ),
     "price_features": _features,
     "price_sample": _price_sample,
-    "predicted_prices": lambda spark, sf: _comparable(spark, sf, _predictions(spark, sf)),
-    "scored_bookings": lambda spark, sf: _comparable(
-        spark, sf, _priced(spark, sf).read("gold.predicted_prices")
-    ),
+    "predicted_prices": _predictions,
+    "scored_bookings": lambda spark, sf: _priced(spark, sf).read("gold.predicted_prices"),
     "price_model_metrics": _model_metrics,
-    "prediction_sample": lambda spark, sf: _comparable(
-        spark, sf, serving.prediction_sample(_predictions(spark, sf))
-    ),
-    "prediction_scatter": lambda spark, sf: _comparable(
-        spark, sf, serving.prediction_scatter(_predictions(spark, sf))
-    ),
+    "price_model_nodes": _model,
+    "price_model_leaves": _model_leaves,
+    "prediction_sample": _sampled_predictions,
+    "prediction_scatter": lambda spark, sf: serving.prediction_scatter(_predictions(spark, sf)),
     "catalog_report": _catalog_report,
     "overbooking_room_page": lambda spark, sf: serving.overbooking_page(
         _alerts(spark, sf), room_id=ROOM
@@ -344,8 +348,8 @@ _CTES = {
                CASE WHEN o_orderkey % 97 = 0 THEN NULL
                     ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 11 - 2 AS INT) END
                  AS checkout_date,
-               CASE WHEN o_orderkey % 23 = 0 THEN -o_totalprice
-                    WHEN o_orderkey % 29 = 0 THEN NULL ELSE o_totalprice END AS total_amount,
+               CASE WHEN o_orderkey % 23 = 0 THEN -amount
+                    WHEN o_orderkey % 29 = 0 THEN NULL ELSE amount END AS total_amount,
                CASE WHEN o_orderkey % 13 = 0 THEN 'XXX' WHEN o_orderkey % 13 = 1 THEN NULL
                     WHEN o_orderkey % 13 < 6 THEN 'USD' WHEN o_orderkey % 13 < 9 THEN 'GBP'
                     ELSE 'EUR' END AS currency,
@@ -357,7 +361,10 @@ _CTES = {
                     WHEN o_orderpriority = '3-MEDIUM' THEN 'booking.com'
                     WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'walk_in'
                     ELSE 'web' END AS source
-        FROM orders""",
+        FROM (SELECT *, CAST(600000 * abs(o_orderkey % 11 - 2) * (5 + quarter(o_orderdate))
+                             + CAST(round(o_totalprice * 100) AS BIGINT) % 5000000 AS DOUBLE)
+                        / 100 AS amount
+              FROM orders)""",
     "raw_payments": """
         SELECT l_orderkey * 10 + l_linenumber AS payment_id,
                CASE WHEN l_partkey % 31 = 0 THEN -l_orderkey - 1 ELSE l_orderkey END
@@ -445,10 +452,94 @@ _CTES = {
 }
 
 
-def _sql(select: str) -> str:
+def _sql(select: str, more: dict[str, str] | None = None) -> str:
     # "bookings" and "rooms" only exist as CTEs; none shadows a driver table.
-    ctes = ",\n".join(f"{name} AS ({body})" for name, body in _CTES.items())
-    return f"WITH {ctes}\n{select}"
+    ctes = [f"{name} AS ({body})" for name, body in _CTES.items()]
+    # What several levels of the forest read is kept, or it would be worked out anew in each.
+    ctes += [f"{name} AS MATERIALIZED ({body})" for name, body in (more or {}).items()]
+    return f"WITH {', '.join(ctes)} {select}"
+
+
+def _forest_ctes() -> dict[str, str]:
+    """The price model, level by level: ``model`` has its nodes, ``scored`` its predictions."""
+    names, depth = pricing.FEATURES, pricing.DEPTH
+    by = ", ".join(names)
+    cuts = forest.poisson_thresholds()
+    times = " ".join(f"WHEN u < '{cut}' THEN {n}" for n, cut in enumerate(cuts))
+    value = " ".join(f"WHEN {i} THEN CAST({c} AS DOUBLE)" for i, c in enumerate(names))
+    down = f"2 * node + CAST(CASE feature {value} END > threshold AS INT)"
+    listed = ", ".join(f"{{feature: {i}, value: CAST({c} AS DOUBLE)}}" for i, c in enumerate(names))
+    ctes = {
+        "drawn": f"""
+            SELECT {by}, CAST(round(actual_price * 100) AS BIGINT) AS label, b * 16 + i AS tree,
+                   substr(sha256(concat_ws('|', booking_id, {pricing.SEED}, b)), 1 + i * 4, 4) AS u
+            FROM features, range(7) AS x(b), range(16) AS y(i)
+            WHERE is_train AND b * 16 + i < {pricing.TREES}""",
+        "samples": f"""
+            SELECT tree, {by}, CAST(sum(n) AS BIGINT) AS weight,
+                   CAST(sum(n * label) AS BIGINT) AS total
+            FROM (SELECT *, CASE {times} ELSE {len(cuts)} END AS n FROM drawn)
+            WHERE n > 0 GROUP BY tree, {by}""",
+        "rows_0": f"SELECT tree, 1 AS node, {by}, weight, total FROM samples",
+    }
+    for k in range(depth):
+        ctes[f"splits_{k}"] = f"""
+            SELECT tree, node, feature, threshold
+            FROM (SELECT *, CAST(lt AS DOUBLE) * CAST(lt AS DOUBLE) / CAST(lw AS DOUBLE)
+                            + CAST(total - lt AS DOUBLE) * CAST(total - lt AS DOUBLE)
+                              / nullif(CAST(weight - lw AS DOUBLE), 0)
+                            - CAST(total AS DOUBLE) * CAST(total AS DOUBLE)
+                              / CAST(weight AS DOUBLE) AS gain,
+                         (value + next) / 2 AS threshold
+                  FROM (SELECT tree, node, feature, value,
+                               lead(value) OVER (PARTITION BY tree, node, feature
+                                                 ORDER BY value) AS next,
+                               sum(w) OVER (PARTITION BY tree, node, feature
+                                            ORDER BY value) AS lw,
+                               sum(t) OVER (PARTITION BY tree, node, feature
+                                            ORDER BY value) AS lt,
+                               sum(w) OVER (PARTITION BY tree, node, feature) AS weight,
+                               sum(t) OVER (PARTITION BY tree, node, feature) AS total
+                        FROM (SELECT tree, node, s.feature AS feature, s.value AS value,
+                                     CAST(sum(weight) AS BIGINT) AS w,
+                                     CAST(sum(total) AS BIGINT) AS t
+                              FROM (SELECT tree, node, weight, total, unnest([{listed}]) AS s
+                                    FROM rows_{k})
+                              GROUP BY ALL))
+                  WHERE next IS NOT NULL)
+            WHERE gain > {forest.LEAST_GAIN} * (CAST(total AS DOUBLE) * CAST(total AS DOUBLE)
+                                                / CAST(weight AS DOUBLE))
+            QUALIFY row_number() OVER (PARTITION BY tree, node
+                                       ORDER BY gain DESC, feature, threshold) = 1"""
+        ctes[f"rows_{k + 1}"] = f"""
+            SELECT tree, {down} AS node, {by}, weight, total
+            FROM rows_{k} JOIN splits_{k} USING (tree, node)"""
+    levels = [
+        f"SELECT tree, node, weight, total, feature, threshold"
+        f" FROM rows_{k} LEFT JOIN splits_{k} USING (tree, node)"
+        for k in range(depth)
+    ]
+    levels.append(f"SELECT tree, node, weight, total, NULL, NULL FROM rows_{depth}")
+    ctes["model"] = f"""
+        SELECT CAST(tree AS INT) AS tree, CAST(node AS INT) AS node,
+               CAST(any_value(feature) AS INT) AS feature,
+               any_value(threshold) AS threshold, CAST(sum(weight) AS BIGINT) AS weight,
+               CAST(floor(CAST(sum(total) AS DOUBLE) / CAST(sum(weight) AS DOUBLE) * 10000 + 0.5)
+                    AS BIGINT) AS millionths
+        FROM ({" UNION ALL ".join(levels)}) GROUP BY tree, node"""
+    ctes["at_0"] = f"""
+        SELECT *, 1 AS node
+        FROM (SELECT DISTINCT {by} FROM features), (SELECT DISTINCT tree FROM model)"""
+    for k in range(depth):
+        ctes[f"at_{k + 1}"] = f"""
+            SELECT a.* REPLACE (coalesce({down.replace("node", "a.node")}, a.node) AS node)
+            FROM at_{k} a LEFT JOIN model m
+              ON m.tree = a.tree AND m.node = a.node AND m.feature IS NOT NULL"""
+    ctes["scores"] = f"""
+        SELECT {by}, CAST(sum(millionths) AS DOUBLE) / (count(*) * 1000000) AS predicted_price
+        FROM at_{depth} JOIN model USING (tree, node) GROUP BY {by}"""
+    ctes["scored"] = f"SELECT * FROM features JOIN scores USING ({by})"
+    return ctes
 
 
 def _bronze_sql() -> str:
@@ -487,9 +578,30 @@ def _bronze_sql() -> str:
 
 def oracle_sql() -> dict[str, str]:
     scored = """
-        SELECT booking_id, actual_price, stay_duration, max_occupancy, room_type_code,
-               season, is_train, true AS within_training_range
-        FROM features"""
+        SELECT booking_id, actual_price, predicted_price, stay_duration, max_occupancy,
+               room_type_code, season, is_train
+        FROM scored"""
+    of_model = {
+        "scored_bookings": scored,
+        "predicted_prices": scored,
+        "prediction_scatter": "SELECT booking_id, actual_price, predicted_price FROM scored",
+        "prediction_sample": """
+            SELECT booking_id, actual_price, predicted_price
+            FROM scored ORDER BY md5(booking_id || '|42'), booking_id LIMIT 200""",
+        "price_model_metrics": """
+            SELECT test_rows, round(rmse, 4) AS rmse, round(r2, 4) AS r2,
+                   round(baseline_rmse, 4) AS baseline_rmse, true AS useful
+            FROM (SELECT count(*) AS test_rows, sqrt(avg(error * error)) AS rmse,
+                         1 - avg(error * error) / var_pop(actual_price) AS r2,
+                         sqrt(var_pop(actual_price)) AS baseline_rmse
+                  FROM (SELECT actual_price, actual_price - predicted_price AS error
+                        FROM scored WHERE NOT is_train))""",
+        "price_model_nodes": "SELECT * FROM model",
+        "price_model_leaves": """
+            SELECT tree, count(*) AS leaves, CAST(sum(weight) AS BIGINT) AS weight,
+                   CAST(0 AS BIGINT) AS wrong
+            FROM model WHERE feature IS NULL GROUP BY tree""",
+    }
     selects = {
         "bronze_ingest": _bronze_sql(),
         "silver_hotels": "SELECT * FROM hotels",
@@ -569,18 +681,9 @@ def oracle_sql() -> dict[str, str]:
         "price_sample": """
             SELECT booking_id, actual_price, md5(booking_id || '|42') AS digest
             FROM features ORDER BY digest, booking_id LIMIT 200""",
-        "scored_bookings": scored,
-        "predicted_prices": scored,
-        "prediction_scatter": """
-            SELECT booking_id, actual_price, true AS within_training_range FROM features""",
-        "prediction_sample": """
-            SELECT booking_id, actual_price, true AS within_training_range
-            FROM features ORDER BY md5(booking_id || '|42'), booking_id LIMIT 200""",
-        "price_model_metrics": """
-            SELECT count(*) AS test_rows, round(sqrt(var_pop(actual_price)), 4) AS baseline_rmse,
-                   true AS has_error, true AS r2_fits_rmse
-            FROM features WHERE NOT is_train""",
         "prediction_bounds": """
             SELECT min(actual_price) AS lowest, max(actual_price) AS highest FROM features""",
     }
-    return {name: _sql(select) for name, select in selects.items()} | _llm()[1]
+    own = {name: _sql(select) for name, select in selects.items()}
+    own |= {name: _sql(select, _forest_ctes()) for name, select in of_model.items()}
+    return own | _llm()[1]

@@ -21,16 +21,26 @@ a block per 256 days. A room's check-ins go only to the levels that a stay of th
 reaches. Largest key: the check-ins of one room in 256 days; adaptive execution splits it.
 
 Times of day are compared as they are; blocks are made of the days they fall in.
+
+Repeated stays are joined once, with their number. In most rooms no stay is repeated often,
+and pairs are written as often as they stand where they are found. Rooms with a stay that is
+repeated very often are joined on their own, and the copies of their pairs are dealt out.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from innledger.operators.copies import collapse_copies, expand_copies
+from innledger.operators.copies import (
+    CHUNK,
+    collapse_copies,
+    expand_dealt,
+    expand_in_place,
+)
 
 _BITS = 4  # a block holds 2**4 = 16 blocks of the level below
 _MAX_LEVEL = 2  # blocks of 256 days
 _SAME_DAY = -1  # the level for stays that begin on the same day
+_OFTEN = int(CHUNK**0.5)  # two stays repeated so often make a chunk of pairs
 
 
 def _day(column: str) -> str:
@@ -124,16 +134,25 @@ def overlapping_pairs(
         f"CAST({longest} > {1 << _BITS * level} AS INT)" for level in range(_MAX_LEVEL + 1)
     )
     of_room = days.groupBy(F.col("room").alias("of_room")).agg(
-        F.expr("max(s) + 1 AS after_last"), F.expr(f"{reached} - 1 AS top_level")
+        F.expr("max(s) + 1 AS after_last"),
+        F.expr(f"{reached} - 1 AS top_level"),
+        F.expr(f"max(copies) > {_OFTEN} AS often"),
     )
     stays = days.join(of_room, F.col("room") == F.col("of_room")).selectExpr(
-        "room", "id", "begins", "ends", "copies", "s", "whole_e",
+        "room", "id", "begins", "ends", "copies", "s", "whole_e", "often",
         "greatest(s, least(whole_e, after_last)) AS e",
         f"explode(sequence({_SAME_DAY}, top_level)) AS level",
     )
+    few = _pairs(stays.filter("NOT often").drop("often"), room, booking)
+    many = _pairs(stays.filter("often").drop("often"), room, booking)
+    return expand_in_place(few, "copies").unionByName(expand_dealt(many, "copies"))
+
+
+def _pairs(stays: DataFrame, room: str, booking: str) -> DataFrame:
+    """Each pair once, with how often it stands."""
     # Spark's size estimate leaves out that one stay becomes many blocks, so it must not
     # choose to broadcast by it.
-    pairs = (
+    return (
         _around(stays)
         .alias("a")
         .join(
@@ -153,4 +172,3 @@ def overlapping_pairs(
             "a.copies * b.copies AS copies",
         )
     )
-    return expand_copies(pairs, "copies")

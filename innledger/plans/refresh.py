@@ -107,26 +107,34 @@ def refresh_layer(
 
 
 def refresh_prices(
-    store: LayerStore, model_path: str, trees: int = pricing.TREES, max_depth: int = pricing.DEPTH
+    store: LayerStore,
+    model_path: str,
+    trees: int = pricing.TREES,
+    max_depth: int = pricing.DEPTH,
+    seed: int = pricing.SEED,
 ) -> DataFrame:
     """Train on ``gold.price_features``, save the model and ``gold.predicted_prices``.
 
-    Returns the model's metrics on the held-out rows.
+    Prices are predicted with the model as it was saved. Returns the model's metrics on the
+    held-out rows.
     """
     features = store.read("gold.price_features")
-    model = pricing.train_price_model(features, trees, max_depth)
-    pricing.save_model(model, model_path)
+    pricing.save_model(pricing.train_price_model(features, trees, max_depth, seed), model_path)
+    model = pricing.load_model(store.spark, model_path)
     store.write(pricing.predicted_prices(model, features), "gold.predicted_prices")
     return pricing.price_model_metrics(store.read("gold.predicted_prices"))
 
 
 def refresh_all(
-    store: LayerStore, landing: str, model_path: str, trees: int = pricing.TREES
+    store: LayerStore, landing: str, model_path: str, **training: int
 ) -> dict[str, dict]:
-    """Everything, from landing files to predictions. Returns rule counts and model metrics."""
+    """Everything, from landing files to predictions. Returns rule counts and model metrics.
+
+    ``training`` are the parameters of ``refresh_prices``: trees, max_depth, seed.
+    """
     store.create_layers()
     metrics = refresh_bronze(store, landing)
     metrics.update(refresh_layer(store, "silver"))
     refresh_layer(store, "gold")
-    scores = refresh_prices(store, model_path, trees)
+    scores = refresh_prices(store, model_path, **training)
     return {**metrics, "gold.predicted_prices": scores.first().asDict()}

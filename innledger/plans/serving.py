@@ -9,6 +9,7 @@ from innledger.functions.texts import fixed_point
 from innledger.operators.copies import collapse_copies
 from innledger.operators.quantiles import grouped_quantiles
 from innledger.operators.sampling import sample_rows, top_rows
+from innledger.plans import pricing
 
 # Fixed values of the reports.
 COLLECTION_TARGET = 0.95
@@ -138,6 +139,8 @@ def prediction_scatter(predictions: DataFrame) -> DataFrame:
 
 
 def prediction_sample(
-    predictions: DataFrame, n: int = SAMPLE_ROWS, seed: int = 42
+    model: DataFrame, features: DataFrame, n: int = SAMPLE_ROWS, seed: int = 42
 ) -> DataFrame:
-    return sample_rows(prediction_scatter(predictions), "booking_id", n, seed)
+    """The scatter of at most ``n`` bookings. They are chosen first: only they are scored."""
+    chosen = sample_rows(features, "booking_id", n, seed)
+    return prediction_scatter(pricing.predicted_prices(model, chosen))

@@ -27,6 +27,15 @@ _SCHEMAS = {
 }
 
 
+# Nights and season make the price, in whole cents, and something under 50,000 is left to
+# chance. The nights are those between the dates below, whichever comes first.
+_NIGHTS = "abs(o_orderkey % 11 - 2)"
+_AMOUNT = (
+    f"CAST(600000 * {_NIGHTS} * (5 + quarter(o_orderdate))"
+    " + CAST(round(o_totalprice * 100) AS BIGINT) % 5000000 AS DOUBLE) / 100"
+)
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
@@ -83,8 +92,8 @@ def raw_bookings(spark: SparkSession, folder: str) -> DataFrame:
         "CASE WHEN o_orderkey % 97 = 0 THEN NULL"
         " ELSE date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 11 - 2 AS INT)) END"
         " AS checkout_date",
-        "CASE WHEN o_orderkey % 23 = 0 THEN -o_totalprice WHEN o_orderkey % 29 = 0 THEN NULL"
-        " ELSE o_totalprice END AS total_amount",
+        f"CASE WHEN o_orderkey % 23 = 0 THEN -({_AMOUNT}) WHEN o_orderkey % 29 = 0 THEN NULL"
+        f" ELSE {_AMOUNT} END AS total_amount",
         "CASE WHEN o_orderkey % 13 = 0 THEN 'XXX' WHEN o_orderkey % 13 = 1 THEN NULL"
         " WHEN o_orderkey % 13 < 6 THEN 'USD' WHEN o_orderkey % 13 < 9 THEN 'GBP'"
         " ELSE 'EUR' END AS currency",

@@ -1,0 +1,76 @@
+"""Repeating rows: no exchange where nothing is repeated often, many tasks where it is."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from innledger.operators.copies import CHUNK, collapse_copies, expand_copies, expand_dealt
+from innledger.operators.overlap import overlapping_pairs
+from innledger.operators.quantiles import grouped_quantiles
+from innledger.plans import gold, silver
+from innledger.session import tuned
+from innledger.sources import star_schema as raw
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def final_plan(df):
+    """The physical plan as it ran."""
+    df.write.format("noop").mode("overwrite").save()
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().execute().count()
+    return execution.executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_nothing_is_dealt_out_where_nothing_is_repeated_often(spark):
+    tuned(spark)
+    bookings = raw.raw_bookings(spark, SF_DIR)
+    payments = silver.payments(raw.raw_payments(spark, SF_DIR), bookings)
+    alerts = gold.overbooking_alerts(silver.bookings(bookings))
+    for df in (payments, alerts):
+        plan = final_plan(df)
+        assert "RoundRobinPartitioning" not in plan and "REPARTITION_BY" not in plan
+
+
+def test_heavy_rows_are_written_by_many_tasks(spark):
+    df = spark.createDataFrame([(1, 40 * CHUNK + 7), (2, 1), (3, CHUNK)], "k INT, n LONG")
+    out = expand_copies(df, "n")
+    counts = {r.k: r["count"] for r in out.groupBy("k").count().collect()}
+    assert counts == {1: 40 * CHUNK + 7, 2: 1, 3: CHUNK}
+    tasks = out.groupBy(F.spark_partition_id().alias("t")).agg(F.expr("count_if(k = 1) AS n"))
+    assert sum(r.n > 0 for r in tasks.collect()) >= 4
+
+
+def test_the_tuned_number_of_partitions_is_used(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    df = spark.createDataFrame([(1, 9)], "k INT, n LONG")
+    spark.conf.set(key, "37")
+    try:
+        assert expand_dealt(df, "n").rdd.getNumPartitions() == 37
+    finally:
+        spark.conf.unset(key)
+
+
+def test_rooms_with_stays_repeated_very_often(spark, rows):
+    often = [(1, 10, "2024-01-01", "2024-01-05")] * 90 + [(1, 11, "2024-01-04", "2024-01-09")] * 70
+    few = [(2, 20, "2024-01-01", "2024-01-05")] * 3 + [(2, 21, "2024-01-02", "2024-01-03")]
+    stays = spark.createDataFrame(
+        often + few, "room_id INT, booking_id INT, checkin_date STRING, checkout_date STRING"
+    )
+    pairs = collapse_copies(
+        overlapping_pairs(stays), ["room_id", "booking_id_1", "booking_id_2"], "n"
+    )
+    assert rows(pairs) == [(1, 10, 11, 6300), (2, 20, 21, 3)]
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-7, -1e6])
+def test_quantiles_of_values_that_lie_very_close(spark, scale):
+    df = spark.range(50_000).selectExpr(
+        "id % 2 AS g", f"(100 + pmod(id * 7919, 50000) * 2e-13 * 1000) * {scale}D AS v"
+    )
+    got = grouped_quantiles(df, "g", "v", {"a": 0.1, "m": 0.5, "z": 0.99})
+    want = df.groupBy("g").agg(
+        F.expr("min(v) AS min"), *(F.expr(f"percentile(v, {q})") for q in (0.1, 0.5, 0.99)),
+        F.expr("max(v) AS max"),
+    )
+    want = {r[0]: tuple(r)[1:] for r in want.collect()}
+    assert {r[0]: pytest.approx(tuple(r)[1:], rel=1e-15) for r in got.collect()} == want

@@ -1,0 +1,75 @@
+"""Tables that are replaced as a whole or not at all."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from innledger.sources.layers import KEPT_VERSIONS, POINTER, LayerStore
+
+
+@pytest.fixture(params=["folder", "catalog"])
+def store(spark, tmp_path, request):
+    if request.param == "folder":
+        return LayerStore(spark, str(tmp_path / "lake"))
+    store = LayerStore(spark, prefix=f"t_{tmp_path.name.replace('-', '_')}_")
+    store.create_layers()
+    return store
+
+
+def test_a_write_that_dies_half_way_leaves_the_old_table(spark, store, rows):
+    store.write(spark.range(10).selectExpr("id"), "gold.numbers")
+    # The first partitions are written, the last one fails.
+    dies = spark.range(0, 1000, 1, 4).selectExpr(
+        "if(id > 900, raise_error('lost'), id) AS id", "id AS other"
+    )
+    with pytest.raises(Exception, match="lost"):
+        store.write(dies, "gold.numbers")
+    assert rows(store.read("gold.numbers")) == [(i,) for i in range(10)]
+    store.write(spark.range(3).selectExpr("id", "'x' AS other"), "gold.numbers")
+    assert rows(store.read("gold.numbers")) == [(i, "x") for i in range(3)]
+
+
+def test_a_version_without_all_its_rows_is_not_shown(spark, store, rows, monkeypatch):
+    store.write(spark.range(5), "gold.numbers")
+    whole = LayerStore._load
+    monkeypatch.setattr(LayerStore, "_load", lambda *a: whole(*a).limit(2))
+    with pytest.raises(OSError, match="2 of 7"):
+        store.write(spark.range(7), "gold.numbers")
+    monkeypatch.undo()
+    assert store.read("gold.numbers").count() == 5
+
+
+def test_readers_of_the_version_before_can_finish(spark, store):
+    store.write(spark.range(5), "gold.numbers")
+    before = store.read("gold.numbers")
+    store.write(spark.range(8), "gold.numbers")
+    assert before.count() == 5 and store.read("gold.numbers").count() == 8
+
+
+def test_a_table_can_be_made_from_itself(spark, store, rows):
+    store.write(spark.range(5), "gold.numbers")
+    store.write(store.read("gold.numbers").select(F.expr("id + 1 AS id")), "gold.numbers")
+    assert rows(store.read("gold.numbers")) == [(i + 1,) for i in range(5)]
+
+
+def test_old_versions_go(spark, store):
+    for n in range(5):
+        store.write(spark.range(n), "gold.numbers")
+    assert len(store.versions("gold.numbers")) == KEPT_VERSIONS
+    assert store.read("gold.numbers").count() == 4
+
+
+def test_empty_tables_keep_their_columns(spark, store):
+    store.write(spark.range(0).selectExpr("id", "'a' AS b"), "gold.none")
+    assert store.read("gold.none").columns == ["id", "b"]
+
+
+def test_a_table_that_was_never_written(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="gold.none"):
+        LayerStore(spark, str(tmp_path)).read("gold.none")
+
+
+def test_the_pointer_is_a_file_beside_the_versions(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path))
+    store.write(spark.range(1), "gold.numbers")
+    (version,) = store.versions("gold.numbers")
+    assert (tmp_path / "gold" / "numbers" / POINTER).read_text() == version

@@ -1,8 +1,10 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
-from innledger.plans import pricing
+from innledger.operators import forest
+from innledger.plans import pricing, serving
 
 BOOKING = (
     "booking_id STRING, room_id STRING, hotel_id STRING, checkin_date DATE,"
@@ -42,7 +44,7 @@ def features(spark, rooms):
 
 @pytest.fixture(scope="module")
 def predictions(features):
-    model = pricing.train_price_model(features, trees=8, max_depth=8)
+    model = pricing.train_price_model(features, trees=8, max_depth=8).cache()
     return pricing.predicted_prices(model, features).cache()
 
 
@@ -111,15 +113,32 @@ def test_metrics_match_spark_ml_and_beat_the_mean(predictions):
 
 
 def test_model_does_not_depend_on_partitions(features):
-    """The same trees however the table is stored."""
+    """The same trees, to the last node, however the table is stored."""
     found = []
-    for stored in (features.repartition(3), features.repartition(4, "season"), features.coalesce(1)):
-        model = pricing.train_price_model(stored, trees=4, max_depth=5)
-        rows = pricing.predicted_prices(model, features).orderBy("booking_id").collect()
-        found.append(([t.depth for t in model.stages[-1].trees], [r.predicted_price for r in rows]))
-    assert found[0][0] == found[1][0] == found[2][0]
-    for _, prices in found[1:]:
-        assert prices == pytest.approx(found[0][1], rel=1e-9)
+    stored = (
+        features.repartition(3), features.repartition(16, "season"), features.coalesce(1),
+        features.repartition(64),
+    )
+    for features in stored:
+        model = pricing.train_price_model(features, trees=4, max_depth=5)
+        found.append(sorted(map(tuple, model.collect()), key=repr))
+    assert found[0] == found[1] == found[2] == found[3]
+    assert len({row[0] for row in found[0]}) == 4
+
+
+def test_leaves_hold_what_falls_into_them(features):
+    model = pricing.train_price_model(features, trees=5, max_depth=4).cache()
+    samples = pricing.price_samples(features, trees=5)
+    report = forest.leaf_report(samples, model, pricing.FEATURES).collect()
+    assert len(report) == 5 and all(r.wrong == 0 and r.leaves > 1 for r in report)
+    # A leaf with another value is found, and so is one that is missing.
+    moved = F.expr("millionths + CAST(feature IS NULL AND tree = 3 AS INT)")
+    bad = model.withColumn("millionths", moved)
+    report = {r.tree: r for r in forest.leaf_report(samples, bad, pricing.FEATURES).collect()}
+    assert report[3].wrong == report[3].leaves and report[0].wrong == 0
+    lost = model.filter("NOT (feature IS NULL AND tree = 2)")
+    report = {r.tree: r for r in forest.leaf_report(samples, lost, pricing.FEATURES).collect()}
+    assert report[2].wrong > 0 and report[1].wrong == 0
 
 
 def test_metrics_without_held_out_rows(predictions):
@@ -127,13 +146,37 @@ def test_metrics_without_held_out_rows(predictions):
     assert (got.test_rows, got.rmse, got.r2) == (0, None, None)
 
 
-def test_saved_model_predicts_the_same(features, tmp_path):
-    model = pricing.train_price_model(features, trees=3, max_depth=3)
+def test_saved_model_predicts_the_same(spark, features, tmp_path):
+    model = pricing.train_price_model(features, trees=3, max_depth=3).cache()
     for _ in range(2):  # saving replaces
         pricing.save_model(model, str(tmp_path / "model"))
-    loaded = pricing.load_model(str(tmp_path / "model"))
+    loaded = pricing.load_model(spark, str(tmp_path / "model"))
     a, b = (
-        pricing.predicted_prices(m, features).orderBy("booking_id").limit(50).collect()
+        pricing.predicted_prices(m, features).orderBy("booking_id").collect()
         for m in (model, loaded)
     )
     assert a == b
+
+
+def test_only_the_sample_is_scored(spark, features, tmp_path):
+    """No more feature combinations reach the model than there are chosen bookings."""
+    model = pricing.train_price_model(features, trees=3, max_depth=3).cache()
+    sample = serving.prediction_sample(model, features, n=7)
+    scored = pricing.predicted_prices(model, features).join(
+        sample.select("booking_id"), "booking_id", "left_semi"
+    )
+    assert sorted(map(tuple, sample.collect())) == sorted(
+        map(tuple, serving.prediction_scatter(scored).collect())
+    )
+    plan = sample._jdf.queryExecution().optimizedPlan().toString()
+    limits = [line for line in plan.splitlines() if "GlobalLimit 7" in line]
+    scans = [line for line in plan.splitlines() if "InMemoryRelation" in line]
+    # Both sides of the join back, the combinations and the rows, are read below the limit.
+    assert len(limits) == 2 and scans
+
+
+def test_training_without_rows(features):
+    model = pricing.train_price_model(features.limit(0), trees=2, max_depth=2)
+    assert model.collect() == []
+    got = pricing.predicted_prices(model, features).selectExpr("count(*)", "count(predicted_price)")
+    assert tuple(got.first()) == (features.count(), 0)

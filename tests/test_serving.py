@@ -142,15 +142,22 @@ def test_filter_values(alerts, rows):
 
 
 def test_prediction_reports(spark, rows):
-    data = [(n, float(n), n + 0.5, 1) for n in range(500)]
+    data = [(n, float(n), 1, 2, 2, "double", 1, 0, True) for n in range(500)]
     df = spark.createDataFrame(
-        data, "booking_id INT, actual_price DOUBLE, predicted_price DOUBLE, season INT"
+        data,
+        "booking_id INT, actual_price DOUBLE, stay_duration INT, max_occupancy INT,"
+        " room_type_num INT, room_type_code STRING, season INT, is_weekend INT, is_train BOOLEAN",
     )
     assert rows(serving.prediction_bounds(df)) == [(0.0, 499.0)]
-    sample = serving.prediction_sample(df)
+    model = spark.createDataFrame(  # one tree that is one leaf
+        [(0, 1, None, None, 500, 7_500_000)],
+        "tree INT, node INT, feature INT, threshold DOUBLE, weight LONG, millionths LONG",
+    )
+    sample = serving.prediction_sample(model, df)
     assert sample.columns == ["booking_id", "actual_price", "predicted_price"]
     assert sample.count() == 200
-    assert serving.prediction_sample(df.limit(30)).count() == 30
+    assert {r.predicted_price for r in sample.collect()} == {7.5}
+    assert serving.prediction_sample(model, df.limit(30)).count() == 30
 
 
 @pytest.mark.parametrize(
