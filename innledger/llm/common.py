@@ -2,28 +2,23 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import os
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innledger.session import shared_folder
+from innledger.session import stored  # noqa: F401
 
 #: Stands for a null id inside the operators; sorts before every other id.
 NULL_ID = -(2**63)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: its lineage ends in a file."""
-    spark = df.sparkSession
-    path = shared_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def new_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until ``df`` has no such column."""
     while name in df.columns:
@@ -69,6 +64,43 @@ def text_list(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def text_slices(column: pa.Array, most: int = 2 << 20):
+    """The texts of an Arrow column as bytes, about ``most`` bytes at once, each list with the
+    number of its first text. Null counts as empty."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    block = np.cumsum(sizes) // most
+    edges = np.r_[0, np.flatnonzero(np.diff(block)) + 1, len(sizes)]
+    for first, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        yield first, text_list(column.slice(first, stop - first))
+
+
+def tidy(function: Callable, forget: bool = True) -> Callable:
+    """``function`` on the batches of a task, which gives its memory back when the task ends.
+
+    Worker processes outlive a stage, and what they keep lies beside what the next one needs.
+    ``forget`` also drops the values that an earlier operator remembers in ``Recent``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if forget and Recent.used_last is not None:
+            Recent.used_last.young, Recent.used_last.old, Recent.used_last = {}, {}, None
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    """Return freed memory of Arrow and of the C library to the system, where that is glibc."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    trim = getattr(ctypes.CDLL(libc), "malloc_trim", None) if libc else None
+    if trim is not None:
+        trim(0)
+
+
 def slices(texts: list, most: int = 2 << 20):
     """Ranges of ``texts`` of about ``most`` bytes each, at least one text."""
     first, size = 0, 0

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from innledger.llm.common import Recent, mixed, new_name, slices, text_list
+from innledger.llm.common import Recent, mixed, new_name, text_slices, tidy
 
 WINDOW = 5
 #: Share of an item's windows that a document must have, and of its slots that must agree.
@@ -375,17 +375,16 @@ def _looked_up(docs: DataFrame, rows: list[tuple[int, bytes]], column: str) -> D
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Benchmark(shared.value)
         for batch in batches:
-            texts = text_list(batch.column(place))
-            found: list[list[dict]] = [[] for _ in texts]
-            for first, last in slices(texts):
-                for k, leak in known.leaks(templates(texts[first:last])):
+            found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
+            for first, texts in text_slices(batch.column(place)):
+                for k, leak in known.leaks(templates(texts)):
                     found[first + k].append(leak)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found, pa.list_(entry))],
                 names=[*batch.schema.names, column],
             )
 
-    return docs.mapInArrow(look, schema)
+    return docs.mapInArrow(tidy(look, forget=False), schema)
 
 
 def _leaks_type(docs: DataFrame):

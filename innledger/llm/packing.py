@@ -37,7 +37,6 @@ def _word_ids(path: str) -> Recent:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
 
     def encode(words: list[bytes]) -> Iterator[bytes]:
         for at in range(0, len(words), ENCODED):
@@ -190,8 +189,9 @@ def packed(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     ).withColumn("__rank", F.col("__rank") + F.col("__start"))
     at = F.col("__rank") - F.col("__first")
     return (
+        # A few runs for each length: their number is bounded by the capacity.
         placed.join(
-            runs, (F.col(length) == F.col("__run_length")) & (at >= 0) & (at < F.col("__pieces"))
+            F.broadcast(runs), (F.col(length) == F.col("__run_length")) & (at >= 0) & (at < F.col("__pieces"))
         )
         .withColumn("sequence_id", F.col("__bin") + F.floor(at / F.col("__each")).cast("long"))
         .withColumn("offset", F.col("__place") + at % F.col("__each") * F.col(length))

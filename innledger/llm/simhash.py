@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innledger.llm.common import numbered, stored, text_list
+from innledger.llm.common import numbered, stored, text_list, tidy
 from innledger.llm.components import connected_components
 
 SHINGLE, DISTANCE = 3, 2
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), "text")
-    return rows.mapInArrow(digest, "doc_id long, tie long, fp long")
+    return rows.mapInArrow(tidy(digest), "doc_id long, tie long, fp long")
 
 
 def _segments(distance: int) -> list[tuple[int, int]]:

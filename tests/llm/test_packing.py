@@ -30,13 +30,13 @@ def check_bins(rows, capacity):
 def test_pieces_are_the_tokenizers_and_odd_rows_are_kept(spark):
     texts = [
         "Plain words, it's 12 o'clock.", "", None, "a b　c  d\n\ne", "Σίσυφος ΣΑΣ", "é é",
-        "<|endoftext|> as text", "word " * 9000, "plain words, it's 12 o'clock.", "́x ́",
+        "<|endoftext|> as text", "end <|endoftext|> next", "in<|endoftext|>side<|startoftext|>s",
+        "<|endoftext|><|endoftext|>\n<|startoftext|>", "<|EndOfText|> <| endoftext |>", "word " * 9000, "plain words, it's 12 o'clock.", "́x ́",
     ]
     data = [(i, t, None, "x", 1) for i, t in enumerate(texts)] + [(3, "twice", "en", None, None)] * 2
     data += [(None, "no id", None, None, None)]
     rows = pack_documents(spark.createDataFrame(data, SCHEMA)).collect()
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
     want = Counter()
     for doc_id, text, *_ in data:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
