@@ -15,7 +15,13 @@ from innledger.operators import forest
 from innledger.operators.expectations import rule_metrics
 from innledger.operators.sampling import sample_rows
 from innledger.plans import gold, pricing, serving, silver
-from innledger.plans.refresh import refresh_bronze, refresh_prices
+from innledger.plans.refresh import (
+    HISTORY,
+    record_rules,
+    refresh_bronze,
+    refresh_layer,
+    refresh_prices,
+)
 from innledger.schemas import INGESTION_COLUMN, LANDING_TABLES
 from innledger.session import shared_folder, tuned
 from innledger.sources import star_schema as raw
@@ -213,6 +219,31 @@ def _bronze_ingest(spark, sf):
     return reduce(DataFrame.unionByName, map(counted, LANDING_TABLES))
 
 
+def _rule_history(spark, sf):
+    """Two refreshes of hotels and bookings, the second with half the bookings, and what the
+    history says of them."""
+    store = LayerStore(spark, shared_folder(spark))
+    landing = f"{store.root}/landing"
+    write_landing(raw.raw_hotels(spark, sf), landing, "hotels")
+    for run, part in (("first", "true"), ("second", "booking_id % 2 = 0")):
+        write_landing(raw.raw_bookings(spark, sf).filter(part), landing, "bookings")
+        metrics = refresh_bronze(store, landing, ["hotels", "bookings"])
+        metrics |= refresh_layer(store, "silver", ["silver.hotels", "silver.bookings"])
+        metrics |= refresh_layer(store, "gold", ["gold.cancellation_rate"])
+        record_rules(store, run, metrics)
+    return store.read(HISTORY)
+
+
+def _cross_filters(spark, sf):
+    """The three filters of the dashboard, each with the other two set."""
+    rules = {
+        "hotel_id": f"hotel_id = {HOTEL}",
+        "room_id": f"room_id % 10 = {HOTEL}",
+        "checkin_date": f"checkin_date {_IN_RANGE}",
+    }
+    return serving.cross_filter_values(_bookings(spark, sf), rules)
+
+
 def _box_plot(spark, sf):
     plot = serving.ticket_box_plot(_customer_value(spark, sf))
     # Engines interpolate quantiles in different operation order; compare eight digits.
@@ -267,6 +298,8 @@ _QUERIES: dict[str, Query] = {
     "filter_values_date": lambda spark, sf: serving.filter_values(
         _daily(spark, sf), "date", f"date {_IN_RANGE}"
     ),
+    "cross_filter_values": _cross_filters,
+    "rule_history": _rule_history,
     "price_features": _features,
     "price_sample": _price_sample,
     "predicted_prices": _predictions,
@@ -677,6 +710,33 @@ def oracle_sql() -> dict[str, str]:
         "filter_values_date": f"""
             SELECT date, count(*) FILTER (WHERE date {_IN_RANGE}) AS associated
             FROM daily GROUP BY date""",
+        "cross_filter_values": " UNION ALL ".join(
+            f"""SELECT '{column}' AS filter, CAST({column} AS VARCHAR) AS value,
+                       count(*) FILTER (WHERE {others}) AS associated
+                FROM bookings GROUP BY {column}"""
+            for column, others in (
+                ("hotel_id", f"room_id % 10 = {HOTEL} AND checkin_date {_IN_RANGE}"),
+                ("room_id", f"hotel_id = {HOTEL} AND checkin_date {_IN_RANGE}"),
+                ("checkin_date", f"hotel_id = {HOTEL} AND room_id % 10 = {HOTEL}"),
+            )
+        ),
+        "rule_history": " UNION ALL ".join(
+            f"""SELECT '{run}' AS run, '{table}' AS table_name, '{rule}' AS rule,
+                       count(*) FILTER (WHERE {passes}) AS passed,
+                       count(*) FILTER (WHERE NOT {passes}) AS failed FROM {rows}"""
+            for run, part in (("first", "true"), ("second", "booking_id % 2 = 0"))
+            for table, rule, passes, rows in (
+                ("bronze.hotels", "record_parses", "true", "raw_hotels"),
+                ("bronze.bookings", "record_parses", "true", f"raw_bookings WHERE {part}"),
+                ("silver.hotels", "country_valid", "coalesce(country <> 'XX', true)",
+                 "raw_hotels"),
+                ("silver.bookings", "currency_valid",
+                 "coalesce(currency IN ('EUR', 'USD', 'GBP'), false)",
+                 f"raw_bookings WHERE {part}"),
+                ("gold.cancellation_rate", "written", "true",
+                 f"(SELECT DISTINCT source FROM bookings WHERE {part})"),
+            )
+        ),
         "price_features": "SELECT * FROM features",
         "price_sample": """
             SELECT booking_id, actual_price, md5(booking_id || '|42') AS digest

@@ -6,8 +6,9 @@ one layer do not need each other; their Spark jobs are submitted side by side, s
 tables do not leave a cluster idle.
 """
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from datetime import UTC, datetime
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation
@@ -86,17 +87,18 @@ def refresh_layer(
 ) -> dict[str, dict]:
     """Rebuild the layer's tables, or those of them that are named.
 
-    Returns counts collected while tables are written: rows kept and dropped by the rules
-    on hotels and on the currency of bookings.
+    Returns counts collected while tables are written: their rows, and for hotels and bookings
+    the rows that came and those that a rule dropped.
     """
 
     def refresh(name):
         inputs, build = TABLES[name]
         sources = [store.read(i) for i in inputs]
-        if build not in (silver.hotels, silver.bookings):
-            store.write(build(*sources), name)
-            return {}
         observation = Observation()
+        if build not in (silver.hotels, silver.bookings):
+            counted = build(*sources).observe(observation, F.count("*").alias("rows"))
+            store.write(counted, name)
+            return {name: observation.get}
         store.write(build(*sources, observation=observation), name)
         return {name: observation.get}
 
@@ -106,6 +108,25 @@ def refresh_layer(
     return metrics
 
 
+HISTORY = "quality.rule_history"
+
+
+def record_rules(store: LayerStore, run: str, metrics: Mapping[str, Mapping[str, int]]) -> None:
+    """Add what ``refresh_bronze`` and ``refresh_layer`` counted to the history of rules.
+
+    A row per run, table and rule: how many rows passed and failed. The records that parse
+    are a rule of bronze tables; a table without rules has one row, all rows passed.
+    """
+    rows = []
+    for table, counts in metrics.items():
+        failures = {rule: n for rule, n in counts.items() if rule != "rows"}
+        for rule, failed in (failures or {"written": 0}).items():
+            rule = "record_parses" if rule == "rejects" else rule
+            rows.append((run, table, rule, counts["rows"] - failed, failed))
+    schema = "run string, table_name string, rule string, passed long, failed long"
+    store.append(store.spark.createDataFrame(rows, schema), HISTORY)
+
+
 def refresh_prices(
     store: LayerStore,
     model_path: str,
@@ -126,15 +147,17 @@ def refresh_prices(
 
 
 def refresh_all(
-    store: LayerStore, landing: str, model_path: str, **training: int
+    store: LayerStore, landing: str, model_path: str, run: str | None = None, **training: int
 ) -> dict[str, dict]:
     """Everything, from landing files to predictions. Returns rule counts and model metrics.
 
+    The rule counts also go to the history, as those of ``run``, by default the time in UTC.
     ``training`` are the parameters of ``refresh_prices``: trees, max_depth, seed.
     """
     store.create_layers()
     metrics = refresh_bronze(store, landing)
     metrics.update(refresh_layer(store, "silver"))
-    refresh_layer(store, "gold")
+    metrics.update(refresh_layer(store, "gold"))
+    record_rules(store, run or datetime.now(UTC).isoformat(), metrics)
     scores = refresh_prices(store, model_path, **training)
     return {**metrics, "gold.predicted_prices": scores.first().asDict()}

@@ -1,5 +1,6 @@
 """What a dashboard or a report asks of the gold tables."""
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -129,6 +130,40 @@ def filter_values(df: DataFrame, column: str, other_filters: str) -> DataFrame:
     return df.groupBy(column).agg(F.expr(f"count_if({other_filters})").alias("associated"))
 
 
+def cross_filter_values(df: DataFrame, filters: Mapping[str, str]) -> DataFrame:
+    """The values that several filters offer, all in one pass over ``df``.
+
+    ``filters`` has the predicate set on each column. A row has the ``filter`` (a column),
+    one of its values as text, and how many rows all the other filters leave for it
+    (``associated``); a predicate that is NULL leaves none. Values that the others rule out
+    stay on offer with 0.
+    """
+    columns = list(filters)
+    passed = " + ".join(
+        f"if(coalesce({rule}, false), {1 << i}, 0)" for i, rule in enumerate(filters.values())
+    )
+    every = (1 << len(columns)) - 1
+    # Equal rows meet first, so the sets expand counts and not rows.
+    counted = df.groupBy(*columns, F.expr(passed).alias("_passed")).agg(
+        F.expr("count(*)").alias("_rows")
+    )
+    others = [
+        F.expr(f"sum(if((_passed | {1 << i}) = {every}, _rows, 0))").alias(f"_others_{i}")
+        for i in range(len(columns))
+    ]
+    sets = counted.groupingSets([[F.col(c)] for c in columns], *columns).agg(
+        F.grouping_id().alias("_set"), *others
+    )
+    # A set's number has a bit for every column that it leaves out, the first one highest.
+    offers = ", ".join(
+        f"struct({every ^ (1 << (len(columns) - 1 - i))} AS of, '{c}' AS filter,"
+        f" CAST(`{c}` AS STRING) AS value, _others_{i} AS associated)"
+        for i, c in enumerate(columns)
+    )
+    offered = sets.select("_set", F.expr(f"inline(array({offers}))")).filter("_set = of")
+    return offered.select("filter", "value", "associated")
+
+
 def prediction_bounds(predictions: DataFrame) -> DataFrame:
     """Ends of the diagonal on which predicted equals actual."""
     return predictions.selectExpr("min(actual_price) AS lowest", "max(actual_price) AS highest")

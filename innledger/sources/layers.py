@@ -14,7 +14,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-LAYERS = ("bronze", "silver", "gold")
+LAYERS = ("bronze", "silver", "gold", "quality")
 #: Where a folder's readers look up its version.
 POINTER = "_current"
 #: Versions that stay after a write: the new one, and the one that readers may still be in.
@@ -65,6 +65,16 @@ class LayerStore:
         for old in sorted(self.versions(name))[:-KEPT_VERSIONS]:
             self._remove(name, old)
 
+    def exists(self, name: str) -> bool:
+        if self.root is None:
+            return self.spark.catalog.tableExists(f"{self.prefix}{name}")
+        return self._version(name) is not None
+
+    def append(self, df: DataFrame, name: str) -> None:
+        """Add rows to a table, or make it. For small tables with one writer: the new version
+        holds the old rows too, so that readers see all of an append or none of it."""
+        self.write(self.read(name).unionByName(df) if self.exists(name) else df, name)
+
     def versions(self, name: str) -> list[str]:
         """The versions there are, of dead writes too."""
         if self.root is None:

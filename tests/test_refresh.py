@@ -5,7 +5,13 @@ from types import SimpleNamespace
 
 import pytest
 
-from innledger.plans.refresh import TABLES, refresh_all, refresh_bronze, refresh_layer
+from innledger.plans.refresh import (
+    TABLES,
+    record_rules,
+    refresh_all,
+    refresh_bronze,
+    refresh_layer,
+)
 from innledger.schemas import LANDING_TABLES
 from innledger.session import shared_folder, tuned
 from innledger.sources.landing import REJECTED, ingest, read_landing, write_landing
@@ -126,6 +132,13 @@ def test_full_refresh(spark, rows, landing, tmp_path, in_catalog):
     predicted = store.read("gold.predicted_prices")
     assert predicted.count() == counts["gold.price_features"] > 0
 
+    history = store.read("quality.rule_history").filter("table_name LIKE '%hotels'")
+    found = rows(history, "table_name", "rule", "passed", "failed")
+    assert found == [("bronze.hotels", "record_parses", 3, 0), ("silver.hotels", "country_valid", 2, 1)]
+    record_rules(store, "again", {"silver.hotels": {"rows": 5, "country_valid": 4}})
+    assert store.read("quality.rule_history").filter("run = 'again'").count() == 1
+    assert store.read("quality.rule_history").select("run").distinct().count() == 2
+
     # A second refresh replaces the tables.
     refresh_bronze(store, landing, ["payments"])
     refresh_layer(store, "silver", ["silver.payments"])

@@ -141,6 +141,18 @@ def test_filter_values(alerts, rows):
     assert values["r01"] == 0  # still offered
 
 
+def test_cross_filters_in_one_scan(spark, rows):
+    data = [(1, "a", 10), (1, "b", 20), (2, "a", 10), (2, "c", None), (None, "a", 10), (2, "a", 10)]
+    df = spark.createDataFrame(data, "h INT, r STRING, d INT").cache()
+    got = serving.cross_filter_values(df, {"h": "h = 2", "r": "r = 'a'", "d": "d < 15"})
+    assert rows(got) == sorted(
+        [("h", "1", 1), ("h", "2", 2), ("h", None, 1), ("r", "a", 2), ("r", "b", 0),
+         ("r", "c", 0), ("d", "10", 2), ("d", "20", 0), ("d", None, 0)], key=repr
+    )
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("InMemoryRelation") == 1
+
+
 def test_prediction_reports(spark, rows):
     data = [(n, float(n), 1, 2, 2, "double", 1, 0, True) for n in range(500)]
     df = spark.createDataFrame(
