@@ -30,6 +30,8 @@ def check_bins(rows, capacity):
 def test_pieces_are_the_tokenizers_and_odd_rows_are_kept(spark):
     texts = [
         "Plain words, it's 12 o'clock.", "", None, "a b　c  d\n\ne", "Σίσυφος ΣΑΣ", "é é",
+        "Word, word. WORD; it's, 's. don't! (a1). x...?! İ, é. e\u0301, Σ. ΑΣ, end\"). 'll, I'M.",
+        "a,b. .a <|. x<|y. |>, =\u0338. a\u0301). ,, ... \u00bd, 5. 5,000. co\u00f6p.",
         "<|endoftext|> as text", "end <|endoftext|> next", "in<|endoftext|>side<|startoftext|>s",
         "<|endoftext|><|endoftext|>\n<|startoftext|>", "<|EndOfText|> <| endoftext |>", "word " * 9000, "plain words, it's 12 o'clock.", "́x ́",
     ]
