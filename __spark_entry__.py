@@ -25,7 +25,7 @@ from innledger.plans.refresh import (
 from innledger.schemas import INGESTION_COLUMN, LANDING_TABLES
 from innledger.session import shared_folder, tuned
 from innledger.sources import star_schema as raw
-from innledger.sources.landing import write_landing
+from innledger.sources.landing import REJECTED, read_landing, write_landing
 from innledger.sources.layers import LayerStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,7 @@ PAGES_WALKED = 4
 # What the landing files plant: one amount in so many does not parse, and one name in so
 # many has a line break, quotes, commas and blanks.
 BAD_AMOUNT_EVERY, ODD_NAME_EVERY = 1009, 11
+_ODD_NAME = "concat(name, '\\n  \"Jr\", esq. ')"
 # Cells whose characters are counted after the round trip.
 TEXT_CELLS = {
     "hotels": ["hotel_name", "country"],
@@ -188,8 +189,7 @@ def _bronze_ingest(spark, sf):
             " ELSE CAST(amount AS STRING) END"
         },
         "customers": {
-            "name": f"CASE WHEN customer_id % {ODD_NAME_EVERY} = 0"
-            " THEN concat(name, '\\n  \"Jr\", esq. ') ELSE name END"
+            "name": f"CASE WHEN customer_id % {ODD_NAME_EVERY} = 0 THEN {_ODD_NAME} ELSE name END"
         },
     }
 
@@ -219,6 +219,21 @@ def _bronze_ingest(spark, sf):
     return reduce(DataFrame.unionByName, map(counted, LANDING_TABLES))
 
 
+def _landing_ranges(spark, sf):
+    """Customers in CSV files, of whose names every second has a line break, quotes and commas,
+    read by ranges of bytes."""
+    folder = f"{shared_folder(spark)}/ranges"
+    write_landing(
+        raw.raw_customers(spark, sf).withColumn(
+            "name", F.expr(f"CASE WHEN customer_id % 2 = 0 THEN {_ODD_NAME} ELSE name END")
+        ),
+        folder,
+        "customers",
+    )
+    rows = read_landing(spark, f"{folder}/customers.csv", "customers", ranges=True)
+    return rows.select("customer_id", "name", "email", F.expr(f"{REJECTED} IS NULL").alias("fits"))
+
+
 def _rule_history(spark, sf):
     """Two refreshes of hotels and bookings, the second with half the bookings, and what the
     history says of them."""
@@ -266,6 +281,7 @@ def _price_sample(spark, sf):
 
 _QUERIES: dict[str, Query] = {
     "bronze_ingest": _bronze_ingest,
+    "landing_ranges": _landing_ranges,
     "silver_hotels": _hotels,
     "silver_customers": _customers,
     "silver_rooms": _rooms,
@@ -637,6 +653,12 @@ def oracle_sql() -> dict[str, str]:
     }
     selects = {
         "bronze_ingest": _bronze_sql(),
+        "landing_ranges": """
+            SELECT CAST(customer_id AS VARCHAR) AS customer_id,
+                   CASE WHEN customer_id % 2 = 0
+                        THEN name || chr(10) || '  "Jr", esq. ' ELSE name END AS name,
+                   nullif(email, '') AS email, true AS fits
+            FROM raw_customers""",
         "silver_hotels": "SELECT * FROM hotels",
         "silver_customers": "SELECT * FROM customers",
         "silver_rooms": "SELECT * FROM rooms",

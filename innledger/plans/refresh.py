@@ -60,17 +60,18 @@ def refresh_bronze(
     tables: Iterable[str] = LANDING_TABLES,
     infer: bool = False,
     one_line: bool = False,
+    ranges: bool = False,
 ) -> dict[str, dict]:
     """Ingest ``landing/<table>.csv`` into ``bronze.<table>``.
 
-    Records with a cell that is not of its type, or with too few or many cells, are also
+    How the files are read is described at ``read_landing``. Records with a cell that is not of its type, or with too few or many cells, are also
     kept in ``bronze.<table>_rejects``, with their text as it was. Returns the numbers of
     rows and rejects.
     """
 
     def refresh(table):
         observation = Observation()
-        rows = ingest(store.spark, landing, table, infer, one_line)
+        rows = ingest(store.spark, landing, table, infer, one_line, ranges)
         counted = rows.observe(
             observation, F.count("*").alias("rows"), F.count(REJECTED).alias("rejects")
         )
@@ -147,15 +148,22 @@ def refresh_prices(
 
 
 def refresh_all(
-    store: LayerStore, landing: str, model_path: str, run: str | None = None, **training: int
+    store: LayerStore,
+    landing: str,
+    model_path: str,
+    run: str | None = None,
+    ranges: bool = False,
+    **training: int,
 ) -> dict[str, dict]:
     """Everything, from landing files to predictions. Returns rule counts and model metrics.
 
+    ``ranges`` reads large landing files in several tasks each.
+
     The rule counts also go to the history, as those of ``run``, by default the time in UTC.
     ``training`` are the parameters of ``refresh_prices``: trees, max_depth, seed.
     """
     store.create_layers()
-    metrics = refresh_bronze(store, landing)
+    metrics = refresh_bronze(store, landing, ranges=ranges)
     metrics.update(refresh_layer(store, "silver"))
     metrics.update(refresh_layer(store, "gold"))
     record_rules(store, run or datetime.now(UTC).isoformat(), metrics)
