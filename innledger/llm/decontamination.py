@@ -4,8 +4,8 @@ Numbers, names and units are replaced by typed placeholders, so that a question
 figures or other people has the same template. Five-token windows of the templates are
 looked up in a table of the benchmark's windows. Where enough windows of an item lie close
 together in a document, the values in the slots are compared: a copy repeats them, a
-re-parameterised copy replaces a value by the same other one wherever it stands. Windows of
-hardly any words are looked up by their own values, and by their template only beside a
+re-parameterised copy replaces a value by the same other one wherever it stands, and two
+values by two others. Windows of hardly any words are looked up by their own values, and by their template only beside a
 window of words; items shorter than a window are looked up whole.
 """
 
@@ -13,23 +13,28 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from innledger.llm.common import Recent, mixed, new_name, text_slices, tidy
+from innledger.llm.common import Recent, mixed, new_name, stored, text_slices, tidy
 
 WINDOW = 5
 #: Share of an item's windows that a document must have, and of its slots that must agree.
 COVERAGE = 0.8
+#: Share of the slots met that must follow a one-to-one map; of values drawn anew, some come
+#: out equal by chance.
+ONE_TO_ONE = 2 / 3
 #: The template of a window of hardly any words says nothing by itself.
 LEAST_WORDS = 2
 #: Benchmark texts looked up in one pass over the documents; larger benchmarks take several.
@@ -297,28 +302,43 @@ class _Benchmark:
 
     def _compared(self, docs: Templates, p: np.ndarray, q: np.ndarray) -> tuple[int, int, bool]:
         """Slots of the item that were met, how many have other values, and whether that is
-        consistent: enough keep their value, or of the values that fill several slots enough
-        are replaced by one other value in all of them."""
+        consistent: enough keep their value, or enough follow a map that is one to one.
+
+        The map takes each value of the item to one value of the document and no two to the
+        same. It is made of the pairs of values met most often, equal values first. Two thirds
+        of all slots must follow it, and ``COVERAGE`` of those whose value fills several. So
+        where no value fills several slots, other values count if they mostly differ among
+        themselves.
+        """
         there = (q[:, None] + np.arange(WINDOW)).ravel()
         here = (p[:, None] + np.arange(WINDOW)).ravel()
         held = self.items.kinds[there] > 0
         pairs = dict(zip(there[held].tolist(), here[held].tolist(), strict=True))
-        values = defaultdict(list)
+        met: Counter[tuple[str, str]] = Counter()
         names = set()
         for there, here in pairs.items():
             value, other = _value(self.items, there), _value(docs, here)
-            values[value].append(other)
+            met[value, other] += 1
             if value != other or self.items.slot[there]:
                 names.add(value)
         # What only begins sentences and stays as it is may be any word.
-        values = {value: found for value, found in values.items() if value in names}
-        slots = sum(map(len, values.values()))
-        renamed = sum(x != value for value, found in values.items() for x in found)
-        several = [found for found in values.values() if len(found) > 1]
-        agreeing = sum(max(map(found.count, set(found))) for found in several)
+        met = Counter({k: n for k, n in met.items() if k[0] in names})
+        times: Counter[str] = Counter()
+        for (value, _), n in met.items():
+            times[value] += n
+        slots = times.total()
+        renamed = sum(n for (value, other), n in met.items() if value != other)
+        taken, given, follow, several = set(), set(), 0, 0
+        for (value, other), n in sorted(met.items(), key=lambda x: (-x[1], x[0][0] != x[0][1], x[0])):
+            if value not in taken and other not in given:
+                taken.add(value)
+                given.add(other)
+                follow += n
+                several += n * (times[value] > 1)
         return slots, renamed, (
             slots - renamed >= COVERAGE * slots
-            or agreeing >= COVERAGE * sum(map(len, several))
+            or follow >= ONE_TO_ONE * slots
+            and several >= COVERAGE * sum(n for n in times.values() if n > 1)
         )
 
 
@@ -347,24 +367,35 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, column: str = "leaks") ->
     each. Other columns are carried along untouched; ``column`` must be a new name.
 
     The benchmark is sent to the executors in blocks of about ``BLOCK_BYTES``, with a pass
-    over the documents for each.
+    over the documents for each. Where there are several, what a block finds is stored and
+    the block released before the next one is read.
     """
     items = benchmark.select(F.col("item_id").cast("long"), "text").filter("text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
+    if blocks == 1:
+        return _looked_up(docs, _shared(items), column)
     kept = docs.columns
+    number, found = new_name(docs, "number"), new_name(docs, "found")
+    docs = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered-documents")
     parts = []
     for k in range(blocks):
-        block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        parts.append(new_name(docs, f"leaks_{k}") if blocks > 1 else column)
-        docs = _looked_up(docs, [(r.item_id, r.text.encode()) for r in block.collect()], parts[-1])
-    if blocks == 1:
-        return docs
-    return docs.select(*kept, F.concat(*parts).alias(column))
+        block = _shared(items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k))
+        leaks = _looked_up(docs.select(number, "text"), block, column)
+        parts.append(stored(leaks.filter(F.size(column) > 0).select(number, column), "leaks"))
+        block.unpersist()
+    every = reduce(DataFrame.unionByName, parts).groupBy(number).agg(F.flatten(F.collect_list(column)).alias(found))
+    nothing = F.array().cast(_leaks_type(docs))
+    return docs.join(every, number, "left").select(*kept, F.coalesce(found, nothing).alias(column))
+
+
+def _shared(items: DataFrame) -> Broadcast:
+    """One block of the benchmark on the executors."""
+    rows = [(r.item_id, r.text.encode()) for r in items.collect()]
+    return items.sparkSession.sparkContext.broadcast(rows)
 
 
-def _looked_up(docs: DataFrame, rows: list[tuple[int, bytes]], column: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(rows)
+def _looked_up(docs: DataFrame, shared: Broadcast, column: str) -> DataFrame:
     place = docs.columns.index("text")
     schema = StructType([*docs.schema.fields, StructField(column, _leaks_type(docs))])
     entry = pa.struct(

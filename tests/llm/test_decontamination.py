@@ -1,5 +1,7 @@
 """Decontamination: planted passages, changed values, odd rows."""
 
+import re
+
 import pytest
 
 from innledger.llm import decontamination
@@ -70,6 +72,27 @@ def test_blocks_of_the_benchmark(spark, monkeypatch, size):
     texts = [t for _, t in items] + ["nothing at all is in this one text here"]
     got = found(spark, texts, items)
     assert {d for d, _ in got} == set(range(6)) and all((k, k) in got for k in range(6))
+    docs = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in enumerate([*texts, None])], DOCS)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    clean = decontamination.without_leaks(docs, benchmark)
+    assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [6, 7]
+
+
+def test_values_are_replaced_one_to_one(spark):
+    item = (
+        "On a sunny day Tom gives 5 red apples to Anna and then buys 7 green pears at the market, "
+        "while the others carry 9 large boxes home and put 11 small jars on the shelf."
+    )
+    change = lambda new: "".join(new.get(x, x) for x in re.split(r"(\w+)", item))
+    texts = [
+        change({"Tom": "Bob", "Anna": "Bob", "5": "3", "7": "3", "9": "3", "11": "3"}),
+        change({"Tom": "Bob", "Anna": "Eve", "5": "3", "7": "4", "9": "6", "11": "8"}),
+        change({"Tom": "Anna", "Anna": "Tom", "5": "7", "7": "5"}),
+        change({"Anna": "Tom"}), item,
+    ]
+    got = found(spark, texts, [(1, item)])
+    assert {d for d, _ in got} == {1, 2, 3, 4}
+    assert [got[d, 1].renamed for d in (1, 2, 3, 4)] == [6, 4, 1, 0]
 
 
 def test_names_that_begin_sentences(spark):
