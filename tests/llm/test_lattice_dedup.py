@@ -90,6 +90,39 @@ def test_odd_vectors(spark):
     assert all(r.n_links == 0 and r.vec_id == r.component_id and r.kept for r in rest)
 
 
+@pytest.mark.parametrize("size", [32, 64, 128])
+def test_recall_at_the_threshold(spark, size):
+    """Pairs of one cosine each; they are found more often the closer they are."""
+    rng = np.random.default_rng(size)
+    for cosine, least in ((0.9801, 0.95), (0.985, 0.98), (0.99, 0.995)):
+        x = rng.normal(size=(800, size))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        away = rng.normal(size=x.shape)
+        away -= (away * x).sum(1, keepdims=True) * x
+        away /= np.linalg.norm(away, axis=1, keepdims=True)
+        y = cosine * x + np.sqrt(1 - cosine**2) * away
+        rows = [(2 * k + i, v.tolist(), k) for k in range(800) for i, v in ((0, x[k]), (1, y[k]))]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+        got = lattice_dedup.near_duplicates(df).filter("n_links = 1").count() / 2
+        assert got >= least * 800
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "date", "struct<a: int, b: string>"])
+def test_labels_of_any_type(spark, kind):
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=16).tolist()
+    near = (np.array(a) + rng.normal(size=16) * 0.01).tolist()
+    one, other = {
+        "string": ("'x'", "'y'"), "double": ("1.5D", "1.25D"), "date": ("DATE '2020-01-01'", "DATE '2020-01-02'"),
+    }.get(kind, ("named_struct('a', 1, 'b', 'x')", "named_struct('a', 1, 'b', 'y')"))
+    rows = [(1, a, 0), (2, near, 0), (3, a, 1), (4, near, 1), (5, a, None), (6, a, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, n int").selectExpr(
+        "vec_id", "embedding", f"CAST(CASE n WHEN 0 THEN {one} WHEN 1 THEN {other} END AS {kind}) AS label"
+    )
+    got = {r.vec_id: (r.n_links, r.component_id) for r in lattice_dedup.near_duplicates(df).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (2, 3), 4: (2, 3), 6: (2, 3), 5: (0, 5)}
+
+
 def test_empty_table(spark):
     assert lattice_dedup.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 
