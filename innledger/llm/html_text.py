@@ -6,8 +6,9 @@ add up to the most is the core of the page, or the article or main part it lies
 least density on the path from it to the body is the threshold. Every node that reaches it
 counts: a text block is kept, an article whole, and any other container with its own text
 and text blocks and its densest container, so that an article in several parts is found
-whole. Menus, adverts, forms and the like, known by their element, role or class, are not
-part of the tree.
+whole. Menus, adverts, forms and the like are not part of the tree if their element, role or
+class says so. A class that has such a word among others (``related-work``) is evidence only:
+it halves the density of its node, which stays if that still reaches the threshold.
 """
 
 from __future__ import annotations
@@ -68,6 +69,19 @@ NOISE_WORDS = frozenset(
     "login share sharing social related recommended recommendations widget widgets pagination "
     "pager toolbar skip".split()
 )
+#: Of these, the ones that also name parts of an article; on a text block they are evidence.
+DOUBTFUL_WORDS = frozenset(
+    "notice notices related recommended recommendations share sharing social widget widgets "
+    "banner promotion login modal skip toolbar comment masthead".split()
+)
+#: Words that say where or how something stands, and not what it is.
+PLACE_WORDS = frozenset(
+    "a all and area bar block body bottom box btn button buttons by center col column container "
+    "content entry for form global group head header icon icons in inner input item items label "
+    "law left link links list main message more msg new of on our outer page panel policy "
+    "popular post posts reader region right row section site slot story stories text the thread "
+    "title to top unit user users view wrap wrapper your zone article articles".split()
+)
 
 TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<([/!?]?)([a-zA-Z][^\s/>]*+)?((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S
@@ -75,18 +89,36 @@ TAG = re.compile(
 #: The same where a quote is not closed.
 LOOSE_TAG = re.compile(r"<([/!?]?)([a-zA-Z][^\s/>]*+)?([^>]*+)>")
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
-WORDS = re.compile(r"[a-z0-9]+")
+WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "content", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "content", "chars", "tags", "link_chars", "link_tags", "density", "sum", "doubt")
 
     def __init__(self, tag: str, parent: _Node | None):
         self.tag, self.parent = tag, parent
         self.content: list[_Node | str] = []
-
-
-def _is_noise(tag: str, attributes: str, parent: _Node) -> bool:
+        self.doubt = False  # whether a class is evidence against it
+
+
+def _class_says(tag: str, value: str) -> bool | None:
+    """Whether a class or id names noise; None if it might."""
+    says: bool | None = False
+    for name in value.split():
+        words = [x.lower() for x in WORDS.findall(name)]
+        noise = NOISE_WORDS.intersection(words)
+        if noise:
+            others = (x for x in words if x not in NOISE_WORDS and len(x) > 1 and not x.isdigit())
+            doubtful = tag in TEXT_BLOCKS and noise <= DOUBTFUL_WORDS
+            if not doubtful and PLACE_WORDS.issuperset(others):
+                return True
+            says = None
+    return says
+
+
+def _is_noise(tag: str, attributes: str, parent: _Node) -> bool | None:
+    """Whether an element is no part of the main text; None if a class is evidence for it."""
+    doubt: bool | None = False
     if tag in NOISE:
         return True
     if tag == "header":
@@ -97,16 +129,20 @@ def _is_noise(tag: str, attributes: str, parent: _Node) -> bool:
     if not attributes.strip(" /") or tag in ("html", "body", "main"):
         return False
     for name, *values in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), "".join(values).lower()
+        name, text = name.lower(), "".join(values)
+        value = text.lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
         if name == "role" and value.strip() in NOISE_ROLES:
             return True
-        if name in ("class", "id") and not NOISE_WORDS.isdisjoint(WORDS.findall(value)):
-            return True
-    return False
+        if name in ("class", "id"):
+            says = _class_says(tag, text)
+            if says:
+                return True
+            doubt = None if says is None else doubt
+    return doubt
 
 
 def parsed(page: str) -> _Node:
@@ -153,7 +189,8 @@ def parsed(page: str) -> _Node:
         if tag in ENDS:
             _end_open(stack, *ENDS[tag])
         node, dropped = _Node(tag, stack[-1][0]), stack[-1][1]
-        dropped = dropped or _is_noise(tag, attributes, stack[-1][0])
+        noise = _is_noise(tag, attributes, stack[-1][0])
+        dropped, node.doubt = dropped or bool(noise), noise is None
         if not dropped:
             stack[-1][0].content.append(node)
         if tag in RAW:
@@ -257,6 +294,17 @@ def content(body: _Node) -> _Node:
     while above is not None:
         threshold = min(threshold, above.density)
         above = above.parent
+    path = set()
+    above = core
+    while above is not None:
+        path.add(id(above))
+        above = above.parent
+    for node in _in_order(body):
+        node.content = [
+            x for x in node.content
+            if isinstance(x, str) or not x.doubt or id(x) in path
+            or (x.density / 2 >= threshold and 2 * x.link_chars < x.chars)
+        ]
     whole = {id(core)}
     for node in _in_order(body):
         if node is not body and _is_container(node) and node.density >= threshold:

@@ -116,3 +116,30 @@ def test_text_blocks_outside_the_core():
     links = "".join(f"<p><a href=/{i}>a link with a long text</a></p>" for i in range(20))
     page = f"<div>{links}<blockquote>{text}</blockquote></div><div>" + "".join(f"<p>{x}</p>" for x in paragraphs(5)) + "</div>"
     assert html_text.main_text(page).split("\n") == [text, *paragraphs(5)]
+
+
+def test_class_words_are_evidence():
+    """Words of noise in other names do not cut an article; names of noise alone do."""
+    texts = paragraphs(4)
+    inside = (
+        f"<h1>Title</h1><p>{texts[0]}</p>"
+        f"<section class='related-work'><h2>Related work</h2><p>{texts[1]}</p></section>"
+        f"<div class='share-price-table'><p>{texts[2]}</p></div>"
+        f"<p class=notice>{texts[3]}</p><p>{texts[0]}</p>"
+    )
+    noise = (
+        f"<div class=relatedPosts><p>{LONG}</p></div><div class='ad-slot-300x250'>Buy</div>"
+        f"<div class='post-comments'><p>{LONG}</p></div><div id=cookieNotice><p>{LONG}</p></div>"
+        "<ul class='share-on-mastodon'><li><a href=/>Share this on one</a><li><a href=/>or the other</a></ul>"
+        f"<p class='advert'>{LONG}</p><div class='site-notice-bar'>{LONG}</div>"
+    )
+    want = ["Title", texts[0], "Related work", *texts[1:], texts[0]]
+    for wrap in ("article", "main", "div", "section", "div class=story"):
+        page = f"<body>{noise}<{wrap}>{inside}{noise}</{wrap.split()[0]}>{noise}</body>"
+        assert html_text.main_text(page).split("\n") == want
+
+
+def test_the_core_may_have_any_class():
+    texts = paragraphs(6)
+    page = f"<div id='menu-of-the-week'>{''.join(f'<p>{x}</p>' for x in texts)}</div><nav>Home</nav>"
+    assert html_text.main_text(page).split("\n") == texts
