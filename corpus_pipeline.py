@@ -33,9 +33,12 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def repeats_cut(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings of 100 bytes that also start earlier.
 
-    All documents stay, also those that nothing is left of; ``n_chars`` follows the text.
+    All documents stay, also those that nothing is left of; ``n_chars`` follows the text,
+    where there is such a column.
     """
     cut = suffix_dedup.without_repeats(docs)
+    if "n_chars" not in cut.columns:
+        return cut
     return cut.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
