@@ -364,12 +364,13 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, column: str = "leaks") ->
     ``slots`` these have, and how many of them hold another value (``renamed``). Null and
     empty texts hold nothing. Items of fewer than five tokens count as one window and are
     held where all their words and values are, upper case aside; repeated items are found
-    each. Other columns are carried along untouched; ``column`` must be a new name.
+    each. Other columns are carried along untouched; one named ``column`` is replaced.
 
     The benchmark is sent to the executors in blocks of about ``BLOCK_BYTES``, with a pass
     over the documents for each. Where there are several, what a block finds is stored and
     the block released before the next one is read.
     """
+    docs = docs.drop(column)
     items = benchmark.select(F.col("item_id").cast("long"), "text").filter("text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / BLOCK_BYTES))

@@ -377,8 +377,9 @@ def extracted(pages: DataFrame) -> DataFrame:
     """``pages`` with ``text`` and ``n_chars`` in place of ``html``.
 
     Null and empty pages have an empty text. A page without tags is one block. Other columns
-    are carried along untouched; ``text`` and ``n_chars`` must be new names.
+    are carried along untouched; those named ``text`` and ``n_chars`` are replaced.
     """
+    pages = pages.drop("text", "n_chars")
     place = pages.columns.index("html")
     kept = [i for i in range(len(pages.columns)) if i != place]
 

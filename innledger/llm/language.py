@@ -361,11 +361,12 @@ def identified(docs: DataFrame, model: Models) -> DataFrame:
     the alphabet of equal ones; ``und`` if the text is null or has no letter, or if nothing
     was learned. ``score`` is the language's share of the likelihoods, 0 for ``und``.
     ``rejected`` marks texts that are unlikely even in that language. Other columns are
-    carried along untouched, the three names must be new.
+    carried along untouched; those of the three names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    place = docs.columns.index("text")
     names = ["lang_pred", "score", "rejected"]
+    docs = docs.drop(*names)
+    place = docs.columns.index("text")
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value

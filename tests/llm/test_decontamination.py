@@ -132,3 +132,11 @@ def test_items_of_hardly_any_words(spark):
     got = found(spark, texts, [(1, sums), (2, digits), (3, short)])
     assert set(got) == {(0, 1), (2, 2), (4, 2), (5, 3)}
     assert got[0, 1].matched == got[0, 1].windows == 3 and got[2, 2].windows == 8
+
+
+def test_a_column_of_the_same_name_is_replaced(spark):
+    words = "which planet of all has by far the shortest day of them"
+    docs = spark.createDataFrame([(1, f"so: {words}", "old"), (2, "none", "old")], "doc_id long, text string, leaks string")
+    items = spark.createDataFrame([(7, words)], "item_id long, text string")
+    got = decontamination.with_leaks(docs, items).collect()
+    assert {r.doc_id: [x.item_id for x in r.leaks] for r in got} == {1: [7], 2: []}

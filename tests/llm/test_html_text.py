@@ -143,3 +143,8 @@ def test_the_core_may_have_any_class():
     texts = paragraphs(6)
     page = f"<div id='menu-of-the-week'>{''.join(f'<p>{x}</p>' for x in texts)}</div><nav>Home</nav>"
     assert html_text.main_text(page).split("\n") == texts
+
+
+def test_columns_of_the_same_names_are_replaced(spark):
+    pages = spark.createDataFrame([("old", 1, "<p>A b</p>", "x")], "text string, n_chars int, html string, other string")
+    assert html_text.extracted(pages).first().asDict() == {"other": "x", "text": "A b", "n_chars": 3}

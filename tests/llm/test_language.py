@@ -157,3 +157,12 @@ def test_empty_tables(spark):
     assert language.identified(docs, model).collect() == []
     one = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert language.identified(one, language.trained(one)).first().lang_pred == "und"
+
+
+def test_columns_of_the_same_names_are_replaced(spark):
+    docs = spark.createDataFrame(
+        [(1, "der Wald", "old", 7, "kept")], "doc_id long, text string, Lang_Pred string, score int, other string"
+    )
+    row = language.identified(docs, language.trained(corpus(spark))).first().asDict()
+    assert set(row) == {"doc_id", "text", "other", "lang_pred", "score", "rejected"}
+    assert row["lang_pred"] == "de" and row["other"] == "kept" and 0 < row["score"] <= 1

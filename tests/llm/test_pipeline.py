@@ -115,3 +115,9 @@ def test_odd_rows_go_through_every_stage(spark, documents):
             assert all(r[c] == c for r in out.collect() for c in names)
         assert function is STAGES["benchmark decontamination"]
         assert STAGES["best-fit packing"](spark, stage, SF).count() >= stage.count()
+
+
+def test_repeats_are_cut_without_a_count_of_characters(spark):
+    docs = spark.createDataFrame([(1, "a" * 150), (2, "b")], "doc_id long, text string")
+    got = corpus_pipeline.repeats_cut(spark, docs, "")
+    assert got.columns == ["doc_id", "text"] and got.count() == 2
