@@ -13,36 +13,148 @@ each length and looks their places up, so no task sees more than its share of th
 
 from __future__ import annotations
 
+import codecs
+import json
+import re
 from array import array
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer, pre_tokenizers
 
 from innledger.llm.common import Recent, numbered, slices, stored, text_list
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 #: Words encoded at once; the encoder returns far more than the ids.
 ENCODED = 4096
+#: Words cut into parts at once; parts that they share are encoded once.
+CUT = 32_768
 #: Tokens of the words seen lately are kept between batches: about so many words.
 CACHED_WORDS = 1_000_000
 
+#: The preparation of texts that ``_part_ids`` repeats; other tokenizers do all of it themselves.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+#: Signs other than those of ASCII that show and the Latin letters from U+00C0 to U+017F, without
+#: the one that becomes two in lower case. NFC leaves the rest as it is, next to each other too.
+ODD = "[^!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]"
+#: The same split, for words in lower case without odd signs; line breaks part the words.
+LETTERS = "a-z\u00df-\u00f6\u00f8-\u017f"
+PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^0-9{LETTERS}\n]+|\n")
+#: How the vocabulary spells each byte.
+SPELLED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTES = "".join(
+    chr(b if b in SPELLED else 0x100 + sum(x not in SPELLED for x in range(b))) for b in range(256)
+)
+#: Ends the ids of a word, where those of many words follow each other.
+WORD_END = 0xFFFFFFFF
+
+
+def _whole_ids(tokenizer: Tokenizer) -> Callable[[list[str]], list[bytes]]:
+    """Each word as the tokenizer encodes it, all its steps included."""
+
+    def encode(words: list[str]) -> list[bytes]:
+        ids = []
+        for at in range(0, len(words), ENCODED):
+            found = tokenizer.encode_batch_fast(words[at : at + ENCODED], add_special_tokens=False)
+            ids += [array("I", x.ids).tobytes() for x in found]
+        return ids
+
+    return encode
+
+
+def _part_ids(tokenizer: Tokenizer) -> Callable[[list[str]], list[bytes]]:
+    """Words without odd signs, cut into the parts that the tokenizer's model merges within.
+
+    Most of a tokenizer's time goes into preparing each word. Here the model gets many distinct
+    parts as one text; every part ends in a token with the vocabulary's suffix.
+    """
+    model = Tokenizer(tokenizer.model)
+    model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(BYTES[10])
+    suffix = tokenizer.model.end_of_word_suffix
+    vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+    last = np.zeros(max(vocabulary.values()) + 1, bool)
+    last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    word_end = np.array([WORD_END], "<u4").tobytes()
+
+    def runs(ids: np.ndarray, ends: np.ndarray, left_out: int) -> list[bytes]:
+        """The ids before each of ``ends``, without the last ``left_out`` of them."""
+        data, ends = ids.tobytes(), 4 * ends
+        starts = np.r_[0, ends[:-1]].tolist()
+        return [data[a:b] for a, b in zip(starts, (ends - 4 * left_out).tolist(), strict=True)]
+
+    def merged(parts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(parts), ENCODED):
+            text = "\n".join(parts[at : at + ENCODED]).encode()
+            text = codecs.charmap_decode(text, "strict", BYTES)[0]
+            (found,) = model.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            yield from runs(ids, np.flatnonzero(last[ids]) + 1, 0)
+
+    def encode(words: list[str]) -> list[bytes]:
+        ids = []
+        for at in range(0, len(words), CUT):
+            cut = PARTS.findall("\n".join([*words[at : at + CUT], ""]).lower())
+            parts = list({*cut} - {"\n"})
+            known = dict(zip(parts, merged(parts), strict=True)) | {"\n": word_end}
+            found = np.frombuffer(b"".join(map(known.__getitem__, cut)), "<u4")
+            ids += runs(found, np.flatnonzero(found == WORD_END) + 1, 1)
+        return ids
+
+    return encode
+
 
 @lru_cache(maxsize=1)
 def _word_ids(path: str) -> Recent:
-    from tokenizers import Tokenizer
-
     tokenizer = Tokenizer.from_file(path)
+    whole = _whole_ids(tokenizer)
+    rules = json.loads(tokenizer.to_str())
+    names = rules["added_tokens"]
+    if (
+        rules["normalizer"] != NORMALIZER
+        or rules["pre_tokenizer"] != PRE_TOKENIZER
+        or rules["model"].get("dropout")
+        or not rules["model"].get("end_of_word_suffix")
+        or any(x["normalized"] for x in names)
+    ):
+        return Recent(lambda words: whole([w.decode("utf-8", "replace") for w in words]), CACHED_WORDS)
+    by_parts = _part_ids(tokenizer)
+    # Names of special tokens are found as they are spelled, before anything else.
+    odd = re.compile("|".join([ODD, *(re.escape(x["content"]) for x in names)])).search
 
-    def encode(words: list[bytes]) -> Iterator[bytes]:
-        for at in range(0, len(words), ENCODED):
-            texts = [w.decode("utf-8", "replace") for w in words[at : at + ENCODED]]
-            found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            yield from [array("I", x.ids).tobytes() for x in found]
+    def encode(words: list[bytes]) -> Iterable[bytes]:
+        text = b"\n".join(words).decode("utf-8", "replace")
+        texts = text.split("\n") if words else []
+        if not odd(text.replace("\n", "")):
+            return by_parts(texts)
+        is_odd = [odd(x) is not None for x in texts]
+        slow = iter(whole(list(compress(texts, is_odd))))
+        fast = iter(by_parts([x for x, by in zip(texts, is_odd, strict=True) if not by]))
+        return (next(slow if by else fast) for by in is_odd)
 
     return Recent(encode, CACHED_WORDS)
 
@@ -75,10 +187,10 @@ def tokenized_pieces(
             doc_ids, texts = batch.column(0).to_pylist(), text_list(batch.column(1))
             for first, last in slices(texts):
                 words = [x.split() for x in texts[first:last]]
-                known = recent.holding(set().union(*words))
+                found = iter(recent.values_of(list(chain.from_iterable(words))))
                 out = []
                 for doc_id, own in zip(doc_ids[first:last], words, strict=True):
-                    ids = b"".join([*map(known.__getitem__, own), end])
+                    ids = b"".join([*islice(found, len(own)), end])
                     out += [
                         (doc_id, k, at // 4, len(part) // 4, part)
                         for k, at in enumerate(range(0, len(ids), step))

@@ -1,5 +1,7 @@
 """Packing against plain encoding, and its bins against what bins must be."""
 
+import json
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -8,6 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from innledger.llm import packing
+from innledger.llm.common import Recent
 from innledger.llm.queries import TOKENIZER, pack_documents
 
 SCHEMA = "doc_id long, text string, lang string, sequence_id string, __rank int"
@@ -51,6 +54,64 @@ def test_pieces_are_the_tokenizers_and_odd_rows_are_kept(spark):
     check_bins(rows, 2048)
 
 
+def whole(tokenizer, words):
+    found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
+    return [np.array(x.ids, "<u4").tobytes() for x in found]
+
+
+def test_words_cut_into_parts_have_the_tokenizers_ids():
+    rng = np.random.default_rng(3)
+    signs = [chr(c) for c in [*range(0x21, 0x7F), *range(0xC0, 0x180)]]
+    more = ["'s", "'T", "'LL", "'", "<|endoftext|>", "<|EndOfText|>", "</w>", "²", "\x7f", "\x1c", "\u0301", "\u030c", "Σ", "ж", "\u212a", "\xa0", "你"]
+    words = signs + [a + b for a in signs for b in signs]
+    for pool in (signs, signs + 5 * more):
+        words += ["".join(rng.choice(pool, n)) for n in rng.integers(1, 10, 20_000)]
+    got = list(packing._word_ids(TOKENIZER).compute([w.encode() for w in words]))
+    want = whole(Tokenizer.from_file(TOKENIZER), words)
+    assert [w for w, x, y in zip(words, got, want, strict=True) if x != y] == []
+    assert list(packing._word_ids(TOKENIZER).compute([])) == []
+
+
+def test_other_tokenizers_encode_words_themselves(tmp_path):
+    rules = json.load(open(TOKENIZER))
+    rules["normalizer"] = None
+    (tmp_path / "cased.json").write_text(json.dumps(rules))
+    words = ["Word", "word", "'S", "É,", "<|endoftext|>x"]
+    try:
+        got = list(packing._word_ids(str(tmp_path / "cased.json")).compute([w.encode() for w in words]))
+    finally:
+        packing._word_ids.cache_clear()
+    assert got == whole(Tokenizer.from_file(str(tmp_path / "cased.json")), words)
+    assert got[0] != got[1]
+
+
+def test_new_words_take_less_time_than_the_whole_tokenizer():
+    rng = np.random.default_rng(4)
+    letters = list("eeeaaoinrstlhdcumEA") + ["é", "ü"]
+    words = list({"".join(rng.choice(letters, n)) for n in rng.integers(6, 14, 30_000)})
+    tokenizer, own, plain = Tokenizer.from_file(TOKENIZER), [], []
+    for k in range(3):
+        part = words[k::3]
+        began = time.process_time()
+        got = list(packing._word_ids(TOKENIZER).compute([w.encode() for w in part]))
+        own.append(time.process_time() - began)
+        began = time.process_time()
+        want = whole(tokenizer, part)
+        plain.append(time.process_time() - began)
+        assert got == want
+    assert min(own) < 0.8 * min(plain)
+
+
+def test_remembered_values_are_those_computed_once():
+    asked = []
+    recent = Recent(lambda keys: [asked.append(k) or k * 2 for k in keys], 6)
+    assert recent.values_of([b"a", b"b", b"a"]) == [b"aa", b"bb", b"aa"]
+    assert recent.values_of([b"c", b"d", b"b", b"d"]) == [b"cc", b"dd", b"bb", b"dd"]
+    assert recent.values_of([b"a", b"e", b"a"]) == [b"aa", b"ee", b"aa"]  # from the older half
+    assert recent.values_of([]) == []
+    assert sorted(asked) == [b"a", b"b", b"c", b"d", b"e"]
+
+
 def test_empty_table(spark):
     assert pack_documents(spark.createDataFrame([], SCHEMA)).collect() == []
 
